@@ -1,8 +1,9 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import line_dedup
+from scriptorium.llm import jaccard_join, line_dedup
 
 QUERIES = {
+    "op4_ngram_jaccard_join": jaccard_join.query,
     "op7_line_dedup": line_dedup.query,
 }
 
