@@ -1,10 +1,12 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import jaccard_join, line_dedup
+from scriptorium.llm import jaccard_join, language_id, line_dedup, quality
 
 QUERIES = {
+    "op2_quality_classifier": quality.query,
     "op4_ngram_jaccard_join": jaccard_join.query,
     "op7_line_dedup": line_dedup.query,
+    "op10_language_id": language_id.query,
 }
 
 ORACLES = {

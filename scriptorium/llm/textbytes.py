@@ -15,6 +15,7 @@ import pyarrow as pa
 U = np.uint64
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_NOT_SPACE = (~SPACE).astype(np.uint8)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -58,14 +59,20 @@ class Slice:
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start and end of every word, and the first word of each row (one more at the end)."""
+        return self.runs(_NOT_SPACE)
+
+    def runs(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for runs of bytes of one kind; kinds has a number for each byte value, 0 for none."""
         n = len(self.data)
         if not n:
             none = np.zeros(0, dtype=np.int64)
             return none, none, np.zeros(len(self.offsets), dtype=np.int64)
-        inside = ~SPACE[self.data]
+        kind = kinds[self.data]
+        inside = kind != 0
         starts, ends = inside.copy(), inside.copy()
-        starts[1:] &= ~inside[:-1]
-        ends[:-1] &= ~inside[1:]
+        turns = kind[1:] != kind[:-1]
+        starts[1:] &= turns
+        ends[:-1] &= turns
         edge = self.offsets[(self.offsets > 0) & (self.offsets < n)]
         starts[edge] = inside[edge]
         ends[edge - 1] = inside[edge - 1]
