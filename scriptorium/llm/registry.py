@@ -1,11 +1,12 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import jaccard_join, language_id, line_dedup, quality, secret_scan
+from scriptorium.llm import jaccard_join, language_id, line_dedup, quality, secret_scan, syncmers
 
 QUERIES = {
     "op2_quality_classifier": quality.query,
     "op4_ngram_jaccard_join": jaccard_join.query,
     "op7_line_dedup": line_dedup.query,
+    "op8_syncmer_fingerprints": syncmers.query,
     "op9_secret_scan": secret_scan.query,
     "op10_language_id": language_id.query,
 }
