@@ -1,10 +1,11 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import jaccard_join, language_id, line_dedup, quality, secret_scan, syncmers
+from scriptorium.llm import chat_format, jaccard_join, language_id, line_dedup, quality, secret_scan, syncmers
 
 QUERIES = {
     "op2_quality_classifier": quality.query,
     "op4_ngram_jaccard_join": jaccard_join.query,
+    "op5_chat_format": chat_format.query,
     "op7_line_dedup": line_dedup.query,
     "op8_syncmer_fingerprints": syncmers.query,
     "op9_secret_scan": secret_scan.query,
@@ -12,5 +13,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_chat_format": chat_format.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
 }
