@@ -1,8 +1,9 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import chat_format, jaccard_join, language_id, line_dedup, quality, secret_scan, syncmers
+from scriptorium.llm import chat_format, embedding_dedup, jaccard_join, language_id, line_dedup, quality, secret_scan, syncmers
 
 QUERIES = {
+    "op1_embedding_dedup": embedding_dedup.query,
     "op2_quality_classifier": quality.query,
     "op4_ngram_jaccard_join": jaccard_join.query,
     "op5_chat_format": chat_format.query,
