@@ -1,6 +1,6 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import chat_format, embedding_dedup, jaccard_join, language_id, line_dedup, quality, secret_scan, source_mixing, syncmers
+from scriptorium.llm import chat_format, embedding_dedup, jaccard_join, language_id, line_dedup, piece_sampling, quality, secret_scan, source_mixing, syncmers
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_ngram_jaccard_join": jaccard_join.query,
     "op3_source_mixing": source_mixing.query,
     "op5_chat_format": chat_format.query,
+    "op6_piece_sampling": piece_sampling.query,
     "op7_line_dedup": line_dedup.query,
     "op8_syncmer_fingerprints": syncmers.query,
     "op9_secret_scan": secret_scan.query,
