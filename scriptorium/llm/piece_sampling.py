@@ -6,7 +6,7 @@ of its pieces' weights. Gumbel top-k draws k distinct paths: every prefix of a
 path carries the largest perturbed log-probability of the paths that begin with it,
 an agenda yields the prefix with the largest value first (A-star, the backward
 sums of the lattice being an exact heuristic), its best child inherits the value and
-the other children get Gumbels truncated at it. The next value, kappa, gives
+the other children get Gumbels truncated at it (see Siblings). The next value, kappa, gives
 each sample's inclusion score 1 - exp(-exp(log p - kappa)).
 
 Pieces never cross from a word to the space before the next one, so the lattice
@@ -38,10 +38,7 @@ SAMPLES = 2
 ALPHA = 1.0
 #: Code points that are worked on together.
 SLICE_CHARS = 500_000
-#: Siblings whose log-probability lies this far below the values still wanted cannot
-#: reach them but with odds of exp(-MARGIN), less than the rounding of doubles.
-MARGIN = 37.0
-#: Pieces of a path whose siblings are looked at in one step.
+#: Pieces of a path that are looked at in one step for the place where the next sample leaves it.
 WINDOW = 32
 
 SPACE_PIECE = 0x2581
@@ -217,37 +214,107 @@ def draw(lat: Lattices, word: np.ndarray, seed: np.ndarray, ordinal: np.ndarray,
 
 @dataclass
 class Path:
-    """A sample of one row: edges as position * longest + length - 1, the perturbed value, where it left which sample."""
+    """A sample of one row: edges as position * longest + length - 1, and the perturbed value."""
 
     edges: np.ndarray
     value: float
 
 
-def _siblings(lat: Lattices, edges: np.ndarray, begin: int, phi: float, value: float, seed: int, sample: int, most: int) -> list[tuple[float, int, int, float]]:
-    """The ``most`` largest values among children that a path did not take from its piece ``begin`` on:
-    (value, index of the piece, other edge, log-probability of the prefix with it)."""
-    best: list[tuple[float, int, int, float]] = []
-    longest = lat.ids.shape[1]
-    share = lat.share.reshape(-1)
-    for lo in range(begin, len(edges), WINDOW):
-        part = edges[lo : lo + WINDOW]
-        rows = part // longest
-        options = lat.share[rows]
-        before = phi + np.concatenate([[0.0], np.cumsum(np.log(share[part]))])
-        r, c = np.nonzero(options > 0)
-        other = c != (part % longest)[r]
-        r, c = r[other], c[other]
-        if len(r):
-            logp = before[r] + np.log(options[r, c])
-            e = -np.log(_uniform(np.full(len(r), seed, dtype=U), np.full(len(r), sample + 101), r + lo, c))
-            got = -np.logaddexp(-value, np.log(e) - logp)
-            for k in np.argsort(-got)[:most]:
-                best.append((float(got[k]), lo + int(r[k]), int(rows[r[k]] * longest + c[k]), float(logp[k])))
-            best = sorted(best, reverse=True)[:most]
-        phi = before[-1]
-        if len(best) == most and phi < best[-1][0] - MARGIN:
-            break
-    return best
+class Draws:
+    """Scalar numbers in (0, 1) for one row, in a fixed order."""
+
+    def __init__(self, seed: int):
+        self.state = seed
+
+    def __call__(self) -> float:
+        self.state = x = (self.state + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
+        return (((x ^ (x >> 31)) >> 11) + 0.5) * 2.0**-53
+
+
+class Siblings:
+    """The children that a path passed by, from its piece ``begin`` on, by falling perturbed value.
+
+    Their Gumbels, truncated at the path's value, are not drawn one by one: the largest
+    of them is a Gumbel at the log of their total mass, truncated likewise; it belongs to
+    each with the odds of its mass; and the next one is the same again without
+    it, truncated at it. That is the same law, and takes no look at the whole path.
+    """
+
+    def __init__(self, lat: Lattices, edges: np.ndarray, logs: np.ndarray, begin: int, phi: float, value: float, draws: Draws):
+        self.lat, self.edges, self.logs, self.begin, self.phi, self.value, self.draws = lat, edges, logs, begin, phi, value, draws
+        self.whole = -math.expm1(float(logs[begin:].sum()))
+        self.gone: dict[tuple[int, int], float] = {}
+
+    def pop(self) -> tuple[float, int, int, float] | None:
+        """(value, index of the piece, other edge, log-probability of the prefix with it) of the next one."""
+        mass = self.whole - sum(self.gone.values())
+        if mass < max(1e-6, 0.1 * self.whole):
+            # Little is left, and part of it may be rounding: add it up.
+            left = self._listed()
+            mass = sum(left.values())
+            if not mass:
+                return None
+            u = self.draws() * mass
+            for found, m in left.items():
+                u -= m
+                if u <= 0:
+                    break
+        else:
+            found = self._picked()
+            while found in self.gone:
+                found = self._picked()
+            m = self._mass(*found)
+        self.gone[found] = m
+        e = math.log(-math.log(self.draws())) - self.phi - math.log(mass)
+        low = -self.value
+        top = max(low, e)
+        self.value = -(top + math.log1p(math.exp(min(low, e) - top)))
+        return self.value, found[0], found[1], self.phi + math.log(m)
+
+    def _mass(self, at: int, edge: int) -> float:
+        return math.exp(float(self.logs[self.begin : at].sum())) * float(self.lat.share.reshape(-1)[edge])
+
+    def _picked(self) -> tuple[int, int]:
+        goal, sums, lo = self.draws() * self.whole, 0.0, self.begin
+        while True:
+            part = np.cumsum(self.logs[lo : lo + WINDOW]) + sums
+            k = int(np.searchsorted(-part, -math.log1p(-goal), side="right")) if goal < 1 else len(part)
+            if k < len(part):
+                break
+            if lo + WINDOW >= len(self.edges):
+                # Rounding carried the goal past the end: the last place with a choice.
+                k = len(part) - 1
+                while self.logs[lo + k] == 0:
+                    lo -= 1
+                break
+            sums, lo = part[-1], lo + WINDOW
+        at = lo + k
+        taken = int(self.edges[at])
+        longest = self.lat.ids.shape[1]
+        p, c = divmod(taken, longest)
+        options = self.lat.share[p].tolist()
+        options[c] = 0.0
+        u = self.draws() * sum(options)
+        last = 0
+        for k, x in enumerate(options):
+            if x > 0:
+                last = k
+                u -= x
+                if u <= 0:
+                    break
+        return at, p * longest + last
+
+    def _listed(self) -> dict[tuple[int, int], float]:
+        longest = self.lat.ids.shape[1]
+        edges = self.edges[self.begin :]
+        before = np.exp(np.concatenate([[0.0], np.cumsum(self.logs[self.begin :])[:-1]])) if len(edges) else np.zeros(0)
+        options = self.lat.share[edges // longest] * before[:, None]
+        options[np.arange(len(edges)), edges % longest] = 0.0
+        r, c = np.nonzero(options)
+        found = {(int(i) + self.begin, int(edges[i] // longest * longest + k)): float(options[i, k]) for i, k in zip(r, c)}
+        return {k: v for k, v in found.items() if k not in self.gone}
 
 
 class Encoder:
@@ -282,7 +349,10 @@ class Encoder:
         row = np.repeat(np.arange(len(filled)), np.diff(row_words))
         ordinal = np.arange(len(word)) - row_words[row]
         seed = seeds[filled]
-        drawn = [draw(lat, word, seed[row], ordinal, s) for s in range(self.k)]
+        drawn = []
+        for k in range(self.k):
+            edges, starts = draw(lat, word, seed[row], ordinal, k)
+            drawn.append((edges, starts, np.log(lat.share.reshape(-1)[edges]) if k == 0 else None))
         out: list = [[(np.zeros(0, dtype=np.int32), 0.0, 0.0, 1.0)] for _ in texts]
         chosen: list[list[Path]] = []
         kappas = []
@@ -305,19 +375,27 @@ class Encoder:
         return out
 
     def _row(self, lat: Lattices, drawn: list, word: np.ndarray, lo: int, hi: int, seed: int) -> tuple[list[Path], float]:
-        flat, heads = drawn[0]
-        key = np.array([seed], dtype=U)
-        value = float(-np.log(-np.log(_uniform(key, [100])))[0])
-        paths = [Path(flat[heads[lo] : heads[hi]], value)]
-        agenda = [(-v, 0, at, edge, phi) for v, at, edge, phi in _siblings(lat, paths[0].edges, 0, 0.0, value, seed, 0, self.k)]
-        heapq.heapify(agenda)
+        flat, heads, logs = drawn[0]
+        draws = Draws(seed)
+        value = -math.log(-math.log(draws()))
+        own = slice(heads[lo], heads[hi])
+        paths, agenda, groups = [Path(flat[own], value)], [], []
+
+        def push(group: Siblings, s: int) -> None:
+            found = group.pop()
+            if found is not None:
+                heapq.heappush(agenda, (-found[0], s, *found[1:]))
+
+        groups.append(Siblings(lat, flat[own], logs[own], 0, 0.0, value, draws))
+        push(groups[0], 0)
         while agenda and len(paths) < self.k:
             v, parent, at, edge, phi = heapq.heappop(agenda)
+            push(groups[parent], parent)
             s = len(paths)
             edges = self._rest(lat, drawn[s], paths[parent].edges[:at], edge, word, lo, hi, seed, s)
             paths.append(Path(edges, -v))
-            for w, a, e, f in _siblings(lat, edges, at + 1, phi, -v, seed, s, self.k):
-                heapq.heappush(agenda, (-w, s, a, e, f))
+            groups.append(Siblings(lat, edges, np.log(lat.share.reshape(-1)[edges]), at + 1, phi, -v, draws))
+            push(groups[s], s)
         return paths, -agenda[0][0] if agenda else -math.inf
 
     def _rest(self, lat: Lattices, fresh: tuple, before: np.ndarray, edge: int, word: np.ndarray, lo: int, hi: int, seed: int, sample: int) -> np.ndarray:
@@ -337,7 +415,7 @@ class Encoder:
             extra.append(p * longest + length)
             p += length + 1
             t += 1
-        flat, heads = fresh
+        flat, heads, _ = fresh
         return np.concatenate([done, np.array(extra, dtype=np.int64), flat[heads[now + 1] : heads[hi]]])
 
     def _ids(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
