@@ -190,8 +190,8 @@ def viterbi(emit: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.n
     return labels
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score, spans) of every row of docs (doc_id, text).
+def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(*keep, lang_pred, score, spans) of every row of docs; only keep and text are read.
 
     spans has (lang, start, end) in bytes of UTF-8, words of one label running
     together. score is the share of letters in spans of lang_pred times the odds
@@ -200,12 +200,11 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     nothing was learned.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("_text")
             # Words of many slices go through the Viterbi pass together.
             group, size = [], 0
             for i, j, part in slices(texts):
@@ -247,7 +246,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             for r in range(j - i):
                 lettered = plain[r] > 0
                 if not lettered or part.data[part.offsets[r] : part.offsets[r + 1]].max() > 127:
-                    texts = texts if texts is not None else batch.column("text").slice(i, j - i)
+                    texts = texts if texts is not None else batch.column("_text").slice(i, j - i)
                     lettered = bool(_LETTER.search(texts[r].as_py() or ""))
                 if not lettered or not n:
                     names.append(UNKNOWN)
@@ -264,11 +263,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                 tags = path[a + np.concatenate([[0], turn])] if b > a else []
                 spans.append([{"lang": model.langs[x], "start": int(s), "end": int(e)} for x, s, e in zip(tags, begin, stop)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").slice(low, rows), pa.array(names, pa.string()), pa.array(score if n else np.zeros(rows)), pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))],
-            names=["doc_id", "lang_pred", "score", "spans"],
+            [*[batch.column(k).slice(low, rows) for k in range(len(keep))], pa.array(names, pa.string()), pa.array(score if n else np.zeros(rows)), pa.array(spans, pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))],
+            names=[*keep, "lang_pred", "score", "spans"],
         )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double, spans array<struct<lang:string,start:long,end:long>>")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, lang_pred string, score double, spans array<struct<lang:string,start:long,end:long>>")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

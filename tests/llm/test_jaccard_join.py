@@ -66,7 +66,7 @@ def test_tree_bound_loses_nothing():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 2**63, 80).astype(np.uint64)) for _ in range(40)]
     sets += [np.unique(np.concatenate([s[rng.integers(0, 12) :], rng.integers(0, 2**63, 6).astype(np.uint64)])) for s in sets for _ in range(3)]
-    points = np.stack([jj.count_vector(s) for s in sets])
+    points = np.stack([jj.folded(jj.count_vector(s), 64) for s in sets])
     sizes = np.array([len(s) for s in sets])
     tree = jj.CountVectorRTree(points, sizes)
     seen = 0
