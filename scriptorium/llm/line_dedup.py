@@ -96,9 +96,12 @@ def url_host(url: Column) -> Column:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op7: the text of every page without its host's boilerplate lines."""
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id", url_host(F.col("url")).alias("host"), page_text(F.col("html")).alias("text")
+    """op7: the text of every page without its host's boilerplate lines.
+
+    Pages are parsed once and kept in the shared folder, as they are read twice.
+    """
+    pages = stored(
+        table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"), page_text(F.col("html")).alias("text"))
     )
     return drop_boilerplate(pages, "text", F.col("host"))
 
