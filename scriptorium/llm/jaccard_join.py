@@ -42,7 +42,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: Minhash bands and rows in a band.
 BANDS, ROWS = 64, 6
 #: Groups of the count vector by set size: (sizes below, groups).
-GROUPS = ((512, 64), (4096, 256), (1 << 62, 1024))
+GROUPS = ((32, 64), (128, 256), (512, 1024), (1 << 62, 4096))
 #: Rows of a block in step 3.
 BLOCK = 512
 
@@ -82,12 +82,12 @@ def groups_for(size: int) -> int:
 def count_vector(sets: np.ndarray) -> np.ndarray:
     """The set's point: members per group, the group being the hash modulo the number of groups."""
     g = groups_for(len(sets))
-    return np.bincount((sets & U(g - 1)).astype(np.int64), minlength=g).astype(np.int32)
+    return np.bincount((sets & U(g - 1)).astype(np.int64), minlength=g).astype(np.uint16)
 
 
 def folded(vector: np.ndarray, groups: int) -> np.ndarray:
     """A point in fewer groups: groups that are equal modulo the new number add up."""
-    return vector.reshape(-1, groups).sum(axis=0)
+    return vector.reshape(-1, groups).sum(axis=0, dtype=np.int32)
 
 
 def needed(n_a, n_b):
@@ -162,7 +162,7 @@ def band_keys(sets: list[np.ndarray]) -> np.ndarray:
     return keys
 
 
-SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, vec array<int>"
+SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, vec binary"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +173,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             full = np.flatnonzero(n)
             a, b = np.zeros(len(sets), dtype=np.int64), np.zeros(len(sets), dtype=np.int64)
             bands: list = [[]] * len(sets)
-            vecs: list = [[]] * len(sets)
+            vecs: list = [b""] * len(sets)
             if len(full):
                 kept = [sets[k] for k in full]
                 heads = np.concatenate([[0], np.cumsum(n[full])])
@@ -182,9 +182,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 b[full] = row_sums(mix(flat ^ U(0xA0761D6478BD642F)), heads).view(np.int64)
                 keys = band_keys(kept).view(np.int64)
                 for k, row in enumerate(full):
-                    bands[row], vecs[row] = keys[k], count_vector(kept[k])
+                    bands[row], vecs[row] = keys[k], count_vector(kept[k]).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(n), pa.array(a), pa.array(b), pa.array(bands, pa.list_(pa.int64())), pa.array(vecs, pa.list_(pa.int32()))],
+                [batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(n), pa.array(a), pa.array(b), pa.array(bands, pa.list_(pa.int64())), pa.array(vecs, pa.binary())],
                 names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "vec"],
             )
 
@@ -196,17 +196,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "members"])
 
 
-def _may_link(a: str, b: str, n_a: str, n_b: str) -> str:
-    """SQL for the bound: sizes fit, and summed minima of the folded points reach the overlap needed."""
-    fold = "transform(sequence(0, least(size({a}), size({b})) - 1), i -> aggregate(sequence(i, size({x}) - 1, least(size({a}), size({b}))), 0, (s, k) -> s + {x}[k]))"
-    fa, fb = fold.format(a=a, b=b, x=a), fold.format(a=a, b=b, x=b)
-    equal = f"aggregate(zip_with({a}, {b}, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
-    other = f"aggregate(zip_with({fa}, {fb}, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
-    bound = f"if(size({a}) = size({b}), {equal}, {other})"
-    return (
-        f"{n_a} * {NUMERATOR} <= {n_b} * {DENOMINATOR} and {n_b} * {NUMERATOR} <= {n_a} * {DENOMINATOR}"
-        f" and ({bound}) * {NUMERATOR + DENOMINATOR} >= ({n_a} + {n_b}) * {NUMERATOR}"
-    )
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sizes and summed minima allow a link."""
+    for batch in batches:
+        n_u, n_v = batch.column("n_u").to_numpy(), batch.column("n_v").to_numpy()
+        keep = (n_u * NUMERATOR <= n_v * DENOMINATOR) & (n_v * NUMERATOR <= n_u * DENOMINATOR)
+        for k in np.flatnonzero(keep):
+            u, v = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=np.uint16) for c in ("vec_u", "vec_v"))
+            g = min(len(u), len(v))
+            keep[k] = np.minimum(folded(u, g), folded(v, g)).sum() >= needed(n_u[k], n_v[k])
+        yield batch.select(["u", "v"]).filter(pa.array(keep))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -238,9 +237,9 @@ def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
     ids, comps, sizes, asks = block["rep"].to_numpy(), block["comp"].to_numpy(), block["n"].to_numpy(), block["asks"].to_numpy()
     us, vs = [], []
     if asks.any() and len(ids) > 1 and (comps != comps[0]).any():
-        vecs = block["vec"].tolist()
+        vecs = [np.frombuffer(v, dtype=np.uint16) for v in block["vec"]]
         g = min(len(v) for v in vecs)
-        points = np.stack([folded(np.asarray(v), g) for v in vecs])
+        points = np.stack([folded(v, g) for v in vecs])
         tree = CountVectorRTree(points, sizes)
         for q in np.flatnonzero(asks):
             hit = tree.search(points[q], int(sizes[q]))
@@ -276,9 +275,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
 
     points = reps.select("rep", "n", "vec")
     stars = shared.where("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
-    bounded = (
-        stars.join(points.toDF("u", "n_u", "vec_u"), "u").join(points.toDF("v", "n_v", "vec_v"), "v").where(F.expr(_may_link("vec_u", "vec_v", "n_u", "n_v"))).select("u", "v")
-    )
+    both = stars.join(points.toDF("u", "n_u", "vec_u"), "u").join(points.toDF("v", "n_v", "vec_v"), "v")
+    bounded = both.where(f"n_u * {NUMERATOR} <= n_v * {DENOMINATOR} and n_v * {NUMERATOR} <= n_u * {DENOMINATOR}").mapInArrow(_bounded, "u long, v long")
     links = stored(_verified(stored(bounded), docs))
     partial = components(links, "u", "v")
 
