@@ -1,5 +1,6 @@
 """Queries and SQL of the library's own operators, by name."""
 
-QUERIES = {}
-ORACLES = {}
-FLAGSHIP = "agg1_source_summary"
+from scriptorium.plans import names_queries, reference_queries, table_queries, text_queries  # noqa: F401
+from scriptorium.plans.catalogue import ORACLES, QUERIES  # noqa: F401
+
+FLAGSHIP = "ref3_quality_summary"
