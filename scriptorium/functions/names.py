@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scriptorium.functions.text import collapse, strip_accents, words
 
@@ -52,7 +53,7 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + same * 0.1 * (1 - jaro)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)])
 
