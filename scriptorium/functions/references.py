@@ -123,7 +123,17 @@ def clean_references(refs: Column) -> Column:
     return join_orphans(backfill_authors(split_underscores(refs)))
 
 
+#: Entries that are removed from lists. Bullets count here, though the classifier accepts them.
+REMOVED = [
+    r"^\(?\s*(?i:fig\.|figura|foto|imagem|fonte:)\s",
+    r"^(?i:https?://|www\.)\S+$",
+    r"^[•\-–—]\s",
+    r"^[\s•\-–—·.,;:\x{23d0}\x{f8e6}\x{f0bd}]+$",
+    r"^.{0,10}$",
+]
+
+
 def without_non_references(refs: Column, shortest: int = 15) -> Column:
-    """Without captions, bare punctuation, and short entries that have no year (REF13)."""
-    drop = "|".join(f"(?:{p})" for p in NOT_REFERENCES)
-    return F.filter(refs, lambda r: ~strip(r).rlike(drop) & ~((F.length(strip(r)) < shortest) & ~r.rlike(r"[12]\d{3}")))
+    """Without captions, bare URLs, bullets, punctuation, and short entries that have no year (REF13)."""
+    drop = "|".join(f"(?:{p})" for p in REMOVED)
+    return F.filter(refs, lambda r: ~strip(r).rlike(drop) & ~((F.length(strip(r)) < shortest) & ~r.rlike(r"\d{4}")))

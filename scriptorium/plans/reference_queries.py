@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from scriptorium.functions import references as ref
+from scriptorium.operators import split_references
 
 from scriptorium.plans.catalogue import literal, query, values
 
@@ -154,8 +155,7 @@ def _(t, spark):
 
 
 @query("ref13_without_non_references", f"""
-WITH p AS ({_problems_sql(_LINES)})
-SELECT doc_id, count(*) AS lines, count(*) FILTER (NOT (coalesce(nao_referencia, false)) AND NOT (n < 15 AND NOT regexp_matches(r, '[12][0-9]{{3}}'))) AS kept FROM p GROUP BY doc_id
+SELECT doc_id, count(*) AS lines, count(*) FILTER (NOT regexp_matches(r, '{"|".join(f"(?:{p})" for p in ref.REMOVED)}') AND NOT (n < 15 AND NOT regexp_matches(r, '[0-9]{{4}}'))) AS kept FROM ({_LINES}) GROUP BY doc_id
 """)
 def _(t, spark):
     lines = F.split("text", "\n")
@@ -205,3 +205,23 @@ def _(t, spark):
     from scriptorium.operators.extract import sections
 
     return sections(spark.createDataFrame(_PAPERS, "k int, x string"), "x").drop("x")
+
+
+_RUN_ON = [
+    (1, ["SILVA, João. Casa moderna no nordeste do Brasil. Recife: Nova Editora, 1999. SOUZA, Maria. Outra casa. Natal: Editora, 2001."]),
+    (2, ["curta", "  ", "SILVA, João. Uma obra só, sem outra. Recife: Nova Editora, 1999."]),
+    (3, ["LIMA, Ana. Arquitetura moderna no Recife e no nordeste. 1998 \u23d0 12 que se viu na casa de uma rua que foi para o mar de todos os dias"]),
+    (4, ["Costa, Rui. Um livro com um título bem comprido mesmo. Natal, 2003. Disponível, A. em algum lugar da rede mundial de computadores"]),
+]
+_RUN_ON_WANT = [
+    (1, ["SILVA, João. Casa moderna no nordeste do Brasil. Recife: Nova Editora, 1999.", "SOUZA, Maria. Outra casa. Natal: Editora, 2001."]),
+    (2, ["curta", "SILVA, João. Uma obra só, sem outra. Recife: Nova Editora, 1999."]),
+    (3, ["LIMA, Ana. Arquitetura moderna no Recife e no nordeste. 1998"]),
+    (4, ["Costa, Rui. Um livro com um título bem comprido mesmo. Natal, 2003. Disponível, A. em algum lugar da rede mundial de computadores"]),
+]
+
+
+@query("ref12_split_concatenated", "SELECT * FROM " + values(_RUN_ON_WANT, "k, refs"))
+def _(t, spark):
+    """Boundaries found, thinned, cut and filtered (REF7 to REF12)."""
+    return spark.createDataFrame(_RUN_ON, "k int, refs array<string>").select("k", split_references.split_concatenated(F.col("refs")).alias("refs"))
