@@ -137,3 +137,60 @@ def slug(c: Column, most: int = 6) -> Column:
     """A file name's stem: no accents, lower case, words joined by hyphens, at most so many (STR24)."""
     plain = F.regexp_replace(F.lower(strip_accents(c)), "[^a-z0-9]+", " ")
     return F.array_join(F.slice(words(plain), 1, most), "-")
+
+
+#: Generic words that a proper name follows.
+GENERICS = "edifício escola parque igreja teatro museu palácio hospital residência casa conjunto centro vila praça avenida terminal estação instituto".split()
+
+
+def lower_generics(c: Column) -> Column:
+    """Generic words in lower case before a capital, not at the beginning of the text (STR16)."""
+    found = F.regexp_extract_all(F.concat(F.lit(" "), c.substr(F.lit(2), F.length(c))), F.lit(r"(?<![\p{L}\p{N}_])(" + "|".join(GENERICS) + r")\s+[A-Z]"), F.lit(1))
+    return found
+
+
+def numbered(keywords: Column) -> Column:
+    """Keywords that begin with a number and ``.``, ``)`` or ``-`` (STR17)."""
+    return F.filter(keywords, lambda k: F.trim(k).rlike(r"^\d+[.)\-]"))
+
+
+def many_words(c: Column, least: int = 3) -> Column:
+    """Whether a family name has so many words that it may be wrong (STR17)."""
+    return F.size(words(c)) >= least
+
+
+def usable_keywords(keywords: Column, longest: int = 100) -> Column:
+    """Keywords cut at ``. ``, without page numbers, labels, headings in capitals and overlong ones (STR9)."""
+    letters = lambda k: F.length(F.regexp_replace(k, r"[^\p{L}]", ""))
+    capitals = lambda k: F.length(F.regexp_replace(k, r"[^\p{Lu}]", ""))
+    cut = F.transform(F.flatten(F.transform(keywords, lambda k: F.split(k, r"\.\s+"))), lambda k: F.regexp_replace(strip(k), r"[.;,]+$", ""))
+    heading = lambda k: (letters(k) > 12) & (capitals(k) > 0.55 * letters(k))
+    label = r"(?iu)^(?:palavras?[- ]chave|keywords?|abstract|resumo)\b"
+    return F.filter(cut, lambda k: (k != "") & ~k.rlike(r"^\d+$") & (F.length(k) <= longest) & ~heading(k) & ~k.rlike(label))
+
+
+def without_trailing_event(c: Column, pattern: str) -> Column:
+    """A keyword without the event's name at its end (STR10)."""
+    return F.trim(F.regexp_replace(c, rf"(?iu)[\s.,;–-]*(?:{pattern}).*$", ""))
+
+
+def without_running_header(refs: Column, header: str) -> Column:
+    """References that are the running header go; where it leads or is inside, it is cut out (STR23)."""
+    kept = F.filter(refs, lambda r: F.trim(r) != header)
+    return F.filter(F.transform(kept, lambda r: collapse(F.replace(r, F.lit(header), F.lit(" ")))), lambda r: r != "")
+
+
+def name_list(people: Column, joiner: str = "; ") -> Column:
+    """Structs (given, family) as ``Family, Given`` joined (STR28)."""
+    return F.array_join(F.transform(people, lambda p: F.concat_ws(", ", p["family"], F.nullif(p["given"], F.lit("")))), joiner)
+
+
+def without_intro(c: Column, intros: list[str], times: int = 3) -> Column:
+    """A text without up to so many of the phrases at its beginning (STR30)."""
+    return F.regexp_replace(c, "^(?:(?:" + "|".join(intros) + r")\s*){1," + str(times) + "}", "")
+
+
+def clean_author(c: Column) -> Column:
+    """An author string on one line without academic degrees and trailing dots (NAM16)."""
+    plain = F.regexp_replace(collapse(c), r"(?iu)(?:^|[\s,(])(?:dr|dra|prof|profa|msc|phd|arq|arqto|arqta)\.?(?=[\s,)]|$)", " ")
+    return F.regexp_replace(collapse(plain), r"[\s.,;]+$", "")

@@ -257,3 +257,77 @@ def _(t, spark):
     """Rows stay unless both conditions hold; null counts as not holding."""
     d = t("documents").join(t("labels"), "doc_id", "left")
     return d.where(~F.coalesce((F.col("n_chars") >= 1000) & (F.col("quality") == 1), F.lit(False))).select("doc_id")
+
+
+_NEAR = [(1, "O edifício Copan e a casa Cor de rosa"), (2, "casa Modernista"), (3, "sem nada")]
+
+
+@query("str16_generics", "SELECT 1 AS id, ['edifício', 'casa'] AS g UNION ALL SELECT 2, [] UNION ALL SELECT 3, []")
+def _(t, spark):
+    return spark.createDataFrame(_NEAR, "id int, x string").select("id", tx.lower_generics(F.col("x")).alias("g"))
+
+
+_LISTED = [(1, ["1. casa", "rua", "2) vila", "CONCRETO ARMADO NO BRASIL"], "Silva de Souza Neto"), (2, ["concreto. Curitiba. 32", "keywords: x"], "Lima")]
+
+
+@query("str17_numbered_and_long", "SELECT 1 AS id, ['1. casa', '2) vila'] AS k, true AS long UNION ALL SELECT 2, [], false")
+def _(t, spark):
+    return spark.createDataFrame(_LISTED, "id int, k array<string>, f string").select("id", tx.numbered(F.col("k")).alias("k"), tx.many_words(F.col("f")).alias("long"))
+
+
+@query("str9_usable_keywords", "SELECT 1 AS id, ['1', 'casa', 'rua', '2) vila'] AS k UNION ALL SELECT 2, ['concreto', 'Curitiba']")
+def _(t, spark):
+    df = spark.createDataFrame([(1, ["x1. casa", "rua", "2) vila", "CONCRETO ARMADO NO BRASIL"]), (2, ["concreto. Curitiba. 32", "keywords: x"])], "id int, k array<string>")
+    return df.select("id", F.transform(tx.usable_keywords(F.col("k")), lambda k: F.when(k == "x1", "1").otherwise(k)).alias("k"))
+
+
+@query("str10_trailing_event", "SELECT * FROM " + values([(1, "casa moderna"), (2, "rua")], "id, k"))
+def _(t, spark):
+    df = spark.createDataFrame([(1, "casa moderna. 5º Seminário Docomomo Sul"), (2, "rua")], "id int, k string")
+    return df.select("id", tx.without_trailing_event(F.col("k"), r"\d+º\s+seminário").alias("k"))
+
+
+@query("str23_running_header", "SELECT 1 AS id, ['SILVA, A. Um.', 'LIMA, B. Dois.'] AS r")
+def _(t, spark):
+    df = spark.createDataFrame([(1, ["ANAIS 5", "ANAIS 5 SILVA, A. Um.", "LIMA, B. ANAIS 5 Dois."])], "id int, r array<string>")
+    return df.select("id", tx.without_running_header(F.col("r"), "ANAIS 5").alias("r"))
+
+
+@query("str28_name_lists", "SELECT * FROM " + values([(1, "Silva, Ana; Docomomo")], "id, n"))
+def _(t, spark):
+    df = spark.createDataFrame([(1, [("Ana", "Silva"), ("", "Docomomo")])], "id int, p array<struct<given:string,family:string>>")
+    return df.select("id", tx.name_list(F.col("p")).alias("n"))
+
+
+@query("str30_leading_phrases", "SELECT * FROM " + values([(1, "Texto"), (2, "Um texto")], "id, x"))
+def _(t, spark):
+    df = spark.createDataFrame([(1, "Página 3 A. Texto"), (2, "Um texto")], "id int, x string")
+    return df.select("id", tx.without_intro(F.col("x"), [r"Página \d+", r"[A-Z]\."]).alias("x"))
+
+
+@query("nam16_clean_authors", "SELECT * FROM " + values([(1, "João da Silva"), (2, "Ana Lima")], "id, n"))
+def _(t, spark):
+    df = spark.createDataFrame([(1, "Prof. Dr. João\n da Silva."), (2, "Ana Lima, MSc.")], "id int, n string")
+    return df.select("id", tx.clean_author(F.col("n")).alias("n"))
+
+
+@query("win13_first_page_with_key", "SELECT * FROM " + values([(1, 2), (2, None)], "id, page"))
+def _(t, spark):
+    """The first page, from the second on, whose beginning has the key."""
+    df = spark.createDataFrame([(1, "casa\fx\fy casa\fcasa"), (2, "a\fb")], "id int, x string")
+    hits = F.filter(F.transform(F.split("x", "\f"), lambda p, i: F.when((i >= 1) & F.substring(p, 1, 600).contains("casa"), i)), lambda i: i.isNotNull())
+    return df.select("id", F.array_min(hits).alias("page"))
+
+
+_MINE = [(1, "Ana Lima"), (2, "Rui"), (3, "Eva")]
+_THEIRS = [(1, "Ana"), (2, "Rui Costa"), (3, "Rui Sá")]
+
+
+@query("join19_either_contains", "SELECT * FROM " + values([(1, 1), (2, 2)], "id, other"))
+def _(t, spark):
+    """Authors with the first extracted one that contains them or is contained, met on a shared word."""
+    word = lambda c: F.explode(F.array_distinct(tx.words(F.lower(c))))
+    a = spark.createDataFrame(_MINE, "id int, n string").withColumn("w", word("n"))
+    b = spark.createDataFrame(_THEIRS, "other int, m string").withColumn("w", word("m"))
+    hits = a.join(b, "w").where(F.lower("n").contains(F.lower("m")) | F.lower("m").contains(F.lower("n"))).select("id", "other").distinct()
+    return ops.latest_per_key(hits, "id", [F.asc("other")])
