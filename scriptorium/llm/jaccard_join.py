@@ -24,6 +24,7 @@ if all its paths are.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -182,7 +183,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 b[full] = row_sums(mix(flat ^ U(0xA0761D6478BD642F)), heads).view(np.int64)
                 keys = band_keys(kept).view(np.int64)
                 for k, row in enumerate(full):
-                    bands[row], vecs[row] = keys[k], count_vector(kept[k]).tobytes()
+                    bands[row], vecs[row] = keys[k], zlib.compress(count_vector(kept[k]).tobytes(), 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(n), pa.array(a), pa.array(b), pa.array(bands, pa.list_(pa.int64())), pa.array(vecs, pa.binary())],
                 names=["doc_id", "n_shingles", "set_a", "set_b", "bands", "vec"],
@@ -202,7 +203,7 @@ def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n_u, n_v = batch.column("n_u").to_numpy(), batch.column("n_v").to_numpy()
         keep = (n_u * NUMERATOR <= n_v * DENOMINATOR) & (n_v * NUMERATOR <= n_u * DENOMINATOR)
         for k in np.flatnonzero(keep):
-            u, v = (np.frombuffer(batch.column(c)[k].as_buffer(), dtype=np.uint16) for c in ("vec_u", "vec_v"))
+            u, v = (np.frombuffer(zlib.decompress(batch.column(c)[k].as_py()), dtype=np.uint16) for c in ("vec_u", "vec_v"))
             g = min(len(u), len(v))
             keep[k] = np.minimum(folded(u, g), folded(v, g)).sum() >= needed(n_u[k], n_v[k])
         yield batch.select(["u", "v"]).filter(pa.array(keep))
@@ -237,7 +238,7 @@ def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
     ids, comps, sizes, asks = block["rep"].to_numpy(), block["comp"].to_numpy(), block["n"].to_numpy(), block["asks"].to_numpy()
     us, vs = [], []
     if asks.any() and len(ids) > 1 and (comps != comps[0]).any():
-        vecs = [np.frombuffer(v, dtype=np.uint16) for v in block["vec"]]
+        vecs = [np.frombuffer(zlib.decompress(v), dtype=np.uint16) for v in block["vec"]]
         g = min(len(v) for v in vecs)
         points = np.stack([folded(v, g) for v in vecs])
         tree = CountVectorRTree(points, sizes)
@@ -266,21 +267,23 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     reps = stored(
         sig.where("n_shingles > 0")
         .join(first.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
-        .dropDuplicates(["doc_id"])
         .select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "vec")
     )
     banded = reps.select("rep", F.explode("bands").alias("band"))
     leads = stored(banded.groupBy("band").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size")).where("size > 1"))
     shared = stored(banded.join(leads, "band").select("band", "rep", "lead"))
 
-    points = reps.select("rep", "n", "vec")
+    points, sizes = reps.select("rep", "n", "vec"), reps.select("rep", "n")
     stars = shared.where("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
-    both = stars.join(points.toDF("u", "n_u", "vec_u"), "u").join(points.toDF("v", "n_v", "vec_v"), "v")
-    bounded = both.where(f"n_u * {NUMERATOR} <= n_v * {DENOMINATOR} and n_v * {NUMERATOR} <= n_u * {DENOMINATOR}").mapInArrow(_bounded, "u long, v long")
+    # Most chance meetings end at the sizes, before count vectors move.
+    stars = stars.join(sizes.toDF("u", "n_u"), "u").join(sizes.toDF("v", "n_v"), "v")
+    stars = stored(stars.where(f"n_u * {NUMERATOR} <= n_v * {DENOMINATOR} and n_v * {NUMERATOR} <= n_u * {DENOMINATOR}"))
+    both = stars.join(points.select(F.col("rep").alias("u"), F.col("vec").alias("vec_u")), "u").join(points.select(F.col("rep").alias("v"), F.col("vec").alias("vec_v")), "v")
+    bounded = both.mapInArrow(_bounded, "u long, v long")
     links = stored(_verified(stored(bounded), docs))
     partial = components(links, "u", "v")
 
-    comp = reps.select("rep").join(partial.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
+    comp = reps.select("rep").distinct().join(partial.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
     placed = shared.select("band", "rep").join(comp, "rep")
     per = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = stored(
@@ -300,7 +303,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     ).selectExpr("band", "rep", "comp", "at.i i", "at.j j", "at.asks asks")
     blocks = rows.join(points, "rep").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
     found = blocks.select("band", "i", "j", "rep", "comp", "n", "vec", "asks").mapInPandas(_search_blocks, "u long, v long").distinct()
-    more = stored(_verified(stored(found.join(stars, ["u", "v"], "left_anti")), docs))
+    more = stored(_verified(stored(found.join(stars.select("u", "v"), ["u", "v"], "left_anti")), docs))
     if more.isEmpty():
         whole = comp
     else:
