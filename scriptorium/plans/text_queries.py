@@ -218,7 +218,7 @@ def _(t, spark):
     return df.select("id", cite.xml("article", F.col("id"), {"title": F.col("title"), "year": F.col("yr"), "publisher": F.col("pub")}).alias("xml"))
 
 
-_EVENTS = [(1, "3º Seminário Docomomo Norte-Nordeste, 2010"), (2, "sem evento")]
+_EVENTS = [(1, "3º Seminário Casa Moderna Norte-Nordeste, 2010"), (2, "sem evento")]
 
 
 @query("prj5_event_titles", f"""
@@ -283,7 +283,7 @@ def _(t, spark):
 
 @query("str10_trailing_event", "SELECT * FROM " + values([(1, "casa moderna"), (2, "rua")], "id, k"))
 def _(t, spark):
-    df = spark.createDataFrame([(1, "casa moderna. 5º Seminário Docomomo Sul"), (2, "rua")], "id int, k string")
+    df = spark.createDataFrame([(1, "casa moderna. 5º Seminário Casa Moderna Sul"), (2, "rua")], "id int, k string")
     return df.select("id", tx.without_trailing_event(F.col("k"), r"\d+º\s+seminário").alias("k"))
 
 
@@ -293,9 +293,9 @@ def _(t, spark):
     return df.select("id", tx.without_running_header(F.col("r"), "ANAIS 5").alias("r"))
 
 
-@query("str28_name_lists", "SELECT * FROM " + values([(1, "Silva, Ana; Docomomo")], "id, n"))
+@query("str28_name_lists", "SELECT * FROM " + values([(1, "Silva, Ana; Instituto")], "id, n"))
 def _(t, spark):
-    df = spark.createDataFrame([(1, [("Ana", "Silva"), ("", "Docomomo")])], "id int, p array<struct<given:string,family:string>>")
+    df = spark.createDataFrame([(1, [("Ana", "Silva"), ("", "Instituto")])], "id int, p array<struct<given:string,family:string>>")
     return df.select("id", tx.name_list(F.col("p")).alias("n"))
 
 
