@@ -37,12 +37,13 @@ SAMPLES = 2
 #: Exponent of the weights: smaller values flatten the distribution.
 ALPHA = 1.0
 #: Code points that are worked on together.
-SLICE_CHARS = 500_000
+SLICE_CHARS = 800_000
 #: Pieces of a path that are looked at in one step for the place where the next sample leaves it.
 WINDOW = 32
 
 SPACE_PIECE = 0x2581
 _LITERAL = 0x110000  # stands for a U+2581 of the text itself, which no piece may match
+_BEGINNING = -2  # slot of a string that is no piece but begins one
 _BASE = 0x2545F4914F6CDD1D
 
 
@@ -61,7 +62,7 @@ class Vocabulary:
 
 
 _INVERSE = pow(_BASE, -1, 2**64)
-_TABLE_BITS = 18
+_TABLE_BITS = 19
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -96,10 +97,11 @@ def vocabulary(path: str = MODEL, alpha: float = ALPHA) -> Vocabulary:
     slots = np.full(1 << _TABLE_BITS, -1, dtype=np.int64)
     keys = np.zeros(1 << _TABLE_BITS, dtype=U)
     power = [pow(_BASE, k, 2**64) for k in range(longest)]
-    for piece, i in entries.items():
+    beginnings = {p[:k] for p in entries for k in range(1, len(p))}
+    for piece, i in {**dict.fromkeys(beginnings, _BEGINNING), **entries}.items():
         h = sum((ord(c) + 1) * power[k] for k, c in enumerate(piece)) % 2**64
         at = _slot(h)
-        while slots[at] >= 0:
+        while slots[at] != -1:
             at = (at + 1) % len(slots)
         keys[at], slots[at] = h, i
     return Vocabulary(longest, keys, slots, weight, raw, byte_ids, float((2.0 + n) ** -alpha), n)
@@ -133,7 +135,7 @@ class Lattices:
         np.cumsum((code.astype(U) + U(1)) * _powers(n + 1, _BASE)[:n], out=sums[1:])
         back = _powers(n + 1, _INVERSE)
         ids = np.full((n, longest), -1, dtype=np.int32)
-        at = np.arange(n)
+        at, width = np.arange(n), 1
         for length in range(1, longest + 1):
             at = at[left[at] >= length]
             if not len(at):
@@ -144,11 +146,18 @@ class Lattices:
             open_ = np.arange(len(at))
             while len(open_):
                 here = vocab.slots[slot[open_]]
-                same = (here >= 0) & (vocab.keys[slot[open_]] == h[open_])
+                same = (here != -1) & (vocab.keys[slot[open_]] == h[open_])
                 found[open_[same]] = here[same]
-                open_ = open_[(here >= 0) & ~same]
+                open_ = open_[(here != -1) & ~same]
                 slot[open_] = (slot[open_] + 1) % len(vocab.slots)
-            ids[at, length - 1] = found
+            hit = found >= 0
+            ids[at[hit], length - 1] = found[hit]
+            # Longer pieces begin with what is a piece or begins one.
+            at = at[found != -1]
+            if hit.any():
+                width = length
+        # No piece of this slice is longer.
+        longest, ids = width, np.ascontiguousarray(ids[:, :width])
         weight = np.where(ids >= 0, vocab.weight[ids], 0.0)
         bare = np.flatnonzero(ids[:, 0] < 0)
         ids[bare, 0] = vocab.size + code[bare]
@@ -177,7 +186,8 @@ class Lattices:
                     raise AssertionError("a window is shorter than the longest piece")
         self.ids, self.share = ids, weight
         self.cumulated = np.cumsum(weight, axis=1)
-        self.cumulated[:, -1] = 2.0
+        # The last piece with a share takes what rounding leaves.
+        self.cumulated[self.cumulated > 1 - 1e-12] = 2.0
 
 
 def _uniform(seed: np.ndarray, *parts) -> np.ndarray:
@@ -435,10 +445,24 @@ class Encoder:
         return out.astype(np.int32), heads[bounds]
 
 
-def decode_ids(ids: np.ndarray, vocab: Vocabulary) -> str:
-    """The text of a sequence of ids: pieces joined, without the space that encoding puts in front."""
-    raw = b"".join([vocab.raw[i] for i in ids.tolist()])
-    return raw[1:].decode("utf-8", "surrogatepass")
+@lru_cache(2)
+def _raw(path: str) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all pieces end to end, and where each begins."""
+    raw = vocabulary(path, ALPHA).raw
+    return np.frombuffer(b"".join(raw), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+
+
+def decode_lists(ids: pa.ListArray, path: str = MODEL) -> pa.Array:
+    """The texts of lists of ids: pieces joined, without the space that encoding puts in front; null stays null."""
+    data, begin = _raw(path)
+    flat = ids.flatten().to_numpy(zero_copy_only=False)
+    sizes = begin[flat + 1] - begin[flat]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    out = data[np.arange(ends[-1]) + np.repeat(begin[flat] - ends[:-1], sizes)].tobytes()
+    counts = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    cuts = ends[np.concatenate([[0], np.cumsum(counts)])]
+    valid = ids.is_valid().to_pylist()
+    return pa.array([out[a + 1 : b].decode("utf-8", "surrogatepass") if ok else None for a, b, ok in zip(cuts, cuts[1:], valid)], pa.string())
 
 
 SCHEMA = "sample int, ids array<int>, log_prob double, value double, inclusion double"
@@ -484,12 +508,10 @@ def decode(df: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
     """df with the column ``decoded``: the text of its ids; null stays null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(model, ALPHA)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             for i in range(0, len(batch), 256):
-                texts = [None if not x.is_valid else decode_ids(x.values.to_numpy(zero_copy_only=False), vocab) for x in column.slice(i, 256)]
-                yield pa.RecordBatch.from_arrays([*[c.slice(i, 256) for c in batch.columns], pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, 256) for c in batch.columns], decode_lists(column.slice(i, 256), model)], names=[*batch.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     return df.mapInArrow(run, f"{fields}, decoded string")
