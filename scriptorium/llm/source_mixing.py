@@ -68,9 +68,10 @@ def learn(docs: DataFrame, labels: DataFrame, domains: tuple[str, ...] = DOMAINS
     in_order = F.sort_array(F.collect_list(F.struct("feature", *[f"n_{d}" for d in domains])))
     one = dense.agg(in_order.alias("rows"), *[F.sum(f"n_{d}").alias(f"all_{d}") for d in domains])
     width = WORDS + ENDINGS
-    arrays = [
-        F.expr(f"transform(rows, r -> ln(r.n_{d} + {SMOOTHING}D) - ln(all_{d} + {SMOOTHING * width}D))").alias(f"ll_{d}") for d in domains
-    ]
+    # Smoothing in proportion to a domain's words: words that no domain has speak for none.
+    every_word = " + ".join(f"all_{d}" for d in domains)
+    part = {d: f"({SMOOTHING}D * greatest(coalesce(all_{d} * {len(domains)}D / nullif({every_word}, 0), 0D), 1e-9D))" for d in domains}
+    arrays = [F.expr(f"transform(rows, r -> ln(r.n_{d} + {part[d]}) - ln(all_{d} + {width}D * {part[d]}))").alias(f"ll_{d}") for d in domains]
     priors = chosen.agg(*[((F.count(F.when(F.col("domain") == d, 1)) + 1.0) / (F.count(F.lit(1)) + float(len(domains)))).alias(f"prior_{d}") for d in domains])
     return stored(one.select(*arrays).crossJoin(F.broadcast(priors)))
 

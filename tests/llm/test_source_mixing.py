@@ -69,7 +69,9 @@ def test_posteriors_against_plain_counts(spark):
         for w in split(texts[i]):
             for f in ids[w]:
                 counts[d][f] += 1
-    ll = {d: np.log(c + sm.SMOOTHING) - np.log(c.sum() + sm.SMOOTHING * len(c)) for d, c in counts.items()}
+    all_words = sum(c.sum() for c in counts.values())
+    part = {d: sm.SMOOTHING * max(c.sum() * 3 / all_words, 1e-9) for d, c in counts.items()}
+    ll = {d: np.log(c + part[d]) - np.log(c.sum() + part[d] * len(c)) for d, c in counts.items()}
     for i, t in texts.items():
         words = split(t)
         z = np.array([sum(ll[d][f] for w in words for f in ids[w]) * sm.EVIDENCE / max(sm.EVIDENCE, len(words)) + math.log((sum(v == d for v in known.values()) + 1) / (len(known) + 3)) for d in domains])
