@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 from scriptorium.llm import jaccard_join, language_id, line_dedup, piece_sampling, source_mixing
 from scriptorium.llm.common import DOC_COLUMNS, stored, table
 
+#: Share of a document's letters that learned languages must explain.
+EXPLAINED = 0.5
 #: What becomes of the tokens of each domain. At 1.05 a document that is surely good always stays.
 FACTORS = {"good": 1.05, "low": 0.3, "toxic": 0.05}
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned from those with a language; texts without a letter go.
+    """Documents of which languages learned from those with a language explain at least EXPLAINED of the letters;
+    others, key-mash and texts without a letter go.
 
     A low score alone rejects nothing: it marks mixed texts, which may be clean.
     """
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
     found = language_id.identify(docs, model, tuple(DOC_COLUMNS))
-    return found.where(F.col("lang_pred") != language_id.UNKNOWN).select(*DOC_COLUMNS)
+    return found.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("explained") >= EXPLAINED)).select(*DOC_COLUMNS)
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

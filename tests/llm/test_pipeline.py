@@ -56,3 +56,14 @@ def test_run_against_expectation(spark, tmp_path, empty):
     assert {r.doc_id for r in got} == set(four)
     assert all(r.decoded == four[r.doc_id].text for r in got)
     assert max(r["sample"] for r in got) == 1
+
+
+def test_language_stage_rejects_unlearned_text(spark):
+    rng = np.random.default_rng(6)
+    learned = [(i, " ".join(rng.choice(VOCAB[lang].split(), 40)), lang) for i, lang in enumerate(["en", "fr"] * 20)]
+    mash = " ".join("".join(rng.choice(list("bcdfgjklmpqxz"), 6)) for _ in range(40))
+    finnish = "kaikki ihmiset syntyvät vapaina tasavertaisina arvoltaan oikeuksiltaan heille annettu järki omatunto"
+    both = f"{learned[0][1]} {learned[1][1]} {learned[2][1]} {learned[3][1]}"
+    more = [(100, mash, None), (101, finnish, None), (102, "$$$ %%% a 123 ### 漢", None), (103, both, None), (104, f"{learned[4][1]} {mash[:60]}", None)]
+    docs = spark.createDataFrame([(i, t, lang, "s0", len(t)) for i, t, lang in learned + more], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in cp.identified(spark, docs, "").collect()} == {i for i, *_ in learned} | {103, 104}
