@@ -15,8 +15,8 @@ from scriptorium.llm.common import DOC_COLUMNS, stored, table
 
 #: Share of a document's letters that learned languages must explain.
 EXPLAINED = 0.5
-#: What becomes of the tokens of each domain. At 1.05 a document that is surely good always stays.
-FACTORS = {"good": 1.05, "low": 0.3, "toxic": 0.05}
+#: What becomes of the tokens of each domain in documents whose likeliest domain is not WHOLE; those where it is stay.
+FACTORS, WHOLE = {"good": 1.0, "low": 0.3, "toxic": 0.05}, "good"
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +45,11 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the fitted rates take at least once."""
-    rates = source_mixing.mix(docs, source_mixing.labelled(spark, sf_dir), factors=FACTORS)
-    taken = rates.where("copies >= 1").select("doc_id")
-    return docs.select(*DOC_COLUMNS).join(taken, "doc_id", "left_semi").select(*DOC_COLUMNS)
+    """Every document as often as its fitted rate says: once if it is likeliest good, others are thinned."""
+    rates = source_mixing.mix(docs, source_mixing.labelled(spark, sf_dir), factors=FACTORS, whole=WHOLE)
+    taken = rates.where("copies >= 1").select(F.col("doc_id").alias("_id"), "copies")
+    rows = docs.select(*DOC_COLUMNS).join(taken, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*DOC_COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -145,24 +145,29 @@ def copies(rate: Column, key: Column) -> Column:
     return F.floor(rate + draw).cast("int")
 
 
-def mix(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] | None = None, budget: float = 1.0, factors: Mapping[str, float] | None = None) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, shares: Mapping[str, float] | None = None, budget: float = 1.0, factors: Mapping[str, float] | None = None, whole: str | None = None) -> DataFrame:
     """(doc_id, tokens, p_<domain>..., rate, copies) for every doc_id of docs (doc_id, text).
 
     Targets are either shares of budget times all tokens, or factors of the
-    expected total that each domain has now. Null and empty texts have no tokens
+    expected total that each domain has now. Documents whose likeliest domain is
+    ``whole`` have rate 1; targets and rates are then those of the others. Null and empty texts have no tokens
     and the rate that their prior posteriors give.
     """
     domains = tuple(shares or factors)
     members = stored(posteriors(docs, learn(docs, labels, domains), domains))
-    now = members.agg(F.sum("tokens"), *[F.sum(F.col("tokens") * F.col(f"p_{d}")) for d in domains]).first()
+    sure = F.lit(False)
+    if whole:
+        sure = F.col(f"p_{whole}") >= F.array_max(F.array(*[F.col(f"p_{d}") for d in domains]))
+    fitted = members.where(~sure)
+    now = fitted.agg(F.sum("tokens"), *[F.sum(F.col("tokens") * F.col(f"p_{d}")) for d in domains]).first()
     now = [float(v or 0) for v in now]
     if shares:
-        whole = sum(shares.values())
-        targets = {d: shares[d] / whole * budget * now[0] for d in domains}
+        total = sum(shares.values())
+        targets = {d: shares[d] / total * budget * now[0] for d in domains}
     else:
         targets = {d: factors[d] * now[i + 1] for i, d in enumerate(domains)}
-    rate, _, _ = fit_rates(members, targets)
-    return members.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
+    rate, _, _ = fit_rates(fitted, targets)
+    return members.withColumn("rate", F.when(sure, 1.0).otherwise(rate) if whole else rate).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
 
 
 #: Target shares of the tokens, and the tokens asked for as a share of all.

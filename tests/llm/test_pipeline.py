@@ -67,3 +67,11 @@ def test_language_stage_rejects_unlearned_text(spark):
     more = [(100, mash, None), (101, finnish, None), (102, "$$$ %%% a 123 ### 漢", None), (103, both, None), (104, f"{learned[4][1]} {mash[:60]}", None)]
     docs = spark.createDataFrame([(i, t, lang, "s0", len(t)) for i, t, lang in learned + more], "doc_id long, text string, lang string, source string, n_chars long")
     assert {r.doc_id for r in cp.identified(spark, docs, "").collect()} == {i for i, *_ in learned} | {103, 104}
+
+
+def test_mixing_stage_emits_copies(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"t{i}", "en", "s0", 2) for i in (0, 1, 2, 3)] + [(None, "t", "en", "s0", 1)], "doc_id long, text string, lang string, source string, n_chars long")
+    rates = spark.createDataFrame([(0, 0), (1, 1), (2, 2), (3, 3), (None, 1)], "doc_id long, copies int")
+    monkeypatch.setattr(cp.source_mixing, "labelled", lambda *a: None)
+    monkeypatch.setattr(cp.source_mixing, "mix", lambda *a, **b: rates)
+    assert sorted(r.text for r in cp.mixed(spark, docs, "").collect()) == ["t", "t1", "t2", "t2", "t3", "t3", "t3"]

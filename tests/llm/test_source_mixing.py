@@ -88,3 +88,18 @@ def test_empty_tables(spark, which):
     else:
         got = sm.mix(docs, labels.where("false"), shares={"good": 1, "low": 1}).collect()
         assert all(abs(r.p_good - 0.5) < 1e-9 for r in got)
+
+
+def test_likeliest_good_stay_whole(spark):
+    docs, labels = make(spark)
+    factors = {"good": 1.0, "low": 0.3, "toxic": 0.05}
+    got = sm.mix(docs, labels, factors=factors, whole="good").collect()
+    assert len(got) == docs.count()
+    good = [r for r in got if r.p_good >= max(r.p_low, r.p_toxic)]
+    assert any(r.p_good < 0.9 for r in good) and all(r.rate == 1 and r.copies == 1 for r in good)
+    rest = [r for r in got if r.p_good < max(r.p_low, r.p_toxic)]
+    total = sum(r.tokens for r in rest)
+    for d, f in factors.items():
+        p = np.array([r[f"p_{d}"] * r.tokens for r in rest])
+        assert abs(p @ np.array([r.rate for r in rest]) - f * p.sum()) < 0.02 * total
+    assert np.mean([r.copies for r in rest]) < 0.7
