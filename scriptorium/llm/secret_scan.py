@@ -2,8 +2,9 @@
 
 Every text is a layer. Scanning a layer yields spans by kind; unwrapping it
 yields more layers: the layer with URL and Unicode escapes resolved, and one for
-each base64 run that holds text or compressed text. Layers are worked off until
-none is new. A layer remembers which characters of its parent each of its
+each base64 run, wrapped over lines or not, and for compressed bytes in such runs or in
+escapes, unpacked to their end. Bytes are read as UTF-8, whatever is broken in it, and as
+UTF-16 where they hold a zero. Layers are worked off until none is new. A layer remembers which characters of its parent each of its
 characters stands for, so every span is reported in the whole text's own
 code points.
 """
@@ -13,11 +14,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
+import hashlib
 import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,11 +34,21 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A run of [0-9a-f]+ that is long enough is the same match as with {24,}: both take the whole run.
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
-#: Bytes to which one compressed run is unwrapped at most, against archives that never end.
-MAX_UNPACKED = 64_000_000
+#: Characters of unpacked text held at once; a window ends where no span and no run can be open.
+WINDOW = 8_000_000
+#: Archives within each other that are unpacked, as some unpack to themselves.
+NESTED = 64
 
 _ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\U000[0-9A-Fa-f]{5}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 runs that follow each other over lines; the last may be short.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[ \t]*+\r?\n[ \t]*+)+[A-Za-z0-9+/_-]++={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
+#: Bytes written as escapes, with those that need none between them.
+_BYTES = re.compile(r"(?:(?:%|\\x)[0-9A-Fa-f]{2}|[A-Za-z0-9_.~-]){8,}")
+_BYTE = re.compile(r"(?:%|\\x)([0-9A-Fa-f]{2})")
+#: Characters that are in no span, escape or run.
+_APART = re.compile(r"[^A-Za-z0-9+/_.=\-\"':%\\&#;{}\s~]")
 
 Span = tuple[int, int, int]
 
@@ -129,34 +141,158 @@ class Layer:
         return Layer("".join(pieces), at, src, whole)
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    for magic, make in ((b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"x", lambda: zlib.decompressobj(15)), (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ", lzma.LZMADecompressor)):
+_PACKED = (
+    (b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"x", lambda: zlib.decompressobj(15)),
+    (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ", lzma.LZMADecompressor),
+)
+
+
+def _is_packed(raw: bytes) -> bool:
+    """Whether bytes begin as packed ones do, of which the first few can be taken."""
+    for magic, make in _PACKED:
         if raw.startswith(magic):
             try:
-                return make().decompress(raw, MAX_UNPACKED)
+                make().decompress(raw[:64], 1)
+                return True
             except (zlib.error, OSError, EOFError, lzma.LZMAError):
-                return None
-    return None
+                return False
+    return False
 
 
-def base64_text(run: str) -> str | None:
-    """The text that a base64 run holds, compressed or not; None if it holds none."""
+def _member(raw: bytes, more: Iterator[bytes]) -> Iterator[bytes]:
+    """What raw and the chunks after it hold unpacked, member after member, and bytes after the last as they are.
+
+    Bytes that only look packed are given as they are; of broken ones, what could be unpacked.
+    """
+    while True:
+        make = next((make for magic, make in _PACKED if raw.startswith(magic)), None)
+        if make is None:
+            yield raw
+            yield from more
+            return
+        unpacker, taken, fresh = make(), [], True
+        feed = raw
+        try:
+            while not unpacker.eof:
+                if fresh and feed is not None:
+                    taken.append(feed)
+                out = unpacker.decompress(feed or b"", 1_000_000)
+                if out:
+                    fresh = False
+                    yield out
+                feed = getattr(unpacker, "unconsumed_tail", b"")
+                if not unpacker.eof and not feed and (not out if hasattr(unpacker, "unconsumed_tail") else unpacker.needs_input):
+                    feed = next(more, None)
+                    if feed is None:
+                        break
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            if fresh:
+                yield from taken
+                yield from more
+            return
+        if not unpacker.eof:
+            if fresh:
+                yield from taken
+            return
+        raw = unpacker.unused_data.lstrip(b"\0") or next(more, b"")
+        while raw and len(raw) < 8 and (feed := next(more, None)) is not None:
+            raw += feed
+        if not raw:
+            return
+
+
+def unpacked(raw: bytes) -> Iterator[bytes]:
+    """The chunks of bytes that raw holds, through archives within archives."""
+    chunks = iter([raw])
+    for _ in range(NESTED):
+        head = b""
+        for chunk in chunks:
+            head += chunk
+            if len(head) >= 8:
+                break
+        if not _is_packed(head):
+            yield head
+            break
+        chunks = _member(head, chunks)
+    yield from chunks
+
+
+def windows(chunks: Iterator[bytes]) -> Iterator[str]:
+    """The text of chunks in windows: as UTF-8, and in both orders as UTF-16 where there are zeros."""
+    readers = [(codecs.getincrementaldecoder(name)("replace"), name != "utf-8") for name in ("utf-8", "utf-16-le", "utf-16-be")]
+    held, zeros = ["", "", ""], [False] * 3
+    parts: list[list[str]] = [[], [], []]
+    sizes = [0, 0, 0]
+    done = False
+    while not done:
+        chunk = next(chunks, None)
+        done = chunk is None
+        for k, (reader, wide) in enumerate(readers):
+            zeros[k] |= b"\0" in (chunk or b"")
+            parts[k].append(reader.decode(chunk or b"", done))
+            sizes[k] += len(parts[k][-1])
+            if not done and sizes[k] < WINDOW:
+                continue
+            text = held[k] + "".join(parts[k])
+            parts[k], sizes[k] = [], 0
+            cut = len(text)
+            if not done:
+                while cut and not _APART.match(text, cut - 1):
+                    cut -= 1
+            held[k] = text[cut:]
+            if cut and (not wide or zeros[k]):
+                yield text[:cut]
+            if cut:
+                zeros[k] = False if not held[k] else zeros[k]
+
+
+def base64_bytes(run: str) -> bytes | None:
+    """The bytes that a base64 run holds."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     body = body[:-1] if len(body) % 4 == 1 else body
     try:
-        raw = base64.b64decode(body + "=" * (-len(body) % 4))
+        return base64.b64decode(body + "=" * (-len(body) % 4))
     except (binascii.Error, ValueError):
         return None
-    for _ in range(64):
-        inner = _unpacked(raw)
-        if inner is None or inner == raw:
-            break
-        raw = inner
-    try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+
+
+def _joined(text: str) -> Iterator[tuple[str, int, int]]:
+    """(run, start, end) of wrapped base64: lines that follow each other, and blocks of equal lines with a last shorter one."""
+    for m in _WRAPPED.finditer(text):
+        lines = [(x[0], x.start(), x.end()) for x in _LINE.finditer(text, m.start(), m.end())]
+        blocks, i = [(0, len(lines))], 0
+        while i < len(lines):
+            j = i + 1
+            while j < len(lines) and len(lines[j][0]) == len(lines[i][0]):
+                j += 1
+            # What follows the end of a payload does not matter.
+            blocks.append((i, j + 1 if j < len(lines) and len(lines[j][0]) < len(lines[i][0]) else j))
+            i = j
+        for i, j in dict.fromkeys(b for b in blocks if b[1] - b[0] > 1):
+            yield "".join(x for x, _, _ in lines[i:j]), lines[i][1], lines[j - 1][2]
+
+
+def _below(layer: Layer, end: int) -> Iterator[tuple[Layer, int, int]]:
+    """The layers that a layer unwraps to, each with the part of the whole text that it stands for."""
+    text = layer.text
+    if "%" in text or "\\" in text or "&#" in text:
+        plain = layer.unescaped()
+        if plain is not None:
+            yield plain, 0, end
+        for m in _BYTES.finditer(text) if "%" in text or "\\x" in text else ():
+            if "%" in m[0] or "\\x" in m[0]:
+                raw = _BYTE.sub(lambda x: chr(int(x[1], 16)), m[0]).encode("latin-1")
+                if _is_packed(raw):
+                    a, b = layer.outer(m.start(), m.end())
+                    for inner in windows(unpacked(raw)):
+                        yield Layer(inner, [0], [a], [b]), a, b
+    runs = [(m[0], m.start(), m.end()) for m in _BASE64.finditer(text)]
+    for run, start, stop in [*runs, *_joined(text)] if runs else ():
+        raw = base64_bytes(run)
+        if raw:
+            a, b = layer.outer(start, stop)
+            for inner in windows(unpacked(raw)):
+                yield Layer(inner, [0], [a], [b]), a, b
 
 
 def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
@@ -164,35 +300,26 @@ def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
     found = set(base_spans(text) if base is None else base)
     if not text:
         return []
-    work = deque([Layer(text, [0], [0], [None])])
-    seen = {(text, 0, len(text))}
+    key = lambda inner, a, b: (hashlib.blake2b(inner.encode("utf-8", "surrogatepass"), digest_size=16).digest(), a, b)
+    # Depth first, so that of an archive one window is held.
+    work = [_below(Layer(text, [0], [0], [None]), len(text))]
+    seen = {key(text, 0, len(text))}
     while work:
-        layer = work.popleft()
-        below = []
-        if "%" in layer.text or "\\" in layer.text or "&#" in layer.text:
-            plain = layer.unescaped()
-            if plain is not None:
-                below.append((plain, plain.text, 0, len(text)))
-        for m in _BASE64.finditer(layer.text):
-            inner = base64_text(m[0])
-            if inner is not None:
-                a, b = layer.outer(m.start(), m.end())
-                below.append((Layer(inner, [0], [a], [b]), inner, a, b))
-        for child, inner, a, b in below:
-            if not inner or (inner, a, b) in seen:
-                continue
-            seen.add((inner, a, b))
-            for start, kind, end in base_spans(child.text):
-                first, last = child.outer(start, end)
-                found.add((first, kind, last))
-            work.append(child)
+        child, a, b = next(work[-1], (None, 0, 0))
+        if child is None:
+            work.pop()
+            continue
+        mark = key(child.text, a, b)
+        if not child.text or mark in seen:
+            continue
+        seen.add(mark)
+        for start, kind, end in base_spans(child.text):
+            first, last = child.outer(start, end)
+            found.add((first, kind, last))
+        work.append(_below(child, len(text)))
     return sorted(found)
 
 
-
-
-
-
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, base, spans) for every row: arrays of (kind, start, end) in code points, end exclusive.
 

@@ -1,6 +1,9 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -74,3 +77,31 @@ def test_whole_table(spark):
         assert by[i].base_sha256 == hashlib.sha256(want.encode()).hexdigest()
         assert by[i].spans == want
         assert (by[i].n_assign, by[i].n_access, by[i].n_hex) == tuple(sum(k == n for _, k, _ in brute(text or "")) for n in range(3))
+
+
+def test_decoded_layers_are_scanned_whole(monkeypatch):
+    secret = f"key {KEY} end"
+    for odd in ("\xa0", "\u200b", "\ufeff", "\xad", "\f", "\x1b", "\0"):
+        blob = b64(f"a{odd} {secret}")
+        assert hidden(f"text {blob} more", [("access", blob)])
+    for raw in (b"\xff\xfe\x80 " + secret.encode(), secret.encode("utf-16"), secret.encode("utf-16-be"), b"z" + secret.encode("utf-16-le")):
+        blob = b64(raw)
+        assert hidden(f"text {blob} more", [("access", blob)])
+    noise = random.Random(5).randbytes(300)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        blob = b64(pack(b"nothing, at all") + pack(secret.encode()))
+        assert hidden(f"text {blob} more", [("access", blob)])
+        blob = b64(pack(pack(secret.encode())))
+        assert hidden(f"text {blob} more", [("access", blob)])
+        for width in (64, 76):
+            raw = b64(pack(noise + secret.encode()))
+            lines = "\r\n".join(raw[i : i + width] for i in range(0, len(raw), width))
+            text = f"internationalization\n{lines}\n\nend"
+            assert (text.index(lines), 1, text.index(lines) + len(lines)) in ss.all_spans(text)
+    packed = gzip.compress(secret.encode(), mtime=0)
+    for form in ("%{:02x}", "\\x{:02X}"):
+        run = "".join(form.format(c) for c in packed)
+        assert hidden(f"text {run} more", [("access", run)])
+    monkeypatch.setattr(ss, "WINDOW", 1000)
+    blob = b64(gzip.compress(("x, " * 1_000_000 + "token" + " " * 5000 + "= abcdef12 (" + "é" * 3000 + ") " + b64(b64(gzip.compress(("q, " * 900 + HEX).encode())))).encode()))
+    assert hidden(f"text {blob} more", [("assign", blob), ("hex", blob)])
