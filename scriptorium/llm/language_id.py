@@ -37,27 +37,59 @@ UNKNOWN = "und"
 #: language left out of learning, under 0.5 in 2481 of 2500.
 EXPLAIN_KINDS, EXPLAIN = (1, 2), 0.4
 
-# Scripts by the first byte of a character in UTF-8 (and by the second, for those that share the first).
-SCRIPTS = ["none", "Latin", "Greek", "Cyrillic", "Armenian", "Hebrew", "Arabic", "Indic", "Thai", "Georgian", "Kana", "Han", "Hangul"]
-_SCRIPT = np.zeros(256, dtype=np.int8)
-for _lo, _hi, _name in (
-    (0x41, 0x5A, "Latin"), (0x61, 0x7A, "Latin"), (0xC3, 0xC9, "Latin"), (0xCD, 0xCF, "Greek"), (0xD0, 0xD3, "Cyrillic"),
-    (0xD4, 0xD6, "Armenian"), (0xD7, 0xD7, "Hebrew"), (0xD8, 0xDB, "Arabic"), (0xE0, 0xE0, "Indic"), (0xE4, 0xE9, "Han"), (0xEA, 0xED, "Hangul"),
-):
-    _SCRIPT[_lo : _hi + 1] = SCRIPTS.index(_name)
+#: Words whose labels are found together, unless a single text has more.
+GROUP_WORDS = 200_000
+#: Words that a pass of the Viterbi search takes one after the other.
+STRETCH = 128
+
+# Blocks of code points by script, as the Unicode standard lays them out.
+BLOCKS = (
+    ("Latin", 0x41, 0x5A), ("Latin", 0x61, 0x7A), ("Latin", 0xAA, 0xAA), ("Latin", 0xBA, 0xBA), ("Latin", 0xC0, 0xD6), ("Latin", 0xD8, 0xF6), ("Latin", 0xF8, 0x2AF),
+    ("Greek", 0x370, 0x3FF), ("Cyrillic", 0x400, 0x52F), ("Armenian", 0x530, 0x58F), ("Hebrew", 0x590, 0x5FF), ("Arabic", 0x600, 0x6FF), ("Syriac", 0x700, 0x74F),
+    ("Arabic", 0x750, 0x77F), ("Thaana", 0x780, 0x7BF), ("Nko", 0x7C0, 0x7FF), ("Arabic", 0x860, 0x8FF), ("Devanagari", 0x900, 0x97F), ("Bengali", 0x980, 0x9FF),
+    ("Gurmukhi", 0xA00, 0xA7F), ("Gujarati", 0xA80, 0xAFF), ("Oriya", 0xB00, 0xB7F), ("Tamil", 0xB80, 0xBFF), ("Telugu", 0xC00, 0xC7F), ("Kannada", 0xC80, 0xCFF),
+    ("Malayalam", 0xD00, 0xD7F), ("Sinhala", 0xD80, 0xDFF), ("Thai", 0xE00, 0xE7F), ("Lao", 0xE80, 0xEFF), ("Tibetan", 0xF00, 0xFFF), ("Myanmar", 0x1000, 0x109F),
+    ("Georgian", 0x10A0, 0x10FF), ("Hangul", 0x1100, 0x11FF), ("Ethiopic", 0x1200, 0x139F), ("Cherokee", 0x13A0, 0x13FF), ("Canadian", 0x1400, 0x167F),
+    ("Runic", 0x16A0, 0x16FF), ("Khmer", 0x1780, 0x17FF), ("Mongolian", 0x1800, 0x18AF), ("Georgian", 0x1C90, 0x1CBF), ("Latin", 0x1E00, 0x1EFF), ("Greek", 0x1F00, 0x1FFF),
+    ("Latin", 0x2C60, 0x2C7F), ("Georgian", 0x2D00, 0x2D2F), ("Tifinagh", 0x2D30, 0x2D7F), ("Ethiopic", 0x2D80, 0x2DDF), ("Cyrillic", 0x2DE0, 0x2DFF), ("Han", 0x2E80, 0x2FDF),
+    ("Han", 0x3005, 0x3007), ("Kana", 0x3041, 0x30FF), ("Bopomofo", 0x3100, 0x312F), ("Hangul", 0x3130, 0x318F), ("Kana", 0x31F0, 0x31FF), ("Han", 0x3400, 0x4DBF),
+    ("Han", 0x4E00, 0x9FFF), ("Yi", 0xA000, 0xA4CF), ("Cyrillic", 0xA640, 0xA69F), ("Latin", 0xA720, 0xA7FF), ("Hangul", 0xA960, 0xA97F), ("Myanmar", 0xA9E0, 0xA9FF),
+    ("Ethiopic", 0xAB00, 0xAB2F), ("Latin", 0xAB30, 0xAB6F), ("Cherokee", 0xAB70, 0xABBF), ("Hangul", 0xAC00, 0xD7FF), ("Han", 0xF900, 0xFAFF), ("Latin", 0xFB00, 0xFB06),
+    ("Armenian", 0xFB13, 0xFB17), ("Hebrew", 0xFB1D, 0xFB4F), ("Arabic", 0xFB50, 0xFDFF), ("Arabic", 0xFE70, 0xFEFC), ("Latin", 0xFF21, 0xFF3A), ("Latin", 0xFF41, 0xFF5A),
+    ("Kana", 0xFF66, 0xFF9F), ("Hangul", 0xFFA0, 0xFFDC), ("Supplementary", 0x10000, 0x1EFFF), ("Han", 0x20000, 0x323AF),
+)
+SCRIPTS = ["none", *dict.fromkeys(name for name, _, _ in BLOCKS)]
+_LOW = np.array([lo for _, lo, _ in BLOCKS])
+_HIGH = np.array([hi for _, _, hi in BLOCKS])
+_NUMBER = np.array([SCRIPTS.index(name) for name, _, _ in BLOCKS], dtype=np.int8)
 
 _LETTER = regex.compile(r"\p{L}")
 
 
+def code_scripts(codes: np.ndarray) -> np.ndarray:
+    """Script number of every code point, 0 for those in no block of BLOCKS."""
+    at = np.maximum(np.searchsorted(_LOW, codes, side="right") - 1, 0)
+    return np.where((codes >= _LOW[at]) & (codes <= _HIGH[at]), _NUMBER[at], np.int8(0))
+
+
+_ASCII = code_scripts(np.arange(128))
+
+
 def byte_scripts(data: np.ndarray) -> np.ndarray:
     """Script number of every byte that begins a letter, 0 elsewhere."""
-    out = _SCRIPT[data]
-    if len(data) > 1:
-        after = np.append(data[1:], 0)
-        out = np.where((data == 0xE0) & ((after == 0xB8) | (after == 0xB9)), SCRIPTS.index("Thai"), out)
-        out = np.where((data == 0xE1) & ((after == 0x82) | (after == 0x83)), SCRIPTS.index("Georgian"), out)
-        out = np.where((data == 0xE1) & (after >= 0xB8), SCRIPTS.index("Latin"), out)
-        out = np.where((data == 0xE3) & (after >= 0x81) & (after <= 0x83), SCRIPTS.index("Kana"), out)
+    out = np.zeros(len(data), dtype=np.int8)
+    plain = data < 0x80
+    out[plain] = _ASCII[data[plain]]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        # A broken character at the end takes zeros for what it lacks.
+        after = np.concatenate([data, np.zeros(3, dtype=np.uint8)])
+        first = data[lead].astype(np.int64)
+        size = 1 + (first >= 0xE0) + (first >= 0xF0)
+        codes = first & np.array([0, 0x1F, 0x0F, 0x07])[size]
+        for k in (1, 2, 3):
+            codes = np.where(size >= k, (codes << 6) | (after[lead + k] & 0x3F), codes)
+        out[lead] = code_scripts(codes)
     return out
 
 
@@ -68,14 +100,12 @@ def grams(part: Slice) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple]:
     """
     starts, ends, first = part.words()
     low = Slice(LOWER[part.data], part.offsets)
-    inside = np.zeros(len(part.data), dtype=bool)
     out = []
     if len(starts):
         edges = np.zeros(len(part.data) + 1, dtype=np.int8)
         edges[starts] += 1
         edges[ends] -= 1
-        inside = np.cumsum(edges[:-1]).astype(bool)
-        at = np.flatnonzero(inside)
+        at = np.flatnonzero(np.cumsum(edges[:-1], dtype=np.int8))
         depth = at - np.repeat(starts, ends - starts)
         code = low.data[at].astype(U)
         before = [np.concatenate([np.full(k, 32, dtype=U), code])[: len(code)] for k in (1, 2, 3)]
@@ -186,34 +216,72 @@ def lettered_bytes(part: Slice, starts: np.ndarray) -> np.ndarray:
 
 
 def viterbi(emit: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """The best label of every word, rows side by side: each step moves all rows that still have words."""
+    """The best label of every word, rows side by side.
+
+    Rows are cut into stretches of STRETCH words. A row's first stretch is passed through once, the others once
+    for each label that the word before may have; all move together, a word at a time. The best
+    passes are then strung together, so that a long row takes no more steps than a short one.
+    """
     n_words, n = emit.shape
-    labels = np.zeros(n_words, dtype=np.int8)
+    labels = np.zeros(n_words, dtype=np.int16)
     counts = np.diff(first)
-    order = np.argsort(-counts, kind="stable")
-    heads, counts = first[:-1][order], counts[order]
-    live = np.searchsorted(-counts, -np.arange(1, (counts[0] if len(counts) else 0) + 1), side="right")
-    if not len(live) or n == 1:
+    if n == 1 or not n_words:
         return labels
-    back = np.zeros((n_words, n), dtype=np.int8)
-    own = np.arange(n, dtype=np.int8)
-    best = np.zeros((len(counts), n), dtype=np.float32)
-    best[: live[0]] = emit[heads[: live[0]]]
+    parts = -(-counts // STRETCH)
+    lead = np.concatenate([[0], np.cumsum(parts)])
+    row = np.repeat(np.arange(len(counts)), parts)
+    ordinal = np.arange(lead[-1]) - lead[row]
+    begin = first[row] + ordinal * STRETCH
+    size = np.minimum(STRETCH, first[row + 1] - begin)
+    # Passes: a stretch's ones follow each other by the label before it.
+    runs = np.where(ordinal == 0, 1, n)
+    of = np.concatenate([[0], np.cumsum(runs)])
+    stretch = np.repeat(np.arange(len(row)), runs)
+    before = np.arange(of[-1]) - of[stretch]
+    order = np.argsort(-size[stretch], kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    stretch, before = stretch[order], before[order]
+    heads, steps = begin[stretch], size[stretch]
+    live = np.searchsorted(-steps, -np.arange(1, steps[0] + 1), side="right")
+    back_at = np.concatenate([[0], np.cumsum(live)])
+    back = np.zeros((back_at[-1], n), dtype=np.int16)
+    own = np.arange(n, dtype=np.int16)
+    best = np.where((ordinal[stretch] == 0)[:, None] | (own == before[:, None]), np.float32(0), np.float32(-switch)) + emit[heads]
     for t in range(1, len(live)):
         k = live[t]
-        at, now = heads[:k] + t, best[:k]
+        now = best[:k]
         top = now.argmax(axis=1)
         jump = now[np.arange(k), top][:, None] - np.float32(switch)
         stay = now >= jump
-        back[at] = np.where(stay, own, top[:, None])
-        best[:k] = np.where(stay, now, jump) + emit[at]
-    now = best.argmax(axis=1)
+        back[back_at[t] : back_at[t + 1]] = np.where(stay, own, top[:, None])
+        best[:k] = np.where(stay, now, jump) + emit[heads[:k] + t]
+    # The best value of every end label, stretch after stretch, and the label before that leads to it.
+    rows = np.flatnonzero(parts)
+    rows = rows[np.argsort(-parts[rows], kind="stable")]
+    value = best[place[of[lead[rows]]]].astype(np.float64)
+    entry = np.zeros((len(row), n), dtype=np.int16)
+    for k in range(1, parts.max()):
+        some = np.searchsorted(-parts[rows], -k, side="left")
+        at = lead[rows[:some]] + k
+        through = value[:some, :, None] + best[place[of[at][:, None] + own]]
+        entry[at] = through.argmax(axis=1)
+        value[:some] = through.max(axis=1)
+    end = np.zeros(len(row), dtype=np.int16)
+    now = value.argmax(axis=1).astype(np.int16)
+    for k in range(parts.max() - 1, -1, -1):
+        some = np.searchsorted(-parts[rows], -k, side="left")
+        at = lead[rows[:some]] + k
+        end[at] = now[:some]
+        now[:some] = entry[at, now[:some]]
+    chosen = np.where(ordinal == 0, 0, entry[np.arange(len(row)), end])
+    jobs = np.sort(place[of[:-1] + chosen])
+    now = end[stretch[jobs]]
     for t in range(len(live) - 1, -1, -1):
-        k = live[t]
-        at = heads[:k] + t
-        labels[at] = now[:k]
+        k = np.searchsorted(jobs, live[t])
+        labels[heads[jobs[:k]] + t] = now[:k]
         if t:
-            now[:k] = back[at, now[:k]]
+            now[:k] = back[back_at[t] + jobs[:k], now[:k]]
     return labels
 
 
@@ -240,7 +308,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
                 emit, explained, letters, starts, first = word_scores(model, part)
                 group.append((i, j, part, emit, explained, letters, starts, first))
                 size += len(emit)
-                if size > 3_000_000:
+                if size > GROUP_WORDS:
                     yield from label(batch, group, model)
                     group, size = [], 0
             if group:

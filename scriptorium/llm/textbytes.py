@@ -22,7 +22,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: dict[int, np.ndarray] = {}
 
 #: Bytes of text worked on at once, unless a single text is longer.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 262_144
 
 
 def mix(x: np.ndarray) -> np.ndarray:
