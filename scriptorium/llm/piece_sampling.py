@@ -10,7 +10,8 @@ the other children get Gumbels truncated at it (see Siblings). The next value, k
 each sample's inclusion score 1 - exp(-exp(log p - kappa)).
 
 Pieces never cross from a word to the space before the next one, so the lattice
-is a chain of one small lattice per word. Words are taken together in numpy: equal
+is a chain of one small lattice per word, or several where no piece crosses a place inside it,
+as beside characters outside the vocabulary. Words are taken together in numpy: equal
 words share a lattice, and all words draw their next piece in one step. Draws come
 from a hash of row key, sample, word and step, so a row's result depends on nothing else.
 """
@@ -37,7 +38,9 @@ SAMPLES = 2
 #: Exponent of the weights: smaller values flatten the distribution.
 ALPHA = 1.0
 #: Code points that are worked on together.
-SLICE_CHARS = 800_000
+SLICE_CHARS = 400_000
+#: Steps after which the sums of a lattice are scaled back.
+RESCALE = 16
 #: Pieces of a path that are looked at in one step for the place where the next sample leaves it.
 WINDOW = 32
 
@@ -119,8 +122,9 @@ def utf8_length(code: np.ndarray) -> np.ndarray:
 
 
 class Lattices:
-    """The lattices of distinct words, end to end.
+    """The lattices of distinct words, end to end, cut into parts between which no piece reaches.
 
+    Part j of them begins at ``heads[j]``, and the parts of word i are ``parts[i]`` to ``parts[i+1] - 1``.
     For position p and length l, ``ids[p, l-1]`` is the piece (or vocabulary size +
     code point where a character has to be written in bytes, -1 for none) and
     ``share[p, l-1]`` its probability given that a path gets to p.
@@ -128,9 +132,7 @@ class Lattices:
 
     def __init__(self, vocab: Vocabulary, code: np.ndarray, heads: np.ndarray):
         n, longest = len(code), vocab.longest
-        ends = np.repeat(heads[1:], np.diff(heads))
-        left = ends - np.arange(n)
-        self.heads, self.left = heads, left
+        left = np.repeat(heads[1:], np.diff(heads)) - np.arange(n)
         sums = np.zeros(n + 1, dtype=U)
         np.cumsum((code.astype(U) + U(1)) * _powers(n + 1, _BASE)[:n], out=sums[1:])
         back = _powers(n + 1, _INVERSE)
@@ -158,36 +160,51 @@ class Lattices:
                 width = length
         # No piece of this slice is longer.
         longest, ids = width, np.ascontiguousarray(ids[:, :width])
-        weight = np.where(ids >= 0, vocab.weight[ids], 0.0)
         bare = np.flatnonzero(ids[:, 0] < 0)
         ids[bare, 0] = vocab.size + code[bare]
-        weight[bare, 0] = vocab.byte_weight ** utf8_length(code[bare])
+        # Words are cut where no piece crosses; what is left and right of a cut is independent.
+        reach = np.arange(n) + longest - (ids[:, ::-1] >= 0).argmax(axis=1) if n else np.zeros(0, dtype=np.int64)
+        open_ = np.maximum.accumulate(reach) > np.arange(1, n + 1)
+        self.starts = heads
+        self.heads = heads = np.concatenate([[0], np.flatnonzero(~open_) + 1])
+        self.left = np.repeat(heads[1:], np.diff(heads)) - np.arange(n)
+        #: The first part of each word, and one more.
+        self.parts = np.searchsorted(heads, self.starts)
+        weight = np.where(ids >= 0, vocab.weight[np.where(ids < vocab.size, ids, 0)], 0.0)
         # A constant factor for each character cancels out and keeps the sums near 1.
-        weight *= np.exp(1.5 * np.arange(1, longest + 1))
+        factor = np.full(n, 1.5)
+        factor[bare] = utf8_length(code[bare]) * -math.log(vocab.byte_weight)
+        weight[bare, 0] = np.exp(-factor[bare])
+        along = np.concatenate([np.cumsum(np.concatenate([[0.0], factor])), np.zeros(longest)])
+        for length in range(1, longest + 1):
+            some = np.flatnonzero(ids[:, length - 1] >= 0)
+            weight[some, length - 1] *= np.exp(along[some + length] - along[some])
         total = np.zeros(n + longest + 1)
         sizes = np.diff(heads)
         order = np.argsort(-sizes, kind="stable")
         stops = heads[1:][order]
         live = np.searchsorted(-sizes[order], -np.arange(1, (sizes.max() if len(sizes) else 0) + 1), side="right")
-        reach = np.arange(1, longest + 1)
+        ahead = np.arange(1, longest + 1)
         for r, k in enumerate(live.tolist(), 1):
             p = stops[:k] - r
             m = min(r, longest)
-            after = total[p[:, None] + reach[:m]]
-            after[:, -1] = np.where(r <= longest, 1.0, after[:, -1])
+            after = total[p[:, None] + ahead[:m]]
+            if r <= longest:
+                after[:, -1] = 1.0
             flow = weight[p, :m] * after
             whole = flow.sum(axis=1)
             weight[p, :m] = flow / whole[:, None]
             total[p] = whole
-            if r % 32 == 0:
-                window = p[:, None] + np.arange(min(r, longest))
-                total[window] /= whole[:, None]
-                if r <= longest:
-                    raise AssertionError("a window is shorter than the longest piece")
+            if r > longest and r % RESCALE == 0:
+                total[p[:, None] + np.arange(longest)] /= whole[:, None]
         self.ids, self.share = ids, weight
-        self.cumulated = np.cumsum(weight, axis=1)
+        self.cumulated = np.empty((n, longest), dtype=np.float32)
+        sums = np.zeros(n)
+        for length in range(longest):
+            sums += weight[:, length]
+            self.cumulated[:, length] = sums
         # The last piece with a share takes what rounding leaves.
-        self.cumulated[self.cumulated > 1 - 1e-12] = 2.0
+        self.cumulated[self.cumulated > 1 - 3e-7] = 2.0
 
 
 def _uniform(seed: np.ndarray, *parts) -> np.ndarray:
@@ -355,7 +372,11 @@ class Encoder:
         heads = np.concatenate([[0], np.cumsum(sizes)])
         own = np.repeat(cut[seen] - heads[:-1], sizes) + np.arange(heads[-1])
         lat = Lattices(self.vocab, code[own], heads)
-        row_words = np.searchsorted(cut, rows)
+        # From here on a word's parts count as words.
+        runs = np.diff(lat.parts)[word]
+        ends = np.concatenate([[0], np.cumsum(runs)])
+        row_words = ends[np.searchsorted(cut, rows)]
+        word = np.repeat(lat.parts[word] - ends[:-1], runs) + np.arange(ends[-1])
         row = np.repeat(np.arange(len(filled)), np.diff(row_words))
         ordinal = np.arange(len(word)) - row_words[row]
         seed = seeds[filled]

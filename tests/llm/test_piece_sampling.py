@@ -77,6 +77,24 @@ def test_all_segmentations_of_a_short_text():
     assert all(r[3] == 1.0 for r in rows)
 
 
+@pytest.mark.parametrize("text", ["鬱" * 32, "鬱" * 10000, "鬱 " * 5000, "a鬱" * 4000, "😀▁" * 3000, "a" * 10000, "鬱the" * 3000, "\ufffd" * 33 + "x" * 33])
+def test_characters_outside_the_vocabulary_in_any_number(text):
+    rows = ps.Encoder(VOCAB, 2).slice([text, "the"], seeds(2))
+    for ids, logp, value, inclusion in rows[0]:
+        assert math.isfinite(logp) and math.isfinite(value) and 0 < inclusion <= 1
+        assert ps.decode_lists(pa.array([ids.tolist()]))[0].as_py() == text
+    assert len({tuple(r[0].tolist()) for r in rows[0]}) == len(rows[0])
+    assert [r[0].tolist() for r in rows[1]] == [r[0].tolist() for r in ps.Encoder(VOCAB, 2).slice([text, "the"], seeds(2))[1]]
+
+
+@pytest.mark.parametrize("text", ["鬱an鬱 o", "ab鬱", "é鬱▁on"])
+def test_parts_of_words_against_enumeration(text):
+    every = brute(text)
+    for rows in ps.Encoder(VOCAB, 4).slice([text] * 30, seeds(30)):
+        for ids, logp, _, _ in rows:
+            assert math.isclose(math.exp(logp), every[tuple(ids.tolist())], rel_tol=1e-9)
+
+
 def test_rows(spark):
     hard = "a▁b ▁▁  c\t\n\r\x00 é 漢字 😀 <0x0A> <s> </s> " + "x" * 400 + " " * 40 + "deadbeef" * 60
     texts = [None, "", " ", hard, "plain words here", "plain words here", "w " * 40000 + "end", "z" * 3000]
