@@ -10,9 +10,11 @@ Steps, each over all documents:
 
 1. One pass gives every document its set size, a 128-bit digest of the set,
    the band keys and the count vector. Equal sets collapse to one document.
-2. Every document is paired with the smallest document of each band. Pairs
-   that pass the bound are verified; links give partial components. This
-   settles groups of near copies of any size in linear work.
+2. Every document is dealt to the smallest document of each of its bands, its
+   leads. Leads and their documents, many leads to a block, are indexed in R-trees
+   that are packed lead by lead, so that near copies share tight nodes; each lead searches
+   the tree for the documents dealt to it. The pairs found are verified; links give
+   partial components. This settles groups of near copies of any size in linear work.
 3. Bands that still hold two partial components are searched in full: their
    documents, in blocks, are indexed in R-trees, and pairs of different
    components that pass the bound are verified as well.
@@ -44,8 +46,10 @@ NUMERATOR, DENOMINATOR = 75, 100
 BANDS, ROWS = 64, 6
 #: Groups of the count vector by set size: (sizes below, groups).
 GROUPS = ((32, 64), (128, 256), (512, 1024), (1 << 62, 4096))
-#: Rows of a block in step 3.
+#: Rows of a block in steps 2 and 3.
 BLOCK = 512
+#: Bytes of text that are hashed together.
+SLICE = 1_000_000
 
 
 def shingle_hashes(part, n_words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +101,7 @@ def needed(n_a, n_b):
 
 
 class CountVectorRTree:
-    """An R-tree over count vectors, packed by sorting on size and heaviest groups.
+    """An R-tree over count vectors, packed in the order given or by sorting on size and heaviest groups.
 
     A node knows the largest count of each group below it and the range of set
     sizes; a query descends where the summed minima of its own counts and the
@@ -106,10 +110,12 @@ class CountVectorRTree:
 
     LEAF = FAN = 16
 
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
+    def __init__(self, points: np.ndarray, sizes: np.ndarray, order: np.ndarray | None = None):
         self.points, self.sizes = points, sizes
-        spread = np.argsort(-points.var(axis=0), kind="stable")[:3] if len(points) else []
-        self.order = np.lexsort((*[points[:, g] for g in spread], sizes)) if len(points) else np.zeros(0, dtype=int)
+        if order is None:
+            spread = np.argsort(-points.var(axis=0), kind="stable")[:3] if len(points) else []
+            order = np.lexsort((*[points[:, g] for g in spread], sizes)) if len(points) else np.zeros(0, dtype=int)
+        self.order = order
         tops, low, high = points[self.order], sizes[self.order], sizes[self.order]
         self.levels = []
         width = self.LEAF
@@ -168,7 +174,7 @@ SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<l
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, j, part in slices(batch.column("text")):
+        for i, j, part in slices(batch.column("text"), SLICE):
             sets = shingle_sets(part)
             n = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(n)
@@ -192,21 +198,57 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, j, part in slices(batch.column("text")):
+        for i, j, part in slices(batch.column("text"), SLICE):
             rows = [s.view(np.int64) for s in shingle_sets(part)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(i, j - i).cast(pa.int64()), pa.array(rows, pa.list_(pa.int64()))], names=["doc_id", "members"])
 
 
-def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose sizes and summed minima allow a link."""
+def _search_leads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows arrive sorted by (groups, lead, part), a lead's own row among those dealt to it; a tree takes
+    whole parts until it has BLOCK rows."""
+    rest = None
     for batch in batches:
-        n_u, n_v = batch.column("n_u").to_numpy(), batch.column("n_v").to_numpy()
-        keep = (n_u * NUMERATOR <= n_v * DENOMINATOR) & (n_v * NUMERATOR <= n_u * DENOMINATOR)
-        for k in np.flatnonzero(keep):
-            u, v = (np.frombuffer(zlib.decompress(batch.column(c)[k].as_py()), dtype=np.uint16) for c in ("vec_u", "vec_v"))
-            g = min(len(u), len(v))
-            keep[k] = np.minimum(folded(u, g), folded(v, g)).sum() >= needed(n_u[k], n_v[k])
-        yield batch.select(["u", "v"]).filter(pa.array(keep))
+        batch = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        marks = batch[["groups", "lead", "part"]].to_numpy()
+        cut = np.flatnonzero(np.any(marks[1:] != marks[:-1], axis=1)) + 1
+        begin, groups = 0, marks[:, 0]
+        for c in cut.tolist():
+            if c - begin >= BLOCK or groups[c] != groups[c - 1]:
+                yield _lead_pairs(batch.iloc[begin:c])
+                begin = c
+        rest = batch.iloc[begin:]
+    if rest is not None and len(rest):
+        yield _lead_pairs(rest)
+
+
+def _lead_pairs(block: pd.DataFrame) -> pd.DataFrame:
+    """The pairs of leads and documents dealt to them whose bound allows a link."""
+    ids, leads, parts, sizes = (block[c].to_numpy() for c in ("rep", "lead", "part", "n"))
+    groups = int(block["groups"].iloc[0])
+    points = np.stack([folded(np.frombuffer(zlib.decompress(v), dtype=np.uint16), groups) for v in block["vec"]])
+    tree = CountVectorRTree(points, sizes, np.arange(len(ids)))
+    us, vs = [], []
+    for q in np.flatnonzero(block["asks"].to_numpy()):
+        hit = tree.search(points[q], int(sizes[q]))
+        hit = hit[(leads[hit] == ids[q]) & (parts[hit] == parts[q]) & (hit != q)]
+        us.append(np.full(len(hit), ids[q]))
+        vs.append(ids[hit])
+    none = np.zeros(0, dtype=np.int64)
+    return pd.DataFrame({"u": np.concatenate([none, *us]), "v": np.concatenate([none, *vs])})
+
+
+def lead_candidates(stars: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (u, v) of stars (u, v, n_u, n_v), u being v's lead, that the trees leave open; points has (rep, n, vec)."""
+    groups = lambda n: "case " + " ".join(f"when {n} < {below} then {g}" for below, g in GROUPS) + " end"
+    # A lead of many documents searches several trees, one for each part of them.
+    hot = stars.groupBy("u").agg(F.count(F.lit(1)).alias("k")).where(f"k > {BLOCK}").selectExpr("u", f"cast(ceil(k / {BLOCK}) as int) parts")
+    dealt = stars.join(hot, "u", "left").selectExpr(
+        f"least({groups('n_u')}, {groups('n_v')}) groups", "u lead", "cast(pmod(xxhash64(v), coalesce(parts, 1)) as int) part", "v rep", "false asks"
+    )
+    asking = dealt.select("groups", "lead", "part").distinct().selectExpr("groups", "lead", "part", "lead rep", "true asks")
+    sort = ["groups", "lead", "part"]
+    rows = dealt.unionByName(asking).join(points, "rep").repartition(*sort).sortWithinPartitions(*sort)
+    return rows.select(*sort, "rep", "n", "vec", "asks").mapInPandas(_search_leads, "u long, v long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -251,6 +293,29 @@ def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"u": np.concatenate([none, *us]), "v": np.concatenate([none, *vs])}).drop_duplicates()
 
 
+def residual_candidates(shared: DataFrame, comp: DataFrame, points: DataFrame) -> DataFrame:
+    """The pairs (u, v) of different components (rep, comp) in a common band of shared (band, rep) that the trees leave open."""
+    placed = shared.select("band", "rep").join(comp, "rep")
+    per = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("k"))
+    mixed = stored(
+        per.groupBy("band").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("n_main"), F.sum("k").alias("n_all"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        .selectExpr("band", "main", f"cast(ceil(n_main / {BLOCK}) as int) b_main", f"cast(ceil((n_all - n_main) / {BLOCK}) as int) b_rest")
+    )
+    # Documents of the main component meet every block of the others; those meet each other, block by block.
+    dealt = placed.join(mixed, "band").selectExpr(
+        "band", "rep", "comp", "comp <> main other",
+        "cast(pmod(xxhash64(rep, band), if(comp = main, b_main, b_rest)) as int) b", "b_main", "b_rest",
+    )
+    rows = dealt.selectExpr(
+        "band", "rep", "comp",
+        "explode(if(other, concat(transform(sequence(0, b_main - 1), x -> struct(x as i, b as j, true as asks)),"
+        " transform(sequence(0, b_rest - 1), x -> struct(-1 - least(x, b) as i, greatest(x, b) as j, true as asks))),"
+        " transform(sequence(0, b_rest - 1), x -> struct(b as i, x as j, false as asks)))) at",
+    ).selectExpr("band", "rep", "comp", "at.i i", "at.j j", "at.asks asks")
+    blocks = rows.join(points, "rep").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    return blocks.select("band", "i", "j", "rep", "comp", "n", "vec", "asks").mapInPandas(_search_blocks, "u long, v long").distinct()
+
+
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document of df.
 
@@ -275,34 +340,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
 
     points, sizes = reps.select("rep", "n", "vec"), reps.select("rep", "n")
     stars = shared.where("rep <> lead").select(F.col("lead").alias("u"), F.col("rep").alias("v")).distinct()
-    # Most chance meetings end at the sizes, before count vectors move.
+    # Many chance meetings end at the sizes, before count vectors move.
     stars = stars.join(sizes.toDF("u", "n_u"), "u").join(sizes.toDF("v", "n_v"), "v")
     stars = stored(stars.where(f"n_u * {NUMERATOR} <= n_v * {DENOMINATOR} and n_v * {NUMERATOR} <= n_u * {DENOMINATOR}"))
-    both = stars.join(points.select(F.col("rep").alias("u"), F.col("vec").alias("vec_u")), "u").join(points.select(F.col("rep").alias("v"), F.col("vec").alias("vec_v")), "v")
-    bounded = both.mapInArrow(_bounded, "u long, v long")
-    links = stored(_verified(stored(bounded), docs))
+    links = stored(_verified(stored(lead_candidates(stars, points)), docs))
     partial = components(links, "u", "v")
 
     comp = reps.select("rep").distinct().join(partial.withColumnRenamed("node", "rep"), "rep", "left").select("rep", F.coalesce("component", "rep").alias("comp"))
-    placed = shared.select("band", "rep").join(comp, "rep")
-    per = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("k"))
-    mixed = stored(
-        per.groupBy("band").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.max("k").alias("n_main"), F.sum("k").alias("n_all"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        .selectExpr("band", "main", f"cast(ceil(n_main / {BLOCK}) as int) b_main", f"cast(ceil((n_all - n_main) / {BLOCK}) as int) b_rest")
-    )
-    # Documents of the main component meet every block of the others; those meet each other, block by block.
-    dealt = placed.join(mixed, "band").selectExpr(
-        "band", "rep", "comp", "comp <> main other",
-        "cast(pmod(xxhash64(rep, band), if(comp = main, b_main, b_rest)) as int) b", "b_main", "b_rest",
-    )
-    rows = dealt.selectExpr(
-        "band", "rep", "comp",
-        "explode(if(other, concat(transform(sequence(0, b_main - 1), x -> struct(x as i, b as j, true as asks)),"
-        " transform(sequence(0, b_rest - 1), x -> struct(-1 - least(x, b) as i, greatest(x, b) as j, true as asks))),"
-        " transform(sequence(0, b_rest - 1), x -> struct(b as i, x as j, false as asks)))) at",
-    ).selectExpr("band", "rep", "comp", "at.i i", "at.j j", "at.asks asks")
-    blocks = rows.join(points, "rep").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    found = blocks.select("band", "i", "j", "rep", "comp", "n", "vec", "asks").mapInPandas(_search_blocks, "u long, v long").distinct()
+    found = residual_candidates(shared, comp, points)
     more = stored(_verified(stored(found.join(stars.select("u", "v"), ["u", "v"], "left_anti")), docs))
     if more.isEmpty():
         whole = comp

@@ -1,7 +1,8 @@
 import re
+import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import pytest
 
 from scriptorium.llm import jaccard_join as jj
@@ -87,21 +88,54 @@ def test_against_brute_force(spark):
     assert got == brute(rows)
 
 
+def parts(spark, rows):
+    """What the operator's steps work on, from distinct sets in plain Python: points, and (band, rep)."""
+    table = []
+    for i, t in rows:
+        (_, _, part), = jj.slices(pa.array([t or ""]))
+        (own,) = jj.shingle_sets(part)
+        if len(own):
+            table.append((i, len(own), bytearray(zlib.compress(jj.count_vector(own).tobytes())), [int(k) for k in jj.band_keys([own])[0].view(np.int64)]))
+    df = spark.createDataFrame(table, "rep long, n long, vec binary, bands array<long>")
+    return df.select("rep", "n", "vec"), df.select("rep", jj.F.explode("bands").alias("band")), {t[0]: t for t in table}
+
+
+def links_of(rows):
+    sets = {i: brute_sets(t) for i, t in rows}
+    return {(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+
+
 def test_residual_search_alone(spark, monkeypatch):
-    """With hardly any link found in step 2, step 3 finds them all the same."""
+    """With no link known before, the block trees find every link."""
     rows = fixture_rows()
     monkeypatch.setattr(jj, "BLOCK", 5)
-    real, calls = jj._verified, []
+    points, banded, _ = parts(spark, rows)
+    found = {tuple(r) for r in jj.residual_candidates(banded, points.select("rep", jj.F.col("rep").alias("comp")), points).collect()}
+    want = links_of(rows)
+    assert want <= found and len(found) < 3 * len(want)
 
-    def first_finds_nothing(pairs, docs):
-        calls.append(1)
-        return real(pairs, docs).where("false") if len(calls) == 1 else real(pairs, docs)
 
-    monkeypatch.setattr(jj, "_verified", first_finds_nothing)
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()}
-    want = brute(rows)
-    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+@pytest.mark.parametrize("block", [5, 512])
+def test_lead_trees_keep_every_link_of_a_lead_and_no_other_pair(spark, monkeypatch, block):
+    rows = fixture_rows()
+    monkeypatch.setattr(jj, "BLOCK", block)
+    points, banded, table = parts(spark, rows)
+    # Every document is dealt to documents 9 and 30, whether they are alike or not.
+    stars = [(u, v, table[u][1], table[v][1]) for u in (9, 30) for v in table if v > u]
+    found = {tuple(r) for r in jj.lead_candidates(spark.createDataFrame(stars, "u long, v long, n_u long, n_v long"), points).collect()}
+    want = {p for p in links_of(rows) if p[0] in (9, 30)}
+    assert want <= found <= {s[:2] for s in stars} and len(found) < len(stars) / 4
+
+
+def test_pairs_by_path(spark, monkeypatch):
+    """Links come out of the lead trees; the residual trees are left those of bands with several components."""
+    rows, seen = fixture_rows(), []
+    real = jj._verified
+    monkeypatch.setattr(jj, "_verified", lambda pairs, docs: seen.append({tuple(r) for r in pairs.collect()}) or real(pairs, docs))
+    jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    want = links_of(rows)
+    leads, residual = seen
+    assert len(leads & want) > 0.3 * len(want) and not leads & residual
 
 
 def test_empty_table(spark):
