@@ -15,7 +15,7 @@ from scriptorium.llm.common import stored, table
 
 #: Share of a host's pages above which a line is boilerplate.
 RATIO = 0.1
-#: Hosts with fewer pages are left alone: there every line is frequent.
+#: Hosts with fewer pages (fewer than 1 / RATIO) are left alone: there every line is frequent.
 MIN_PAGES = 10
 #: Boilerplate lines up to which their table is broadcast (about 60 bytes each).
 BROADCAST_LINES = 100_000
@@ -27,51 +27,66 @@ def _filled(line: Column) -> Column:
     return F.length(F.trim(line)) > 0
 
 
-def boilerplate(df: DataFrame, text: str, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(df: DataFrame, text: str, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
     """(host, line_key, n_pages, host_pages) of the boilerplate lines.
 
     A host has at most (lines of its mean page / ratio) of them. Lines are
     known by their MD5; blank lines and pages without host or text don't count
-    as lines, but a page without text does count as a page of its host.
+    as lines, but a page without text does count as a page of its host. Hosts with fewer
+    than ``min_pages`` pages have no boilerplate: on so few, a line of one page exceeds the ratio.
+
+    With ``once``, copies are no evidence: equal texts are one page of the host, and of the pages that hold a line
+    those with the same least hash among their other lines count once, so that near
+    copies, which share nearly all their lines, count about as one page does.
     """
     pages = df.select(F.col(host).alias("host"), F.col(text).alias("t")).where(F.col("host").isNotNull())
-    totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
-    lines = pages.select(
-        "host",
-        F.explode(F.array_distinct(F.transform(F.filter(F.split("t", "\n"), _filled), lambda x: F.md5(F.trim(x))))).alias("line_key"),
-    )
+    keys = F.array_distinct(F.transform(F.filter(F.split("t", "\n"), _filled), lambda x: F.md5(F.trim(x))))
+    if once:
+        totals = pages.select("host", F.xxhash64("t").alias("x")).distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+        least = pages.select("host", F.array_sort(keys).alias("k")).select("host", F.explode("k").alias("line_key"), F.get("k", F.lit(0)).alias("a"), F.get("k", F.lit(1)).alias("b"))
+        lines = least.select("host", "line_key", F.xxhash64(F.when(F.col("line_key") == F.col("a"), F.col("b")).otherwise(F.col("a"))).alias("among")).distinct()
+    else:
+        totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
+        lines = pages.select("host", F.explode(keys).alias("line_key"))
     counts = lines.groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") > 1)
     return counts.join(totals.where(F.col("host_pages") >= min_pages), "host").where(F.col("n_pages") > ratio * F.col("host_pages"))
 
 
+def _free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n + "_" * k for k in range(len(taken) + 1) if n + "_" * k not in taken) for n in names]
+
+
 def drop_boilerplate(
-    df: DataFrame, text: str, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES
+    df: DataFrame, text: str, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False
 ) -> DataFrame:
-    """df with the boilerplate lines of each host taken out of column ``text``,
+    """df with the boilerplate lines of each host (see there) taken out of column ``text``,
     and the columns n_lines and n_dropped added.
 
     Lines end at \\n and are compared without surrounding spaces. Null text
     stays null (0 lines); a text of boilerplate only becomes empty; rows with a
     null host are left as they are; repeated rows count as pages of their own.
-    Blank lines stay. Names that df already has must not be n_lines or n_dropped.
+    Blank lines stay. df may have columns of any names but n_lines and n_dropped, which are refused.
     """
-    work = df.withColumn("_host", host)
-    found = stored(boilerplate(work, text, "_host", ratio, min_pages))
-    per_host = found.groupBy("host").agg(F.collect_list("line_key").alias("_drop")).withColumnRenamed("host", "_host")
+    if {"n_lines", "n_dropped"} & {c.lower() for c in df.columns}:
+        raise ValueError("df already has a column n_lines or n_dropped")
+    of, salt, drop, kept = _free(df, "host", "salt", "drop", "kept")
+    work = df.withColumn(of, host)
+    found = stored(boilerplate(work, text, of, ratio, min_pages, once))
+    per_host = found.groupBy(F.col("host").alias(of)).agg(F.collect_list("line_key").alias(drop))
     if found.count() <= BROADCAST_LINES:
-        joined = work.join(F.broadcast(per_host), "_host", "left")
+        joined = work.join(F.broadcast(per_host), of, "left")
     else:
-        salted = per_host.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = work.withColumn("_salt", F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")).join(salted, ["_host", "_salt"], "left")
+        salted = per_host.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = work.withColumn(salt, F.pmod(F.xxhash64(text), F.lit(SALTS)).cast("int")).join(salted, [of, salt], "left")
     every = F.split(F.col(text), "\n")
-    kept = F.when(
-        F.col("_drop").isNull(), every
-    ).otherwise(F.filter(every, lambda x: ~(_filled(x) & F.array_contains(F.col("_drop"), F.md5(F.trim(x))))))
-    joined = joined.withColumn("_kept", kept)
+    left = F.when(F.col(drop).isNull(), every).otherwise(F.filter(every, lambda x: ~(_filled(x) & F.array_contains(F.col(drop), F.md5(F.trim(x))))))
+    joined = joined.withColumn(kept, left)
     return (
         joined.withColumn("n_lines", F.coalesce(F.array_size(every), F.lit(0)).cast("long"))
-        .withColumn("n_dropped", F.col("n_lines") - F.coalesce(F.array_size("_kept"), F.lit(0)))
-        .withColumn(text, F.array_join("_kept", "\n"))
+        .withColumn("n_dropped", F.col("n_lines") - F.coalesce(F.array_size(kept), F.lit(0)))
+        .withColumn(text, F.array_join(kept, "\n"))
         .select(*df.columns, "n_lines", "n_dropped")
     )
 

@@ -46,3 +46,20 @@ def test_page_text_and_host(spark):
     r = spark.createDataFrame([(html, "HTTP://u@Www.A.org:80/x"), ("", "none")], "h string, u string").select(ld.page_text(F.col("h")).alias("t"), ld.url_host(F.col("u")).alias("h")).collect()
     assert r[0].t.strip().split("\n") == ["T", "One two", "three", "four"] and r[0].h == "www.a.org"
     assert r[1].h is None
+
+
+def test_copies_are_no_evidence_with_once(spark):
+    """A line of many different texts goes; those of a large group of copies and near copies stay."""
+    rows = [(f"own {i} a\nfooter\nown {i} b", "s") for i in range(60)]
+    rows += [("x1\nx2\nx3", "s")] * 40 + [("\n".join(f"y{k}" if k != i % 10 else f"z{i}" for k in range(10)), "s") for i in range(40)]
+    df = spark.createDataFrame([(i, *r, "kept", 1) for i, r in enumerate(rows)], "doc_id long, text string, host string, drop string, salt int")
+    got = {r.doc_id: r for r in ld.drop_boilerplate(df, "text", F.col("host"), 0.2, 20, once=True).collect()}
+    assert all(got[i].text == f"own {i} a\nown {i} b" and got[i].n_dropped == 1 for i in range(60))
+    assert all(got[i].text == rows[i][0] and got[i].drop == "kept" and got[i].salt == 1 for i in range(60, len(rows)))
+    plain = {r.doc_id: r for r in ld.drop_boilerplate(df, "text", F.col("host"), 0.2, 20).collect()}
+    assert plain[60].text == "" and plain[0].text == got[0].text
+
+
+def test_refused_names(spark):
+    with pytest.raises(ValueError):
+        ld.drop_boilerplate(spark.createDataFrame([("a", "h", 1)], "text string, host string, N_Lines int"), "text", F.col("host"))

@@ -14,15 +14,15 @@ def make(spark, tmp_path, empty=False):
     def text(lang, n=40):
         return " ".join(rng.choice(VOCAB[lang].split(), n)) + f" w{len(rows)}"
 
-    for i in range(40):
+    for i in range(120):
         lang = ("en", "fr")[i % 2]
         body = text(lang)
         if i % 8 == 7:
             body = " ".join(w + "$$$" for w in body.split())
         rows.append((i, "all rights reserved here\n" + body if i % 4 == 0 else body, lang, "s0"))
         labels.append((i, int(i % 8 != 7), 0))
-    rows += [(100, rows[3][1], "fr", "s1"), (101, rows[5][1] + " plus", "fr", "s1"), (102, "123 456", "en", "s0"), (103, None, "en", "s0"), (104, "", None, None), (105, "all rights reserved here", "en", "s0")]
-    rows += [rows[1], (106, "the thing " * 9000, None, "s2")]
+    rows += [(200, rows[3][1], "fr", "s1"), (201, rows[5][1] + " plus", "fr", "s1"), (202, "123 456", "en", "s0"), (203, None, "en", "s0"), (204, "", None, None), (205, "all rights reserved here", "en", "s0")]
+    rows += [rows[1], (206, "the thing " * 9000, None, "s2")]
     rows = [] if empty else rows
     labels = [] if empty else labels
     frame = spark.createDataFrame([(*r, len(r[1]) if r[1] else 0, "extra") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, rep string")
@@ -46,12 +46,12 @@ def test_run_against_expectation(spark, tmp_path, empty):
         assert not got
         return
     one, two, three, four = by_stage
-    assert set(one) == {r[0] for r in rows} - {102, 103, 104}
-    assert set(two) == set(one) - {105}
+    assert set(one) == {r[0] for r in rows} - {202, 203, 204}
+    assert set(two) == set(one) - {205}
     assert two[0].text == rows[0][1].split("\n")[1] and two[0].n_chars == len(two[0].text)
-    assert set(three) == set(two) - {100, 101}
-    clean = {i for i in three if i % 8 != 7 or i > 99}
-    assert set(four) <= set(three) and clean - {106} <= set(four)
+    assert set(three) == set(two) - {200, 201}
+    clean = {i for i in three if i % 8 != 7 or i > 199}
+    assert set(four) <= set(three) and clean - {206} <= set(four)
     assert len(set(four) - clean) < len(set(three) - clean)
     assert {r.doc_id for r in got} == set(four)
     assert all(r.decoded == four[r.doc_id].text for r in got)
