@@ -11,29 +11,38 @@ double precision; the others are settled by the codes.
 Vectors meet in tables keyed by runs of sign bits (of as many rotations as it
 takes). Number and width of the tables follow from the number of vectors,
 so that a bucket holds about BUCKET vectors by chance, and a pair at the threshold
-misses all tables with probability MISS. Tasks return counts and spanning links,
-never pairs, and a pair counts only in the first table it shares.
+misses all tables with probability MISS.
+
+Only sign bits are dealt to the tables. There the share of equal bits, which estimates
+1 - angle / pi, tells which vectors of a bucket have any near one (again with EPSILON sigmas to spare); vectors
+are fetched for those alone, and the correction factors and the exact cosines settle
+their pairs. Tasks return counts and spanning links, never pairs, and a pair counts only in the first table it shares.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm.common import stored, table
 from scriptorium.llm.components import components
+from scriptorium.llm.textbytes import row_sums
 
 THRESHOLD = 0.95
 EPSILON = 6.0
-BUCKET = 48
+BUCKET = 400
 MISS = 1e-5
-#: Rows of a bucket that are compared in one piece; larger buckets are cut into pairs of blocks.
-BLOCK = 1024
+#: Rows of a bucket that are compared in one piece, by sign bits and by vectors; larger buckets are cut into pairs of blocks.
+CODE_BLOCK, BLOCK = 4096, 1024
+#: Pairs that are looked at together.
+STRIP = 500_000
 
 
 def shape_of_tables(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
@@ -55,14 +64,22 @@ def rotations(dim: int, count: int) -> np.ndarray:
 
 
 def encode(units: np.ndarray, bits: int, tables: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys (rows x tables), packed codes of the first rotation, and correction factors."""
+    """Keys (rows x tables), all sign bits packed, those of the first rotation in front, and correction factors."""
     n, dim = units.shape
     turned = units @ rotations(dim, -(-bits * tables // dim))
     signs = turned > 0
     factor = np.abs(turned[:, :dim]).sum(axis=1) / math.sqrt(dim)
-    runs = signs[:, : bits * tables].reshape(n, tables, bits)
-    keys = (runs * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
-    return keys, np.packbits(signs[:, :dim], axis=1), factor
+    return keys_of(signs, bits, tables), np.packbits(signs, axis=1), factor
+
+
+def keys_of(signs: np.ndarray, bits: int, tables: int) -> np.ndarray:
+    return (signs[:, : bits * tables].reshape(len(signs), tables, bits) * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+
+
+def least_agreement(n_bits: int, threshold: float = THRESHOLD) -> float:
+    """Share of equal sign bits that a pair at the threshold falls short of only by an EPSILON-sigma event."""
+    p = 1 - math.acos(threshold) / math.pi
+    return p - EPSILON * math.sqrt(p * (1 - p) / n_bits)
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
@@ -71,12 +88,10 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 def usable(column: pa.Array) -> np.ndarray:
     """Which vectors have a direction: not null or empty, only finite components, not all zero."""
-    out = np.zeros(len(column), dtype=bool)
-    for i, value in enumerate(column):
-        if value.is_valid and len(value.values):
-            x = value.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            out[i] = bool(np.isfinite(x).all() and (x != 0).any())
-    return out
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    values = pc.fill_null(column.flatten().cast(pa.float64()), math.nan).to_numpy(zero_copy_only=False)
+    heads = np.concatenate([[0], np.cumsum(sizes)])
+    return (sizes > 0) & (row_sums((~np.isfinite(values)).astype(np.int64), heads) == 0) & (row_sums((values != 0).astype(np.int64), heads) > 0)
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -85,88 +100,64 @@ def _units(vectors: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The usable vectors with a digest of their components, equal for equal numbers."""
     for batch in batches:
-        yield batch.filter(pa.array(usable(batch.column("embedding"))))
+        batch = batch.filter(pa.array(usable(batch.column("embedding"))))
+        sums = [hashlib.blake2b((v.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0).tobytes(), digest_size=16).digest() for v in batch.column("embedding")]
+        halves = np.frombuffer(b"".join(sums), dtype=np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=[*batch.schema.names, "same_a", "same_b"])
 
 
 def _encoder(bits: int, tables: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dims = np.array([len(v.values) for v in batch.column("embedding")], dtype=np.int64)
-            for dim in np.unique(dims):
-                part = batch.filter(pa.array(dims == dim))
-                keys, codes, factor = encode(_units(_matrix(part.column("embedding"), dim)), bits, tables)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("rep"), part.column("m"), part.column("embedding"), pa.array(list(keys), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor)],
-                    names=["rep", "m", "embedding", "keys", "code", "factor"],
-                )
+        for whole in batches:
+            for lo in range(0, len(whole), 2048):
+                batch = whole.slice(lo, 2048)
+                dims = pc.list_value_length(batch.column("embedding")).to_numpy(zero_copy_only=False)
+                for dim in np.unique(dims).tolist():
+                    part = batch.filter(pa.array(dims == dim))
+                    keys, codes, factor = encode(_units(_matrix(part.column("embedding"), dim)), bits, tables)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("node"), part.column("m"), part.column("embedding"), pa.array(np.full(len(part), dim, dtype=np.int32)), pa.array(list(keys), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(factor)],
+                        names=["node", "m", "embedding", "dim", "keys", "signs", "factor"],
+                    )
 
     return run
 
 
-def candidates(units: np.ndarray, codes: np.ndarray, factor: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
-    """Which pairs rows x cols the codes leave open."""
+def candidates(units: np.ndarray, signs: np.ndarray, factor: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Which pairs rows x cols the codes (signs of the first rotation) and their factors leave open."""
     dim = units.shape[1]
-    turned = units @ rotations(dim, 1) if dim > 1 else units
-    signs = (np.unpackbits(codes, axis=1)[:, :dim] * 2.0 - 1.0) / math.sqrt(dim)
+    turned = units @ rotations(dim, 1)
+    codes = (signs[:, :dim] * 2.0 - 1.0) / math.sqrt(dim)
     slack = math.sqrt(1 - THRESHOLD**2) * np.sqrt(np.maximum(1 - factor**2, 0)) / factor * EPSILON / math.sqrt(max(dim - 1, 1)) + 1e-9
-    forth = signs[rows] @ turned[cols].T / factor[rows, None] + slack[rows, None] >= THRESHOLD
-    back = turned[rows] @ signs[cols].T / factor[None, cols] + slack[None, cols] >= THRESHOLD
+    forth = codes[rows] @ turned[cols].T / factor[rows, None] + slack[rows, None] >= THRESHOLD
+    back = turned[rows] @ codes[cols].T / factor[None, cols] + slack[None, cols] >= THRESHOLD
     return forth & back
 
 
-def _linked(vectors: np.ndarray, codes: np.ndarray, factor: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (position in rows' and cols' vectors) with cosine at or above the threshold."""
-    units = _units(vectors)
-    a, b = np.nonzero(candidates(units, codes, factor, rows, cols))
-    a, b = rows[a], cols[b]
-    keep = np.zeros(len(a), dtype=bool)
-    for lo in range(0, len(a), 200_000):
-        keep[lo : lo + 200_000] = np.einsum("ij,ij->i", units[a[lo : lo + 200_000]], units[b[lo : lo + 200_000]]) >= THRESHOLD
-    return a[keep], b[keep]
+def _seen(keys: np.ndarray, t: int, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Which pairs rows x cols share a table before t."""
+    out = np.zeros((len(rows), len(cols)), dtype=bool)
+    for k in range(t):
+        out |= keys[rows, k][:, None] == keys[cols, k][None, :]
+    return out
 
 
-def _stars(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (least id of the component, id) that connect what the pairs connect."""
-    label = ids.copy()
-    while True:
-        low = label.copy()
-        np.minimum.at(low, a, label[b])
-        np.minimum.at(low, b, label[a])
-        if (low == label).all():
-            break
-        label = low
-    far = label != ids
-    return label[far], ids[far]
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces arrive sorted by (dim, t, key, i, j)."""
-
-    def piece(rows: pa.Table) -> pa.RecordBatch:
-        col = lambda name: rows.column(name).to_numpy()
-        ids, m, block = col("rep"), col("m"), col("b")
-        t, i, j, dim = (rows.column(x)[0].as_py() for x in ("t", "i", "j", "dim"))
-        vectors = _matrix(rows.column("embedding").combine_chunks(), dim)
-        keys = _matrix(rows.column("keys").combine_chunks(), -1) if len(ids) == 1 else np.stack(rows.column("keys").combine_chunks().to_numpy(zero_copy_only=False))
-        codes = np.stack([np.frombuffer(x.as_py(), dtype=np.uint8) for x in rows.column("code")])
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = _linked(vectors, codes, col("factor"), left, right)
-        if i == j:
-            a, b = a[a < b], b[a < b]
-        new = ~(keys[a, :t] == keys[b, :t]).any(axis=1) if t else np.ones(len(a), dtype=bool)
-        count = np.zeros(len(ids), dtype=np.int64)
-        np.add.at(count, a[new], m[b[new]])
-        np.add.at(count, b[new], m[a[new]])
-        low, high = _stars(ids, a, b)
-        with_count = np.flatnonzero(count)
-        none = np.full(len(with_count), None)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([ids[with_count], high])), pa.array([*none, *low.tolist()], pa.int64()), pa.array(np.concatenate([count[with_count], np.zeros(len(high), dtype=np.int64)]))],
-            names=["rep", "low", "n"],
-        )
+def _strips(left: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    step = max(1, STRIP // max(1, n))
+    for lo in range(0, len(left), step):
+        yield left[lo : lo + step]
 
+
+def _bits(rows: pa.Table, dim: int) -> np.ndarray:
+    packed = np.frombuffer(b"".join(rows.column("signs").to_pylist()), dtype=np.uint8).reshape(rows.num_rows, -1)
+    return np.unpackbits(packed, axis=1)[:, : packed.shape[1] * 8 // dim * dim]
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows arrive sorted by (dim, t, key, i, j); each piece of more than one row."""
     rest = None
     for batch in batches:
         if not len(batch):
@@ -177,10 +168,111 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist()]
         for lo, hi in zip(cut, cut[1:]):
             if hi - lo > 1:
-                yield piece(now.slice(lo, hi - lo))
+                yield now.slice(lo, hi - lo)
         rest = now.slice(cut[-1])
     if rest is not None and len(rest) > 1:
-        yield piece(rest)
+        yield rest
+
+
+def _sides(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    block = rows.column("b").to_numpy()
+    return np.flatnonzero(block == rows.column("i")[0].as_py()), np.flatnonzero(block == rows.column("j")[0].as_py())
+
+
+def _near(bits: int, tables: int):
+    """The rows of each bucket with a vector near by their sign bits that they meet here first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _pieces(batches):
+            dim, t = rows.column("dim")[0].as_py(), rows.column("t")[0].as_py()
+            signs = _bits(rows, dim)
+            keys, plain = keys_of(signs, bits, tables), signs.astype(np.float32) * 2 - 1
+            least = 2 * least_agreement(signs.shape[1]) * signs.shape[1] - signs.shape[1]
+            left, right = _sides(rows)
+            found = np.zeros(rows.num_rows, dtype=bool)
+            for some in _strips(left, len(right)):
+                near = plain[some] @ plain[right].T >= least
+                near &= some[:, None] != right[None, :]
+                if near.any():
+                    near &= ~_seen(keys, t, some, right)
+                    found[some[near.any(axis=1)]] = True
+                    found[right[near.any(axis=0)]] = True
+            if found.any():
+                yield pa.RecordBatch.from_arrays([rows.filter(pa.array(found)).column(c).combine_chunks() for c in ("dim", "t", "key", "node")], names=["dim", "t", "key", "node"])
+
+    return run
+
+
+def _linked(units: np.ndarray, signs: np.ndarray, factor: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Which pairs rows x cols have a cosine at or above the threshold."""
+    links = candidates(units, signs, factor, rows, cols) & (rows[:, None] != cols[None, :])
+    a, b = np.nonzero(links)
+    for lo in range(0, len(a), 50_000):
+        x, y = a[lo : lo + 50_000], b[lo : lo + 50_000]
+        links[x, y] = np.einsum("ij,ij->i", units[rows[x]], units[cols[y]]) >= THRESHOLD
+    return links
+
+
+def _stars(links: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """For each of n rows the first row of its component by the links left x right."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        for some in range(0, len(left), 256):
+            part = links[some : some + 256]
+            own = left[some : some + 256]
+            np.minimum.at(low, own, np.where(part, label[right][None, :], n).min(axis=1))
+            np.minimum.at(low, right, np.where(part, label[own][:, None], n).min(axis=0))
+        low = np.minimum(low, low[low])
+        if (low == label).all():
+            return label
+        label = low
+
+
+def _compare(bits: int, tables: int):
+    """Counts of links, and links (least node of the component, node) that connect what the pairs of a piece connect."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _pieces(batches):
+            dim, t = rows.column("dim")[0].as_py(), rows.column("t")[0].as_py()
+            rows = rows.sort_by("node")
+            node, m, factor = (rows.column(c).to_numpy() for c in ("node", "m", "factor"))
+            units, signs = _units(_matrix(rows.column("embedding").combine_chunks(), dim)), _bits(rows, dim)
+            keys = keys_of(signs, bits, tables)
+            left, right = _sides(rows)
+            links, at = np.zeros((len(left), len(right)), dtype=bool), 0
+            for some in _strips(left, len(right)):
+                part = _linked(units, signs, factor, some, right)
+                if part.any():
+                    links[at : at + len(some)] = part & ~_seen(keys, t, some, right)
+                at += len(some)
+            if not links.any():
+                continue
+            count = np.zeros(len(node), dtype=np.int64)
+            count[left] = links @ m[right]
+            if left[0] != right[0]:
+                count[right] = links.T @ m[left]
+            label = _stars(links, left, right, len(node))
+            far = np.flatnonzero(label != np.arange(len(node)))
+            some = np.flatnonzero(count)
+            none = [None] * len(some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([node[some], node[far]])), pa.array([*none, *node[label[far]].tolist()], pa.int64()), pa.array(np.concatenate([count[some], np.zeros(len(far), dtype=np.int64)]))],
+                names=["node", "low", "n"],
+            )
+
+    return run
+
+
+_PIECE = ["dim", "t", "key", "i", "j"]
+
+
+def _dealt(rows: DataFrame, per: DataFrame, block: int, columns: list[str]) -> DataFrame:
+    """Rows (dim, t, key, node, ...) of buckets with others, in pairs of blocks; per has the buckets (dim, t, key) once for each row."""
+    sizes = per.groupBy("dim", "t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").selectExpr("dim", "t", "key", f"cast(ceil(n / {block}) as int) nb")
+    placed = rows.join(sizes, ["dim", "t", "key"]).withColumn("b", F.expr("cast(pmod(xxhash64(node, t), nb) as int)"))
+    pairs = placed.withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
+    return pairs.selectExpr("dim", "t", "key", "least(b, o) i", "greatest(b, o) j", "b", *columns).repartition(*_PIECE).sortWithinPartitions(*_PIECE)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -189,33 +281,32 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     Vectors without a direction (null, empty, all zero, null or non-finite
     components) link with nothing, and vectors of different lengths never link.
     Equal vectors are one while they are compared and count as many; a row with a
-    null id links with nothing. Ids are taken as long; other columns are not read.
+    null id links with nothing. Rows that repeat an id are vectors of their own, whose component is still the
+    smallest id in it. Ids are taken as long; other columns are not read.
     """
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("embedding"))
-    good = rows.where("vec_id is not null and embedding is not null").mapInArrow(_filtered, "vec_id long, embedding array<double>")
-    good = stored(good.select("vec_id", "embedding", F.md5(F.to_json("embedding").cast("binary")).alias("same")))
-    first = good.groupBy("same").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m"))
-    member = good.select("vec_id", "same").join(first, "same").select("vec_id", "rep", "m")
-    reps = good.join(first, (good.vec_id == first.rep) & (good.same == first.same), "left_semi").dropDuplicates(["vec_id"])
-    reps = reps.join(first.select("rep", "m"), F.col("vec_id") == F.col("rep")).select("rep", "m", "embedding")
+    kind = dict(df.dtypes)[vector]
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector).cast(kind).alias("embedding"))
+    good = rows.where("vec_id is not null and embedding is not null").mapInArrow(_read, f"vec_id long, embedding {kind}, same_a long, same_b long")
+    # Numbers of rows, fixed once they are written.
+    good = stored(good.withColumn("no", F.monotonically_increasing_id()))
+    same = ["same_a", "same_b"]
+    first = stored(good.groupBy(*same).agg(F.min("no").alias("node"), F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("m")))
+    reps = good.select("no", "embedding").join(first.select(F.col("node").alias("no"), "m"), "no").select(F.col("no").alias("node"), "m", "embedding")
     bits, tables = shape_of_tables(first.count())
-    coded = stored(reps.mapInArrow(_encoder(bits, tables), "rep long, m long, embedding array<double>, keys array<int>, code binary, factor double"))
-    dealt = coded.select(F.size("embedding").alias("dim"), F.posexplode("keys").alias("t", "key"), "rep")
-    sizes = dealt.groupBy("dim", "t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").selectExpr("dim", "t", "key", f"cast(ceil(n / {BLOCK}) as int) nb")
-    full = coded.select(F.size("embedding").alias("dim"), F.posexplode("keys").alias("t", "key"), "*")
-    pieces = (
-        full.join(sizes, ["dim", "t", "key"])
-        .withColumn("b", F.expr("cast(pmod(xxhash64(rep, t), nb) as int)"))
-        .withColumn("o", F.explode(F.expr("sequence(0, nb - 1)")))
-        .selectExpr("dim", "t", "key", "least(b, o) i", "greatest(b, o) j", "b", "rep", "m", "cast(embedding as array<float>) embedding" if _floats(df, vector) else "embedding", "keys", "code", "factor")
-    )
-    sort = ["dim", "t", "key", "i", "j"]
-    found = stored(pieces.repartition(*sort).sortWithinPartitions(*sort).mapInArrow(_compare, "rep long, low long, n long"))
-    counts = found.where("low is null").groupBy("rep").agg(F.sum("n").alias("n"))
-    comp = components(found.where("low is not null").select("low", "rep").distinct(), "low", "rep")
-    known = member.join(counts, "rep", "left").join(comp.withColumnRenamed("node", "rep"), "rep", "left")
-    known = known.selectExpr("vec_id", "m - 1 + coalesce(n, 0) as n_links", "coalesce(component, rep) as component_id")
-    # Rows that repeat an id: every one is a vector of its own.
+    coded = stored(reps.mapInArrow(_encoder(bits, tables), f"node long, m long, embedding {kind}, dim int, keys array<int>, signs binary, factor double"))
+    meet = coded.select("dim", F.posexplode("keys").alias("t", "key"), "node", "signs")
+    pieces = _dealt(meet, meet.select("dim", "t", "key"), CODE_BLOCK, ["node", "signs"])
+    near = stored(pieces.mapInArrow(_near(bits, tables), "dim int, t int, key int, node long").distinct())
+    full = near.join(coded.select("node", "m", "embedding", "signs", "factor"), "node")
+    pieces = _dealt(full, near, BLOCK, ["node", "m", "embedding", "signs", "factor"])
+    found = stored(pieces.mapInArrow(_compare(bits, tables), "node long, low long, n long"))
+    counts = found.where("low is null").groupBy("node").agg(F.sum("n").alias("n"))
+    comp = components(found.where("low is not null").select("low", "node").distinct(), "low", "node")
+    least = comp.join(first.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least"))
+    placed = comp.join(least, "component").select("node", "least")
+    known = first.join(counts, "node", "left").join(placed, "node", "left").selectExpr(*same, "m - 1 + coalesce(n, 0) as n_links", "coalesce(least, rep) as component_id")
+    known = good.select("vec_id", *same).join(known, same).select("vec_id", "n_links", "component_id")
     bad = rows.where("vec_id is null or embedding is null").select("vec_id").unionByName(
         rows.where("vec_id is not null and embedding is not null").mapInArrow(_rejected, "vec_id long")
     )
@@ -228,10 +319,6 @@ def _rejected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(~usable(batch.column("embedding")))).select(["vec_id"])
 
 
-def _floats(df: DataFrame, vector: str) -> bool:
-    return dict(df.dtypes)[vector] == "array<float>"
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op1: near-duplicate groups of all embeddings."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))

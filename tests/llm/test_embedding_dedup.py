@@ -49,6 +49,8 @@ def fixture(n=64):
 @pytest.mark.parametrize("block", [1024, 16])
 def test_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(ed, "BLOCK", block)
+    monkeypatch.setattr(ed, "CODE_BLOCK", 2 * block)
+    monkeypatch.setattr(ed, "STRIP", 40 * block)
     rows = fixture()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("label", ed.F.lit(1)).withColumn("rep", ed.F.lit(1)).repartition(3)
     got = ed.near_duplicates(df).collect()
@@ -76,3 +78,41 @@ def test_estimates_are_unbiased_and_bounded():
 
 def test_empty_table(spark):
     assert ed.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_repeated_ids_on_different_vectors(spark):
+    rng = np.random.default_rng(3)
+    x, y, z = (rng.normal(size=64).astype(np.float32).tolist() for _ in range(3))
+    rows = [(1, x), (1, y), (2, x), (3, y), (4, z), (4, z), (5, [-0.0, 1.0]), (6, [0.0, 1.0])]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in ed.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True), (4, 1, 4, True), (5, 1, 5, True), (6, 1, 5, False)]
+
+
+def test_recall_on_the_table(spark):
+    """Every link that all pairs in double precision show is found, on a real table and on one of near copies at the threshold."""
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect() if r.embedding]
+    rng = np.random.default_rng(8)
+    for i in range(300):
+        x = rng.normal(size=64)
+        w = rng.normal(size=64)
+        x, w = x / np.linalg.norm(x), w - w @ x * x / (x @ x)
+        w /= np.linalg.norm(w)
+        rows += [(100_000 + 2 * i, x.tolist()), (100_001 + 2 * i, (0.951 * x + np.sqrt(1 - 0.951**2) * w).tolist())]
+    v = np.array([r[1] for r in rows], dtype=np.float32).astype(float)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    want = {r[0]: int(n) - 1 for r, n in zip(rows, ((v @ v.T) >= 0.95).sum(axis=1))}
+    got = {r.vec_id: r.n_links for r in ed.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert sum(min(got[i], n) for i, n in want.items()) >= 0.99 * sum(want.values()) and all(got[i] <= n for i, n in want.items())
+
+
+def test_sign_bits_keep_pairs_at_the_threshold():
+    rng = np.random.default_rng(10)
+    bits, tables = ed.shape_of_tables(50_000)
+    for _ in range(300):
+        x, w = rng.normal(size=(2, 64))
+        x /= np.linalg.norm(x)
+        w -= w @ x * x
+        pair = np.stack([x, 0.95 * x + np.sqrt(1 - 0.95**2) * w / np.linalg.norm(w)])
+        _, codes, _ = ed.encode(pair, bits, tables)
+        signs = np.unpackbits(codes, axis=1)
+        assert (signs[0] == signs[1]).mean() >= ed.least_agreement(signs.shape[1])
