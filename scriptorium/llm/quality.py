@@ -65,7 +65,7 @@ def features(part: Slice) -> list[tuple[np.ndarray, np.ndarray]]:
     cut = U(64 - BITS)
     again = np.zeros(len(token), dtype=U)
     again[1:] += token[1:] == token[:-1]
-    again[2:] += U(2) * (token[2:] == token[:-2])
+    again[2:] += U(2) * ((token[2:] == token[:-2]) & follows[2:] & follows[1:-1])
     index = lambda x: (mix(x) >> cut).astype(np.int64)
     return [
         (index(token + U(1)), first),
@@ -119,7 +119,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
     """The weights (2**BITS, then the intercept) from texts of docs and labels (doc_id, label).
 
     Rows are joined on doc_id; several labels of one document count by their
-    mean, null labels not at all. The sample keeps labelled rows whose id hash
+    mean, null labels not at all; rows of docs that repeat an id are each learned from. The sample keeps labelled rows whose id hash
     lies below train_rows / their number, so it is bounded; shards train
     on the executors and the driver gets at most 2**BITS + 1 averaged weights.
     """
@@ -130,9 +130,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> np.
     chosen = known.withColumn("order", order).where(F.pmod("order", F.lit(1_000_000)) < int(share * 1_000_000))
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("shard", F.pmod(F.xxhash64("order"), F.lit(SHARDS)))
     parts = rows.select("shard", "order", "text", "label").groupBy("shard").applyInPandas(_train_shard, "feature long, weight double")
-    got = parts.groupBy("feature").agg((F.sum("weight") / min(SHARDS, max(1, total))).alias("weight")).toPandas()
+    # Every shard that has rows gives an intercept.
+    got = parts.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n")).toPandas()
+    at = got["feature"].to_numpy(dtype=np.int64)
     out = np.zeros(2**BITS + 1)
-    out[got["feature"].to_numpy(dtype=np.int64)] = got["weight"].to_numpy()
+    out[at] = got["weight"].to_numpy() / max(1, got["n"].to_numpy()[at == 2**BITS].sum())
     return out
 
 
