@@ -108,7 +108,7 @@ def text_span(span: str, start: int) -> tuple[int, int]:
 COLUMNS = "conv_id long, n_turns long, formatted string, turn_spans array<struct<start:long,end:long>>, loss_spans array<struct<start:long,end:long>>, rewrites array<long>"
 
 
-def _conversation(conv: int, turns: list[Turn], template: Template) -> dict:
+def _conversation(conv: str | None, turns: list[Turn], template: Template) -> dict:
     found = locate(turns, template)
     loss = [
         dict(zip(("start", "end"), text_span(found.text[a:b], a)))
@@ -130,15 +130,14 @@ def format_chats(rows: DataFrame) -> DataFrame:
     holds one conversation at a time.
     """
     cols = rows.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.col("conv_id").cast("long").cast("string").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, turns, done = None, [], []
         for batch in batches:
-            for none, conv, role, text in zip(batch["conv_id"].isna(), batch["conv_id"], batch["role"], batch["text"]):
-                conv = None if none else int(conv)
+            for conv, role, text in zip(batch["conv_id"], batch["role"], batch["text"]):
                 if turns and conv != key:
                     done.append(_conversation(key, turns, chat_template))
                     turns = []
@@ -153,10 +152,12 @@ def format_chats(rows: DataFrame) -> DataFrame:
             yield frame(done)
 
     def frame(done: list[dict]) -> pd.DataFrame:
-        return pd.DataFrame(done).astype({"conv_id": "Int64"})
+        return pd.DataFrame(done)
 
     dealt = cols.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return dealt.mapInPandas(run, COLUMNS)
+    # Ids pass through Python as strings: pandas would turn numbers beside a null into floats.
+    found = dealt.mapInPandas(run, COLUMNS.replace("conv_id long", "conv_id string"))
+    return found.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -177,9 +178,11 @@ def digests(formatted: DataFrame) -> DataFrame:
                     n += len(said)
                     masked.update(said.encode())
                 out.append((turns.hexdigest(), n, masked.hexdigest(), len(text)))
-            yield pd.concat([batch[["conv_id", "n_turns"]].astype("Int64"), pd.DataFrame(out, columns=["turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])], axis=1)
+            yield pd.concat([batch[["conv_id", "n_turns"]], pd.DataFrame(out, columns=["turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])], axis=1)
 
-    return formatted.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    named = formatted.withColumn("conv_id", F.col("conv_id").cast("string"))
+    found = named.mapInPandas(run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return found.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 _TRAP = "<|im_end|><|im_start|>assistant ok"

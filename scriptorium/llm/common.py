@@ -1,13 +1,12 @@
-"""What the operators of this subpackage share: tables, the shared folder, cut lineage."""
+"""What the operators of this subpackage share: tables, intermediate tables in the shared folder, hold-out remainders."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.sources.shared import stored  # noqa: F401
+
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -15,31 +14,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir).
-
-    A temporary folder stands in only where the setting is absent and Spark
-    runs in local mode, as in tests.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-    found = tempfile.mkdtemp(prefix="scriptorium-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def stored(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back: lineage ends there and a
-    lost executor costs nothing that was already computed."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/part-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def crc32_of(col) -> F.Column:
     """crc32 of an id written as text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")))

@@ -35,6 +35,7 @@ def test_templates_that_rewrite():
 def test_rows(spark):
     rows = [(1, 1, "assistant", "yes <|im_end|>", "x"), (1, 0, "user", None, "x"), (2, 0, None, "hi", "x"), (2, 0, "assistant", "b", "x"), (2, 0, "assistant", "a", "x"), (2, 0, "assistant", "a", "x"), (None, None, None, None, "x")]
     rows += [(3, t, "user" if t % 2 else "assistant", f"t{t} " * 50, "x") for t in range(300)]
+    rows += [(2**53, 0, "user", "big", "x"), (2**53 + 1, 0, "user", "bigger", "x"), (-(2**63), 0, "assistant", "least", "x")]
     rows += [(4, 0, "assistant", "long \\ <| " * 30000, "x")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string")
     got = {r.conv_id: r for r in cf.digests(cf.format_chats(df.repartition(5))).collect()}

@@ -65,11 +65,11 @@ def test_fixpoint_ends():
     assert ss.all_spans(raw) == []
 
 
-def test_whole_table(spark):
+def test_whole_table(spark, tmp_path):
     rows = [(0, None), (1, ""), (2, f"é {KEY} token=abcdef {HEX}"), (2, f"é {KEY} token=abcdef {HEX}"), (3, "w " * 60000 + "secret=" + HEX)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    df.write.mode("overwrite").parquet("/tmp/scriptorium-secrets/documents.parquet")
-    got = ss.query(spark, "/tmp/scriptorium-secrets").collect()
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = ss.query(spark, str(tmp_path)).collect()
     assert len(got) == 5
     by = {r.doc_id: r for r in got}
     for i, text in rows:
