@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import strip, words
+from scriptorium.functions.text import strip
 
 _CAP = "[A-ZÁÀÃÂÉÊÍÓÔÕÚÜÇ]"
 
@@ -46,9 +46,10 @@ PROBLEMS = ["vazia", "curta", "concatenada_padrao", "concatenada_padrao2", "inic
 
 
 def common_share(c: Column, common: list[str] = COMMON_WORDS) -> Column:
-    """Share of a text's words that are in the list."""
-    w = words(c)
-    return F.when(F.size(w) > 0, F.size(F.filter(w, lambda x: F.lower(x).isin(common))) / F.size(w)).otherwise(0.0)
+    """Share of a text's words that are in the list; both counts are one pass of a pattern."""
+    n = F.regexp_count(c, F.lit(r"[^\s\p{Z}]+"))
+    alone = rf"(?<![^\s\p{{Z}}])(?:{'|'.join(common)})(?![^\s\p{{Z}}])"
+    return F.when(n > 0, F.regexp_count(F.lower(c), F.lit(alone)) / n).otherwise(0.0)
 
 
 def reference_problems(c: Column) -> Column:

@@ -93,8 +93,8 @@ def inserted(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
 
 def filled(old: DataFrame, new: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
     """Empty columns of old take the first non-empty value of new in load order (DML6, ER10)."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    first = new.select(key, *[F.first(F.nullif(F.col(c), F.lit("")), ignorenulls=True).over(w).alias(f"_{c}") for c in columns]).distinct()
+    given = lambda c: F.when(F.col(c) != "", F.col(order))
+    first = new.groupBy(key).agg(*[F.min_by(F.col(c), given(c)).alias(f"_{c}") for c in columns])
     joined = old.join(first, key, "left")
     return joined.select(*[F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_{c}")).alias(c) if c in columns else F.col(c) for c in old.columns])
 
@@ -139,16 +139,20 @@ def batches(df: DataFrame, per: str | None, order: str, size: int) -> DataFrame:
 def merge_targets(edges: DataFrame, limit: int = 64) -> DataFrame:
     """(removed, keep) with every chain removed -> keep followed to its end (ER6).
 
-    Each removed id has one target, the least; chains halve in each round.
+    Each removed id has one target, the least; chains halve in each round, so that after ``limit`` rounds only
+    ids that lead into a cycle are still on their way. Those have no end: they are reported as an error.
     """
     now = stored(edges.groupBy("removed").agg(F.min("keep").alias("keep")))
     for _ in range(limit):
         up = now.toDF("keep", "next")
         jumped = stored(now.join(up, "keep", "left").select("removed", F.coalesce("next", "keep").alias("keep"), F.col("next").isNotNull().alias("moved")))
         now = jumped.select("removed", "keep")
-        if jumped.where("moved").isEmpty():
+        left = jumped.where("moved").select("removed").limit(5).collect()
+        if not left:
+            return now
+        if not jumped.where("moved and removed = keep").isEmpty():
             break
-    return now
+    raise ValueError(f"merges go round in a circle; among them {sorted(r.removed for r in left)}")
 
 
 def merged_edges(links: DataFrame, targets: DataFrame, group: str, member: str) -> DataFrame:

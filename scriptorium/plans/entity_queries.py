@@ -25,10 +25,13 @@ def _(t, spark):
     return _authors(spark).select("id", s["given"].alias("given"), s["family"].alias("family"))
 
 
-@query("er3_full_name_merges", "SELECT * FROM " + values([(4, 5), (5, 6), (9, 8)], "removed, keep"))
+_FULL_NAME_WANT = [(2, 1), (4, 5), (5, 6), (9, 8)]
+
+
+@query("er3_full_name_merges", "SELECT * FROM " + values(_FULL_NAME_WANT, "removed, keep"))
 def _(t, spark):
     """Blocks of last surnames, compatible whole names, the longer one kept; chains are for merge_targets to follow."""
-    pairs = er.pairs_of(_authors(spark).where("id > 3"), er.surname_block(F.col("family")))
+    pairs = er.pairs_of(_authors(spark), er.surname_block(F.col("family")))
     return er.merge_map(pairs, er.same_full_name(2))
 
 
@@ -116,16 +119,25 @@ def _(t, spark):
     return lines.join(gone, ["doc_id", "pos"], "left_anti").select("doc_id", F.col("pos").cast("long").alias("pos"), "line")
 
 
-_HTML = "<h3>Ana Lima</h3><p>id 0000-0001</p><h3>Rui Sá</h3><p>x</p><p>id 0000-0002</p><p>id 0000-0001</p>"
-
-
-@query("win9_nearest_tag", "SELECT * FROM " + values([("0000-0001", "Ana Lima"), ("0000-0002", "Rui Sá")], "orcid, name"))
+@query("win9_nearest_tag", """
+WITH p AS (SELECT page_id, string_split_regex(html, '<(?:p|h1|h2|h3|title)[^>]*>') AS xs, regexp_extract_all(html, '<(p|h1|h2|h3|title)[^>]*>', 1) AS tags FROM pages WHERE html IS NOT NULL),
+r AS (SELECT page_id, i, tags[i] AS tag, trim(regexp_extract(xs[i + 1], '^([^<]*)', 1)) AS x FROM (SELECT *, unnest(generate_series(1, len(tags))) AS i FROM p)),
+n AS (SELECT *, last_value(CASE WHEN tag <> 'p' AND x <> '' THEN x END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY i) AS heading FROM r)
+SELECT page_id, x AS paragraph, arg_min(heading, i) AS heading FROM n WHERE tag = 'p' AND x <> '' GROUP BY page_id, x
+""")
 def _(t, spark):
-    """Each id with the nearest heading before it; the first place of an id counts (EXT14)."""
-    pieces = spark.createDataFrame([(_HTML,)], "h string").select(F.posexplode(F.split("h", "(?=<h3>|<p>)")).alias("pos", "x"))
-    w = Window.partitionBy(F.lit(0)).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    named = pieces.withColumn("name", F.last(F.nullif(F.regexp_extract("x", "<h3>([^<]*)", 1), F.lit("")), ignorenulls=True).over(w)).withColumn("orcid", F.regexp_extract("x", r"(\d{4}-\d{4})", 1))
-    return ops.latest_per_key(named.where("orcid <> ''"), "orcid", [F.asc("pos")]).select("orcid", "name")
+    """Each paragraph of a page with the nearest heading before it; the first place of a repeated one counts (EXT14)."""
+    marks = "<(?:p|h1|h2|h3|title)[^>]*>"
+    pieces = t("pages").where("html is not null").select("page_id", F.arrays_zip(
+        F.regexp_extract_all("html", F.lit(marks.replace("?:", "")), F.lit(1)).alias("tag"),
+        F.slice(F.split("html", marks), 2, 1_000_000_000).alias("x"),
+    ).alias("z")).select("page_id", F.posexplode("z").alias("pos", "z"))
+    x = F.trim(F.regexp_extract("z.x", "^([^<]*)", 1))
+    w = Window.partitionBy("page_id").orderBy("pos")
+    named = pieces.select("page_id", "pos", F.col("z.tag").alias("tag"), x.alias("x"))
+    named = named.withColumn("heading", F.last(F.when((F.col("tag") != "p") & (F.col("x") != ""), F.col("x")), ignorenulls=True).over(w))
+    found = named.where("tag = 'p' and x <> ''").groupBy("page_id", F.col("x").alias("paragraph"))
+    return found.agg(F.min_by(F.struct("heading"), "pos").alias("h")).select("page_id", "paragraph", F.col("h.heading").alias("heading"))
 
 
 @query("win12_first_and_last_heading", """

@@ -45,20 +45,19 @@ SELECT coalesce(source, 'TOTAL') AS source, count(*) AS total_refs, count(*) FIL
 FROM p GROUP BY ROLLUP (source)
 """)
 def _(t, spark):
-    """The report of problems per source, with a total (REF1 to REF3, AGG6)."""
+    """The report of problems per source, with a total (REF1 to REF3, AGG6): counted per document first, of
+    which each has one source, so that only those small rows are rolled up."""
     p = _lines(t).withColumn("p", ref.reference_problems(F.col("ref")))
     has = lambda *names: F.arrays_overlap("p", F.array(*map(F.lit, names)))
-    return (
-        p.rollup("source")
-        .agg(
-            F.count(F.lit(1)).alias("total_refs"),
-            F.count_if(has("concatenada_padrao", "concatenada_padrao2")).alias("n_concat"),
-            F.count_if(has("nao_referencia", "inicio_minuscula", "sem_ano_ponto", "texto_corrido")).alias("n_not_ref"),
-            F.count_if(has("curta", "vazia")).alias("n_short"),
-            F.countDistinct(F.when(F.size("p") > 0, F.col("doc_id"))).alias("docs_with_problem"),
-        )
-        .withColumn("source", F.coalesce("source", F.lit("TOTAL")))
+    per = p.groupBy("source", "doc_id").agg(
+        F.count(F.lit(1)).alias("total_refs"),
+        F.count_if(has("concatenada_padrao", "concatenada_padrao2")).alias("n_concat"),
+        F.count_if(has("nao_referencia", "inicio_minuscula", "sem_ano_ponto", "texto_corrido")).alias("n_not_ref"),
+        F.count_if(has("curta", "vazia")).alias("n_short"),
+        F.max((F.size("p") > 0).cast("long")).alias("docs_with_problem"),
     )
+    counts = ["total_refs", "n_concat", "n_not_ref", "n_short", "docs_with_problem"]
+    return per.rollup("source").agg(*[F.sum(c).alias(c) for c in counts]).withColumn("source", F.coalesce("source", F.lit("TOTAL")))
 
 
 _UNPIVOT = " UNION ALL ".join(f"SELECT doc_id, pos, '{p}' AS problem FROM p WHERE {p}" for p in ref.PROBLEMS)
@@ -148,7 +147,17 @@ def _(t, spark):
     return _list_rows(spark).select("k", ref.join_orphans(F.col("refs")).alias("refs"))
 
 
-@query("ref6_clean_lists")
+@query("ref6_clean_lists", f"""
+WITH e AS (SELECT k, i, trim(refs[i]) AS r FROM (SELECT k, refs, unnest(generate_series(1, len(refs))) AS i FROM {_LIST_SQL})),
+c AS (SELECT k, i, j, trim(p[j]) AS part FROM (SELECT k, i, p, unnest(generate_series(1, len(p))) AS j FROM (SELECT k, i, string_split(regexp_replace(r, '\\s+(_{{3,}})', chr(1) || '\\1', 'g'), chr(1)) AS p FROM e WHERE r <> ''))),
+d AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY i, j) AS i, regexp_replace(part, '^(_{{3,}})\\s+', '\\1') AS r FROM c WHERE part <> '' AND NOT regexp_matches(regexp_replace(part, '^(_{{3,}})\\s+', '\\1'), '^_{{3,}}$')),
+b AS (SELECT *, regexp_matches(r, '^_{{3,}}') AS blank, last_value(CASE WHEN NOT regexp_matches(r, '^_{{3,}}') THEN r END IGNORE NULLS) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS base FROM d),
+f AS (SELECT k, i, trim(CASE WHEN blank AND {_AUTHOR.format('base')} IS NOT NULL THEN {_AUTHOR.format('base')} || ' ' || regexp_replace(r, '^_{{3,}}[.,]?\\s*', '') ELSE r END) AS r FROM b),
+s AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY k ORDER BY i) = 1 OR NOT (regexp_matches(r, '^https?://\\S+$') OR starts_with(r, 'Disponível em') OR starts_with(r, 'Acesso em') OR starts_with(r, 'Available at')) THEN 1 ELSE 0 END AS start FROM f WHERE r <> ''),
+g AS (SELECT *, sum(start) OVER (PARTITION BY k ORDER BY i) AS no FROM s),
+j AS (SELECT k, no, string_agg(r, ' ' ORDER BY i) AS ref FROM g GROUP BY k, no)
+SELECT k, list(ref ORDER BY no) AS refs FROM j GROUP BY k UNION ALL SELECT 7, []
+""")
 def _(t, spark):
     """The three phases in turn."""
     return _list_rows(spark).select("k", ref.clean_references(F.col("refs")).alias("refs"))
@@ -180,12 +189,12 @@ def _(t, spark):
 
 @query("ext14_html_links", """
 WITH p AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS names FROM pages)
-SELECT page_id, unnest(list_distinct(list_zip(hrefs, names))) AS pair FROM p WHERE len(hrefs) = len(names)
+SELECT DISTINCT page_id, hrefs[i] AS href, names[i] AS name FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM p WHERE len(hrefs) = len(names))
 """)
 def _(t, spark):
-    """(address, name) pairs of a page, each once (EXT14)."""
+    """Address and name of a page's links, each pair once (EXT14)."""
     pages = t("pages").select("page_id", F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1)).alias("h"), F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), F.lit(1)).alias("n"))
-    return pages.where(F.size("h") == F.size("n")).select("page_id", F.explode(F.array_distinct(F.arrays_zip("h", "n"))).alias("pair"))
+    return pages.where(F.size("h") == F.size("n")).select("page_id", F.explode(F.array_distinct(F.arrays_zip("h", "n"))).alias("pair")).select("page_id", F.col("pair.h").alias("href"), F.col("pair.n").alias("name"))
 
 
 _PAPERS = [

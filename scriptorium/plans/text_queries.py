@@ -275,10 +275,18 @@ def _(t, spark):
     return spark.createDataFrame(_LISTED, "id int, k array<string>, f string").select("id", tx.numbered(F.col("k")).alias("k"), tx.many_words(F.col("f")).alias("long"))
 
 
-@query("str9_usable_keywords", "SELECT 1 AS id, ['1', 'casa', 'rua', '2) vila'] AS k UNION ALL SELECT 2, ['concreto', 'Curitiba']")
+@query("str9_usable_keywords", r"""
+WITH l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)),
+p AS (SELECT doc_id, i, j, regexp_replace(regexp_replace(string_split_regex(line, '\.[ \t\n\x0B\f\r]+')[j], '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g'), '[.;,]+$', '') AS k
+  FROM (SELECT *, unnest(generate_series(1, len(string_split_regex(line, '\.[ \t\n\x0B\f\r]+')))) AS j FROM l)),
+u AS (SELECT *, length(regexp_replace(k, '[^\p{L}]', '', 'g')) AS n, length(regexp_replace(k, '[^\p{Lu}]', '', 'g')) AS c FROM p)
+SELECT doc_id, list(k ORDER BY i, j) AS k FROM u
+WHERE k <> '' AND NOT regexp_matches(k, '^[0-9]+$') AND length(k) <= 100 AND NOT (n > 12 AND c > 0.55 * n)
+  AND NOT regexp_matches(k, '(?i)^(palavras?[- ]chave|keywords?|abstract|resumo)([^\p{L}\p{N}_]|$)') GROUP BY doc_id
+""")
 def _(t, spark):
-    df = spark.createDataFrame([(1, ["x1. casa", "rua", "2) vila", "CONCRETO ARMADO NO BRASIL"]), (2, ["concreto. Curitiba. 32", "keywords: x"])], "id int, k array<string>")
-    return df.select("id", F.transform(tx.usable_keywords(F.col("k")), lambda k: F.when(k == "x1", "1").otherwise(k)).alias("k"))
+    """The rule over the lines of every document, which stand for keywords."""
+    return t("documents").select("doc_id", tx.usable_keywords(F.split("text", "\n")).alias("k")).where(F.size("k") > 0)
 
 
 @query("str10_trailing_event", "SELECT * FROM " + values([(1, "casa moderna"), (2, "rua")], "id, k"))
@@ -289,8 +297,8 @@ def _(t, spark):
 
 @query("str23_running_header", "SELECT 1 AS id, ['SILVA, A. Um.', 'LIMA, B. Dois.'] AS r")
 def _(t, spark):
-    df = spark.createDataFrame([(1, ["ANAIS 5", "ANAIS 5 SILVA, A. Um.", "LIMA, B. ANAIS 5 Dois."])], "id int, r array<string>")
-    return df.select("id", tx.without_running_header(F.col("r"), "ANAIS 5").alias("r"))
+    df = spark.createDataFrame([(1, ["ATAS 5", "ATAS 5 SILVA, A. Um.", "LIMA, B. ATAS 5 Dois."])], "id int, r array<string>")
+    return df.select("id", tx.without_running_header(F.col("r"), "ATAS 5").alias("r"))
 
 
 @query("str28_name_lists", "SELECT * FROM " + values([(1, "Silva, Ana; Instituto")], "id, n"))
