@@ -136,22 +136,20 @@ def batches(df: DataFrame, per: str | None, order: str, size: int) -> DataFrame:
     return df.withColumn("batch", F.ceil(F.row_number().over(w) / size).cast("long"))
 
 
-def merge_targets(edges: DataFrame, limit: int = 64) -> DataFrame:
+def merge_targets(edges: DataFrame) -> DataFrame:
     """(removed, keep) with every chain removed -> keep followed to its end (ER6).
 
-    Each removed id has one target, the least; chains halve in each round, so that after ``limit`` rounds only
-    ids that lead into a cycle are still on their way. Those have no end: they are reported as an error.
+    Each removed id has one target, the least; chains halve in each round, so that after as many rounds as
+    the number of ids has bits only those that lead into a cycle are still on their way. They have no end, and are reported as an error.
     """
     now = stored(edges.groupBy("removed").agg(F.min("keep").alias("keep")))
-    for _ in range(limit):
+    for _ in range(now.count().bit_length() + 1):
         up = now.toDF("keep", "next")
         jumped = stored(now.join(up, "keep", "left").select("removed", F.coalesce("next", "keep").alias("keep"), F.col("next").isNotNull().alias("moved")))
         now = jumped.select("removed", "keep")
         left = jumped.where("moved").select("removed").limit(5).collect()
         if not left:
             return now
-        if not jumped.where("moved and removed = keep").isEmpty():
-            break
     raise ValueError(f"merges go round in a circle; among them {sorted(r.removed for r in left)}")
 
 

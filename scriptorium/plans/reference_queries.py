@@ -216,6 +216,49 @@ def _(t, spark):
     return sections(spark.createDataFrame(_PAPERS, "k int, x string"), "x").drop("x")
 
 
+#: Words that look like a surname after an end and are none.
+_NO_SURNAMES = "disponível acesso recuperado tese dissertação revista caderno recife natal paris london tradução available in the le la".split()
+_STOP_SQL = literal(_NO_SURNAMES)
+_UP, _LOW = split_references._UP, split_references._LOW
+
+
+@query("ref7_author_shapes", f"""
+SELECT doc_id, pos, regexp_matches(r, '^[{_UP}][{_UP}\\s]+[{_UP}]\\s*,\\s*[{_UP}]') AND NOT list_contains({_STOP_SQL}, lower(trim(string_split(r, ',')[1]))) AS caps,
+  regexp_matches(r, '^[{_UP}][{_LOW}]+(?:\\s+[{_LOW}]+)*,\\s*[{_UP}]') AND length(string_split(r, ',')[1]) >= 3 AND NOT list_contains({_STOP_SQL}, lower(regexp_extract(r, '^([{_UP}][{_LOW}]+)', 1))) AS mixed
+FROM ({_LINES})
+""")
+def _(t, spark):
+    """Which lines begin like an author."""
+    from scriptorium.functions.text import strip
+
+    r = strip(F.col("ref"))
+    return _lines(t).select("doc_id", F.col("pos").cast("long").alias("pos"), split_references.caps_author(r, _NO_SURNAMES).alias("caps"), split_references.mixed_author(r, _NO_SURNAMES).alias("mixed"))
+
+
+@query("ref9_thinned_positions", """
+WITH RECURSIVE l AS (SELECT l_orderkey AS k, list(DISTINCT l_partkey % 200 ORDER BY l_partkey % 200) AS ps FROM lineitem GROUP BY l_orderkey),
+r AS (SELECT k, ps, 2 AS i, [ps[1]] AS kept FROM l UNION ALL SELECT k, ps, i + 1, CASE WHEN ps[i] - kept[len(kept)] > 10 THEN list_append(kept, ps[i]) ELSE kept END FROM r WHERE i <= len(ps))
+SELECT k, array_to_string(kept, ',') AS kept FROM r WHERE i = len(ps) + 1
+""")
+def _(t, spark):
+    """Positions thinned in order, the parts of an order standing for them."""
+    p = t("lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_set((F.col("l_partkey") % 200).cast("int"))).alias("ps"))
+    return p.select("k", F.array_join(split_references.thinned(F.col("ps")), ",").alias("kept"))
+
+
+@query("ref11_footnotes", f"""
+WITH f AS (SELECT doc_id, pos, trim(regexp_replace(r, '^[0-9]+\\s+', '')) AS x FROM ({_LINES})),
+w AS (SELECT *, list_filter(regexp_split_to_array(x, '[\\s\\p{{Z}}]+'), lambda w: w <> '') AS ws FROM f)
+SELECT doc_id, pos FROM w WHERE length(x) < 15 OR (NOT regexp_matches(left(x, 150), '[{_UP}]{{2,}},\\s*[A-Z]|[A-Z][a-z]+,\\s*[A-Z][a-z]')
+  AND NOT (regexp_matches(x, '^[{_UP}][{_UP}\\s]+[{_UP}]\\s*,\\s*[{_UP}]') AND NOT list_contains({_STOP_SQL}, lower(trim(string_split(x, ',')[1]))))
+  AND NOT (regexp_matches(x, '^[{_UP}][{_LOW}]+(?:\\s+[{_LOW}]+)*,\\s*[{_UP}]') AND length(string_split(x, ',')[1]) >= 3 AND NOT list_contains({_STOP_SQL}, lower(regexp_extract(x, '^([{_UP}][{_LOW}]+)', 1))))
+  AND len(ws) > 8 AND len(list_filter(ws, lambda w: list_contains({literal(split_references.FOOTNOTE_WORDS)}, lower(w)))) / len(ws) > 0.30)
+""")
+def _(t, spark):
+    """Lines that are footnotes or running text."""
+    return _lines(t).where(split_references.is_footnote(F.col("ref"), _NO_SURNAMES)).select("doc_id", F.col("pos").cast("long").alias("pos"))
+
+
 _RUN_ON = [
     (1, ["SILVA, João. Casa moderna no nordeste do Brasil. Recife: Nova Editora, 1999. SOUZA, Maria. Outra casa. Natal: Editora, 2001."]),
     (2, ["curta", "  ", "SILVA, João. Uma obra só, sem outra. Recife: Nova Editora, 1999."]),
@@ -233,4 +276,4 @@ _RUN_ON_WANT = [
 @query("ref12_split_concatenated", "SELECT * FROM " + values(_RUN_ON_WANT, "k, refs"))
 def _(t, spark):
     """Boundaries found, thinned, cut and filtered (REF7 to REF12)."""
-    return spark.createDataFrame(_RUN_ON, "k int, refs array<string>").select("k", split_references.split_concatenated(F.col("refs")).alias("refs"))
+    return spark.createDataFrame(_RUN_ON, "k int, refs array<string>").select("k", split_references.split_concatenated(F.col("refs"), _NO_SURNAMES).alias("refs"))
