@@ -157,3 +157,36 @@ def merged_edges(links: DataFrame, targets: DataFrame, group: str, member: str)
     """Links re-pointed to the kept members, one for each group and member (ER6, DML7)."""
     moved = links.join(targets.toDF(member, "_keep"), member, "left")
     return moved.select(group, F.coalesce("_keep", member).alias(member)).distinct()
+
+
+def without_positions(lists: DataFrame, key: str, items: str, removals: DataFrame) -> DataFrame:
+    """lists without the items at the positions (key, pos) of removals, counted from 0; a position named by several
+    sources goes once, one that a list lacks does nothing (SET3, REF14)."""
+    gone = removals.groupBy(key).agg(F.array_sort(F.collect_set("pos")).alias("_gone"))
+    left = F.filter(F.col(items), lambda x, i: ~F.coalesce(F.array_contains(F.col("_gone"), i.cast("long")), F.lit(False)))
+    return lists.join(gone, key, "left").withColumn(items, left).drop("_gone")
+
+
+def by_priority(sources: list[DataFrame], key: str) -> DataFrame:
+    """The rows of all sources, of each key those of the last source that has it; the first in order of all columns if it has several (DML8)."""
+    numbered = [s.withColumn("_rank", F.lit(k)) for k, s in enumerate(sources)]
+    every = numbered[0]
+    for other in numbered[1:]:
+        every = every.unionByName(other)
+    rest = [c for c in every.columns if c not in (key, "_rank")]
+    best = every.groupBy(key).agg(F.min(F.struct((-F.col("_rank")).alias("r"), *rest)).alias("_best"))
+    return best.select(key, *[F.col(f"_best.{c}").alias(c) for c in rest])
+
+
+def kept_or_extracted(old: DataFrame, found: DataFrame, key: str, keep: list[str], overwrite: list[str] = ()) -> DataFrame:
+    """old with found's values where it has none; fields of ``overwrite`` take found's where there are any (DML10)."""
+    both = old.join(found.select(key, *[F.nullif(F.col(c), F.lit("")).alias(f"_{c}") for c in (*keep, *overwrite)]), key, "left")
+    value = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_{c}")) if c in keep else F.coalesce(F.col(f"_{c}"), F.col(c)) if c in overwrite else F.col(c)
+    return both.select(*[value(c).alias(c) for c in old.columns])
+
+
+def changes(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """(key, field, before, after) of what an update would change: its dry run (DML11, SNK13)."""
+    both = old.select(key, *[F.col(c).cast("string").alias(f"a_{c}") for c in columns]).join(new.select(key, *[F.col(c).cast("string").alias(f"b_{c}") for c in columns]), key)
+    rows = F.array(*[F.struct(F.lit(c).alias("field"), F.col(f"a_{c}").alias("before"), F.col(f"b_{c}").alias("after")) for c in columns])
+    return both.select(key, F.explode(rows).alias("x")).select(key, "x.*").where("not (before <=> after)")
