@@ -111,11 +111,8 @@ def keyword_list(c: Column) -> Column:
 
 def distinct_ignoring_case(c: Column) -> Column:
     """The elements of an array that no earlier one equals but for case, in order (SET4)."""
-    return F.aggregate(
-        c,
-        F.array().cast("array<string>"),
-        lambda kept, k: F.when(F.exists(kept, lambda x: F.lower(x) == F.lower(k)), kept).otherwise(F.concat(kept, F.array(k))),
-    )
+    small = F.transform(c, lambda k: F.lower(k))
+    return F.filter(c, lambda k, i: F.array_position(small, F.lower(k)) == i + 1)
 
 
 def replaced_spans(c: Column, fixes: Column) -> Column:

@@ -380,3 +380,197 @@ def _(t, spark):
     from scriptorium.operators.extract import without_page_noise
 
     return t("documents").where("text is not null").select("doc_id", F.md5(without_page_noise(F.concat("text", F.lit("\n12\nx")))).alias("digest"))
+
+
+_SPLIT_SQL = "SELECT p_partkey, 'SILVA, João. ' || p_name || ' ' || p_type || ' e outras coisas daquele lugar. Recife: Editora, 1999. ' AS a, 'SOUZA, Maria. Outra ' || p_name || ' da cidade. Natal: Editora, 2001.' AS b FROM part"
+
+
+def _run_on(t):
+    return t("part").selectExpr("p_partkey", "concat('SILVA, João. ', p_name, ' ', p_type, ' e outras coisas daquele lugar. Recife: Editora, 1999. ', 'SOUZA, Maria. Outra ', p_name, ' da cidade. Natal: Editora, 2001.') r")
+
+
+@query("ref8_boundaries", f"SELECT p_partkey, length(a) AS at FROM ({_SPLIT_SQL})")
+def _(t, spark):
+    """Where the second of two references begins, over references written from parts."""
+    from scriptorium.operators.split_references import boundaries
+
+    return _run_on(t).select("p_partkey", F.explode(boundaries(F.col("r"), ["recife", "natal"])).alias("at")).select("p_partkey", F.col("at").cast("long").alias("at"))
+
+
+@query("ref10_pieces", "SELECT p_partkey, [trim(substr(p_name, 1, 3)), trim(substr(p_name, 4, CAST(p_size AS BIGINT) % 4 + 1)), trim(substr(p_name, 5 + p_size % 4))] AS pieces FROM part")
+def _(t, spark):
+    """Texts cut at given positions."""
+    from scriptorium.operators.split_references import pieces
+
+    return t("part").select("p_partkey", pieces(F.col("p_name"), F.expr("array(3, cast(4 + p_size % 4 as int))")).alias("pieces"))
+
+
+@query("ref12_split_table", f"SELECT p_partkey, [trim(a), trim(b)] AS refs FROM ({_SPLIT_SQL})")
+def _(t, spark):
+    """Two references in one string for every part, cut apart."""
+    from scriptorium.operators.split_references import split_concatenated
+
+    return _run_on(t).select("p_partkey", split_concatenated(F.array("r"), ["recife", "natal"]).alias("refs"))
+
+
+_SECTIONS = "'Título' || chr(10) || 'Resumo: ' || x || chr(10) || 'Palavras-chave: ' || w || chr(10) || 'Abstract: ' || x || chr(10) || 'Keywords: k' || chr(10) || 'Referências' || chr(10) || y || chr(10) || 'Anexos' || chr(10) || 'fim'"
+
+
+@query("ref15_ext3_ext4_sections", """
+SELECT p_brand, CASE WHEN length(x) > 50 AND length(x) <= 5000 THEN x END AS abstract, w AS keywords, CASE WHEN length(x) > 50 THEN x END AS abstract_en, y AS refs
+FROM (SELECT p_brand, string_agg(p_name, ' ' ORDER BY p_partkey) AS x, min(p_type) AS w, string_agg(p_name, chr(10) ORDER BY p_partkey DESC) AS y FROM part GROUP BY p_brand)
+""")
+def _(t, spark):
+    """Abstracts within their limits of length, keywords and references of a paper for each brand."""
+    from scriptorium.operators.extract import sections
+
+    names = F.array_sort(F.collect_list(F.struct("p_partkey", "p_name")))
+    join = lambda x, by: F.array_join(F.transform(x, lambda v: v["p_name"]), by)
+    papers = t("part").groupBy("p_brand").agg(join(names, " ").alias("x"), F.min("p_type").alias("w"), join(F.reverse(names), "\n").alias("y"))
+    return sections(papers.select("p_brand", F.expr(_SECTIONS.replace("chr(10)", "'\n'")).alias("text")), "text").drop("text")
+
+
+_RULES = [("widget", "nome", "Widget"), ("anvil", "sigla", "Anvil"), ("cold", "movimento", "Cold"), ("gear", "toponimico", "Gear"), ("old widget", "expressao", "Old-Widget"), ("economy", "area", "Economy")]
+
+
+@query("cap1_cased_words", """
+SELECT p_partkey, CASE w WHEN 'widget' THEN 'Widget' WHEN 'anvil' THEN 'ANVIL' WHEN 'cold' THEN 'Cold' WHEN 'economy' THEN 'Economy' ELSE CASE WHEN p_size % 2 = 0 THEN upper(substr(w, 1, 1)) || substr(w, 2) ELSE w END END AS word
+FROM (SELECT p_partkey, p_size, string_split(p_name, ' ')[1] AS w FROM part)
+""")
+def _(t, spark):
+    """One word of each name by the dictionary (SRC11), or by whether it opens a sentence."""
+    from scriptorium.operators.capitalize import Rules, cased_word
+
+    word = F.upper(F.get(F.split("p_name", " "), F.lit(0)))
+    return t("part").select("p_partkey", cased_word(Rules(_RULES), word, F.col("p_size") % 2 == 0).alias("word"))
+
+
+@query("cap3_phrases", "SELECT p_partkey, regexp_replace(upper(p_name) || ', um ' || p_name, '\\b(?i:old widget)\\b', 'Old-Widget', 'g') AS name FROM part")
+def _(t, spark):
+    """Phrases of several words in any case."""
+    from scriptorium.operators.capitalize import Rules, with_phrases
+
+    return t("part").select("p_partkey", with_phrases(Rules(_RULES), F.concat(F.upper("p_name"), F.lit(", um "), "p_name")).alias("name"))
+
+
+@query("cap4_toponyms", """
+SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'cold Gear' WHEN 1 THEN 'economy Moderna (Gear)' WHEN 2 THEN 'economy moderna gear' ELSE CASE p_name WHEN 'cold gear' THEN 'cold Gear Gear' WHEN 'old widget' THEN 'old widget Gear' ELSE p_name || ' gear' END END AS name FROM part
+""")
+def _(t, spark):
+    """Adjectives of place after what lends them a capital."""
+    from scriptorium.operators.capitalize import Rules, with_toponyms
+
+    name = F.expr("case p_size % 4 when 0 then 'cold gear' when 1 then 'economy Moderna (gear)' when 2 then 'economy moderna gear' else concat(p_name, ' gear') end")
+    return t("part").select("p_partkey", with_toponyms(Rules(_RULES), name).alias("name"))
+
+
+@query("win10_sentence_state", """
+SELECT p_partkey, 'Um caso. Outro ' || CASE WHEN p_size % 2 = 0 THEN 'da ANVIL. casa' ELSE 'caso? Casa' END || ' do Widget' AS title FROM part
+""")
+def _(t, spark):
+    """Capitals after what ends a sentence, but not after an acronym's dot."""
+    from scriptorium.operators.capitalize import capitalized
+
+    raw = F.expr("concat('UM CASO. OUTRO ', if(p_size % 2 = 0, 'DA anvil. CASA', 'CASO? CASA'), ' DO WIDGET.')")
+    return capitalized(t("part").select("p_partkey", raw.alias("raw")), "raw", F.lit(False), _RULES, "title").select("p_partkey", "title")
+
+
+@query("nam7_confidence", f"SELECT id, CASE WHEN no % 2 = 0 OR length(given) = 7 THEN 'baixa' ELSE 'alta' END AS confidence, no % 2 = 0 AS initials FROM {_PEOPLE_SQL}")
+def _(t, spark):
+    """How sure a given name is, and whether it has initials only (NAM17)."""
+    from scriptorium.functions.names import confidence, initials_only
+
+    given = F.expr("if(no % 2 = 0, concat(left(given, 1), '. de M.'), given)")
+    return _people(t).select("id", confidence(given).alias("confidence"), initials_only(given).alias("initials"))
+
+
+@query("nam3_similar_surnames", "SELECT a, b FROM (SELECT x.n_name AS a, y.n_name AS b, jaro_similarity(lower(x.n_name), lower(y.n_name)) AS j FROM nation x JOIN nation y ON x.n_regionkey = y.n_regionkey AND x.n_name < y.n_name) WHERE j + CASE WHEN left(a, 1) <> left(b, 1) THEN 0 WHEN left(a, 2) <> left(b, 2) THEN 1 WHEN left(a, 3) <> left(b, 3) THEN 2 WHEN left(a, 4) <> left(b, 4) THEN 3 ELSE 4 END * 0.1 * (1 - j) >= 0.92")
+def _(t, spark):
+    """Names of a block that count as spellings of one."""
+    from scriptorium.functions.names import SIMILAR, surname_score
+
+    n = t("nation").select("n_regionkey", "n_name")
+    pairs = n.toDF("block", "a").join(n.toDF("block", "b"), "block").where("a < b")
+    return pairs.where(surname_score(F.col("a"), F.col("b")) >= SIMILAR).select("a", "b")
+
+
+@query("str3_str4_normal_names", f"SELECT id, 'dr ' || lower(given) || ' ' || lower(family) AS spaced, 'dr' || lower(given) || ' ' || lower(family) AS deleted FROM {_PEOPLE_SQL}")
+def _(t, spark):
+    """Dots and commas as spaces, and deleted, with accents folded (STR2)."""
+    from scriptorium.functions.names import normal
+
+    name = F.expr("concat('DR.', given, ' ,', translate(family, 'uaio', 'uaio'), '.')")
+    return _people(t).select("id", normal(name).alias("spaced"), normal(name, True).alias("deleted"))
+
+
+@query("str7_str8_keyword_lists", "SELECT p_partkey, CASE p_size % 4 WHEN 3 THEN [p_name] ELSE [p_name, p_type] END AS k FROM part")
+def _(t, spark):
+    """Keywords from JSON lists, semicolons, commas and alone."""
+    from scriptorium.functions.text import keyword_list
+
+    raw = F.expr("case p_size % 4 when 0 then to_json(array(p_name, p_type)) when 1 then concat('• ', p_name, ' ; ', p_type, '.') when 2 then concat(p_name, ',', p_type, ',') else p_name end")
+    return t("part").select("p_partkey", keyword_list(raw).alias("k"))
+
+
+@query("str19_links", """
+SELECT p_partkey, '<a href="https://doi.org/10.1234/x' || p_partkey || '">10.1234/x' || p_partkey || '</a> e <a href="https://x.org/' || p_partkey || '">https://x.org/' || p_partkey || '</a> fim' AS x FROM part
+""")
+def _(t, spark):
+    """DOIs and bare URLs as links."""
+    from scriptorium.functions.text import linked
+
+    return t("part").select("p_partkey", linked(F.expr("concat('DOI: 10.1234/x', p_partkey, ' e https://x.org/', p_partkey, ' fim')")).alias("x"))
+
+
+@query("dml7_repointed_links", "SELECT DISTINCT l_orderkey, l_suppkey % 8 AS l_suppkey FROM lineitem")
+def _(t, spark):
+    """Links of all suppliers re-pointed along chains of merges to their ends, each once (ER6)."""
+    edges = t("supplier").where("s_suppkey >= 8").selectExpr("s_suppkey removed", "s_suppkey - 8 keep")
+    return ops.merged_edges(t("lineitem").select("l_orderkey", "l_suppkey"), ops.merge_targets(edges), "l_orderkey", "l_suppkey")
+
+
+@query("er10_filled_with_provenance", """
+SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'old' WHEN c_custkey % 2 = 0 THEN 'id' || CAST(c_custkey AS VARCHAR) END AS code, CASE WHEN c_custkey % 3 = 0 THEN 'existing' WHEN c_custkey % 2 = 0 THEN 'v2' END AS version FROM customer
+""")
+def _(t, spark):
+    """Confirmed codes only where there is none; those that were there before are marked so."""
+    old = t("customer").selectExpr("c_custkey", "if(c_custkey % 3 = 0, 'old', '') code", "if(c_custkey % 3 = 0, 'existing', '') version")
+    new = t("customer").where("c_custkey % 2 = 0").selectExpr("c_custkey", "concat('id', c_custkey) code", "'v2' version", "1 seq")
+    return ops.filled(old, new, "c_custkey", ["code", "version"], "seq")
+
+
+@query("set4_distinct_lines", """
+WITH l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)),
+f AS (SELECT doc_id, lower(line) AS k, arg_min(line, i) AS line, min(i) AS i FROM l GROUP BY doc_id, lower(line))
+SELECT doc_id, count(*) AS n, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM f GROUP BY doc_id
+""")
+def _(t, spark):
+    """The lines of every document that no earlier one equals but for case."""
+    from scriptorium.functions.text import distinct_ignoring_case
+
+    d = t("documents").where("text is not null").select("doc_id", distinct_ignoring_case(F.split("text", "\n")).alias("x"))
+    return d.select("doc_id", F.size("x").cast("long").alias("n"), F.md5(F.array_join("x", "\n")).alias("digest"))
+
+
+@query("src1_nested_round_trip", """
+SELECT lower(replace(r_name, ' ', '-')) AS slug, 'About ' || r_name AS seminar_title, CAST(2000 + r_regionkey AS INTEGER) AS year, CAST(row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) AS INTEGER) AS seq,
+  'n' || CAST(n_nationkey AS VARCHAR) AS id, n_name AS title, [lower(n_name), r_name] AS keywords FROM nation JOIN region ON n_regionkey = r_regionkey
+""")
+def _(t, spark):
+    """A file for each region, written to the shared folder in two layouts of field names, found again below it and read to one schema
+    (SRC1, SRC2, SRC4, SRC13, PRJ1, PRJ2, SNK9, SNK10)."""
+    import uuid
+
+    from scriptorium.sources import nested
+    from scriptorium.sources.shared import shared_dir
+
+    n = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    item = F.struct("n_nationkey", F.expr("concat('n', n_nationkey)").alias("id"), "n_name", F.array(F.lower("n_name"), F.col("r_name")).alias("k"))
+    per = n.groupBy("r_regionkey", "r_name").agg(F.array_sort(F.collect_list(item)).alias("a"))
+    slug = F.expr("lower(replace(r_name, ' ', '-'))")
+    one = F.to_json(F.struct(F.struct(slug.alias("slug"), F.expr("concat('About ', r_name)").alias("title"), F.expr("2000 + r_regionkey").alias("year")).alias("issue"), F.transform("a", lambda x: F.struct(x["id"].alias("id"), x["n_name"].alias("title"), x["k"].alias("keywords"))).alias("articles")))
+    two = F.to_json(F.struct(slug.alias("slug"), F.expr("2000 + r_regionkey").alias("year"), F.struct(F.expr("concat('About ', r_name)").alias("titulo")).alias("evento"), F.transform("a", lambda x: F.struct(x["id"].alias("id"), x["n_name"].alias("titulo"), x["k"].alias("palavras_chave"))).alias("artigos")))
+    folder = f"{shared_dir(spark)}/nested-{uuid.uuid4().hex}"
+    per.select(slug.alias("slug"), F.when(F.col("r_regionkey") % 2 == 0, one).otherwise(two).alias("document")).write.partitionBy("slug").text(folder)
+    files = spark.read.format("text").option("recursiveFileLookup", True).option("wholetext", True).load(folder)
+    return nested.parsed(files.select(F.input_file_name().alias("path"), F.encode("value", "utf-8").alias("content")), as_json=True).select("slug", "seminar_title", "year", "seq", "id", "title", "keywords")

@@ -62,8 +62,12 @@ def read_articles(spark: SparkSession, folder: str, pattern: str = "*.y*ml", exc
     the executors; JSON files need the standard library only.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path", "content")
-    if exclude:
-        files = files.where(~F.col("path").contains(exclude))
+    return parsed(files.where(~F.col("path").contains(exclude)) if exclude else files)
+
+
+def parsed(files: DataFrame, as_json: bool = False) -> DataFrame:
+    """The articles of files (path, content); all are JSON if so said, else those whose name ends in .json."""
+    spark = files.sparkSession
     names = [f.name for f in spark.createDataFrame([], SCHEMA).schema.fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -72,7 +76,7 @@ def read_articles(spark: SparkSession, folder: str, pattern: str = "*.y*ml", exc
                 slug = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
                 try:
                     text = content.decode("utf-8")
-                    if path.endswith(".json"):
+                    if as_json or path.endswith(".json"):
                         loaded = [json.loads(text)]
                     else:
                         import yaml
