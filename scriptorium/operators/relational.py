@@ -53,11 +53,26 @@ def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def numbered(df: DataFrame, order: list[str], name: str, per: str | None = None) -> DataFrame:
+    """df with 1, 2, ... in order, within ``per`` if given.
+
+    Without it rows are dealt by ranges and sorted in them; a range begins where the rows of those before it end, which
+    is known from one count for each range, so that no task has all rows.
+    """
+    if per:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(per).orderBy(*order)).cast("long"))
+    # The number within a range is what the identifier of a row has in its lower 33 bits.
+    dealt = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_id", 33)))
+    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select("_range", before.alias("_before"))
+    return dealt.join(F.broadcast(starts), "_range").withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_id", "_range", "_before")
+
+
 def positional_join(left: DataFrame, right: DataFrame, left_order: str, right_order: str, per: str | None = None) -> DataFrame:
     """The n-th row of one side with the n-th of the other, leftovers kept (JOIN12). Positions count
-    within ``per``; without it all rows are numbered in one task, so give one for large inputs."""
-    a = left.withColumn("pos", F.row_number().over((Window.partitionBy(per) if per else Window.partitionBy(F.lit(0))).orderBy(left_order)))
-    b = right.withColumn("pos", F.row_number().over((Window.partitionBy(per) if per else Window.partitionBy(F.lit(0))).orderBy(right_order)))
+    within ``per``, or over all rows."""
+    a, b = numbered(left, [left_order], "pos", per), numbered(right, [right_order], "pos", per)
     return a.join(b, [per, "pos"] if per else ["pos"], "full")
 
 
@@ -132,8 +147,7 @@ def entries_from_lines(df: DataFrame, key: str, text: str, new_entry: str, short
 
 def batches(df: DataFrame, per: str | None, order: str, size: int) -> DataFrame:
     """df with batch 1, 2, ... of so many rows each in order (SNK11)."""
-    w = (Window.partitionBy(per) if per else Window.partitionBy(F.lit(0))).orderBy(order)
-    return df.withColumn("batch", F.ceil(F.row_number().over(w) / size).cast("long"))
+    return numbered(df, [order], "batch", per).withColumn("batch", F.ceil(F.col("batch") / size).cast("long"))
 
 
 def merge_targets(edges: DataFrame) -> DataFrame:

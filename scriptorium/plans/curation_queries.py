@@ -12,7 +12,7 @@ from scriptorium.operators import relational as ops
 from scriptorium.plans.catalogue import literal, query, values
 
 # People in customer: letters for digits give names; each nation is a paper.
-_NAME = "upper(substr(translate(cast(c_custkey as {s}), '0123456789', 'abcdefghij'), 1, 1)) || substr(translate(cast(c_custkey as {s}), '0123456789', 'abcdefghij'), 2) || ' Maria'"
+_NAME = "upper(substr(translate(cast(c_custkey as {s}), '0123456789', 'bcdfghjklm'), 1, 1)) || substr(translate(cast(c_custkey as {s}), '0123456789', 'bcdfghjklm'), 2) || ' Maria'"
 _PEOPLE_SQL = f"(SELECT c_nationkey AS k, c_custkey AS id, {_NAME.format(s='varchar')} AS given, upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) AS family, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS no FROM customer)"
 
 
@@ -574,3 +574,139 @@ def _(t, spark):
     per.select(slug.alias("slug"), F.when(F.col("r_regionkey") % 2 == 0, one).otherwise(two).alias("document")).write.partitionBy("slug").text(folder)
     files = spark.read.format("text").option("recursiveFileLookup", True).option("wholetext", True).load(folder)
     return nested.parsed(files.select(F.input_file_name().alias("path"), F.encode("value", "utf-8").alias("content")), as_json=True).select("slug", "seminar_title", "year", "seq", "id", "title", "keywords")
+
+
+# Every third author has an initial only.
+_AUTHORS_SQL = f"(SELECT id, CASE WHEN no % 3 = 0 THEN substr(given, 1, 1) || '. Maria' ELSE given END AS given, family FROM {_PEOPLE_SQL})"
+_PAIRS_SQL = f"""(SELECT a.id, b.id AS id_2, a.given AS g, b.given AS g_2, a.family FROM {_AUTHORS_SQL} a JOIN {_AUTHORS_SQL} b ON a.family = b.family AND a.id < b.id
+WHERE starts_with(lower(b.given), lower(rtrim(string_split(a.given, ' ')[1], '.'))) OR starts_with(lower(a.given), lower(rtrim(string_split(b.given, ' ')[1], '.'))))"""
+_MERGE_SQL = "SELECT removed, min(keep) AS keep FROM (SELECT CASE WHEN length(g) >= length(g_2) THEN id_2 ELSE id END AS removed, CASE WHEN length(g) >= length(g_2) THEN id ELSE id_2 END AS keep FROM {0}) GROUP BY removed"
+_UNSURE = "length(rtrim(split_part(CASE WHEN length(g) <= length(g_2) THEN g ELSE g_2 END, ' ', 1), '.')) = 1"
+
+
+def _author_pairs(t):
+    """Pairs that share surname and first letter."""
+    authors = _people(t).selectExpr("id", "if(no % 3 = 0, concat(left(given, 1), '. Maria'), given) given", "family")
+    return er.pairs_of(authors, F.concat(er.surname_block(F.col("family")), F.lit(" "), F.lower(F.left("given", F.lit(1)))))
+
+
+@query("er3_table_merges", _MERGE_SQL.format(_PAIRS_SQL))
+def _(t, spark):
+    """Compatible whole names among all customers, the longer one kept."""
+    return er.merge_map(_author_pairs(t), er.same_full_name(2))
+
+
+@query("er4_table_merges", _MERGE_SQL.format(f"(SELECT * FROM {_PAIRS_SQL} WHERE NOT ({_UNSURE}))"))
+def _(t, spark):
+    """Sure variants among all customers."""
+    return er.merge_map(_author_pairs(t), er.same_surname_variant("alta"))
+
+
+@query("er5_table_report", f"SELECT id, id_2 FROM {_PAIRS_SQL} WHERE {_UNSURE}")
+def _(t, spark):
+    """Unsure variants among all customers."""
+    return _author_pairs(t).where(er.same_surname_variant("baixa")).select("id", "id_2")
+
+
+@query("er1_table_particles", f"SELECT id, CASE WHEN no % 2 = 0 THEN given || ' de' ELSE given END AS given, family FROM {_PEOPLE_SQL}")
+def _(t, spark):
+    """Particles before family names move to the given ones."""
+    s = er.particles_to_given(F.col("given"), F.expr("if(no % 2 = 0, concat('De ', family), family)"))
+    return _people(t).select("id", s["given"].alias("given"), s["family"].alias("family"))
+
+
+@query("nam10_table_split_names", f"SELECT id, given, CASE WHEN no % 2 = 0 THEN family || ' Neto' ELSE family END AS family FROM {_PEOPLE_SQL}")
+def _(t, spark):
+    """Whole names split, suffixes kept with the surname."""
+    from scriptorium.functions import names
+    from scriptorium.functions.text import words
+
+    s = names.split_name(words(F.expr("concat_ws(' ', given, family, if(no % 2 = 0, 'Neto', null))")))
+    return _people(t).select("id", s["given"].alias("given"), s["family"].alias("family"))
+
+
+@query("nam12_table_family_first", f"SELECT id, given || ' da Silva' AS given, family FROM {_PEOPLE_SQL}")
+def _(t, spark):
+    """``SURNAME, GIVEN`` in title case with small particles."""
+    from scriptorium.functions import names
+
+    s = names.family_first(F.expr("upper(concat(family, ', ', given, ' da Silva'))"))
+    return _people(t).select("id", s["given"].alias("given"), s["family"].alias("family"))
+
+
+@query("nam16_table_clean_authors", f"SELECT id, given || ' ' || family AS name FROM {_PEOPLE_SQL}")
+def _(t, spark):
+    """Names without degrees, line breaks and trailing dots."""
+    from scriptorium.functions.text import clean_author
+
+    return _people(t).select("id", clean_author(F.expr("concat('Prof. Dr. ', given, '\n', family, if(no % 2 = 0, ', MSc.', '.'))")).alias("name"))
+
+
+@query("str28_table_name_lists", f"SELECT k, string_agg(family || ', ' || given, '; ' ORDER BY no) AS names FROM {_PEOPLE_SQL} GROUP BY k")
+def _(t, spark):
+    """The name list of every nation's authors."""
+    from scriptorium.functions.text import name_list
+
+    people = _people(t).groupBy("k").agg(F.array_sort(F.collect_list(F.struct("no", "given", "family"))).alias("p"))
+    return people.select("k", name_list(F.col("p")).alias("names"))
+
+
+@query("str30_table_leading_phrases", "SELECT p_partkey, p_name AS x FROM part")
+def _(t, spark):
+    from scriptorium.functions.text import without_intro
+
+    return t("part").select("p_partkey", without_intro(F.expr("concat('Página ', p_partkey, ' A. ', p_name)"), [r"Página \d+", r"[A-Z]\."]).alias("x"))
+
+
+@query("str16_table_generics", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN ['edifício', 'casa'] ELSE [] END AS g FROM part")
+def _(t, spark):
+    from scriptorium.functions.text import lower_generics
+
+    return t("part").select("p_partkey", lower_generics(F.expr("if(p_size % 2 = 0, concat('O edifício ', upper(p_name), ' e a casa ', p_brand), concat('casa ', p_name))")).alias("g"))
+
+
+@query("str23_table_running_headers", "SELECT p_partkey, [p_name, p_type || ' ' || p_brand] AS r FROM part")
+def _(t, spark):
+    """Running headers alone, before and inside entries."""
+    from scriptorium.functions.text import without_running_header
+
+    return t("part").select("p_partkey", without_running_header(F.expr("array('ATAS 5', concat('ATAS 5 ', p_name), concat(p_type, ' ATAS 5 ', p_brand))"), "ATAS 5").alias("r"))
+
+
+@query("str11_table_titles", "SELECT p_partkey, p_name AS title, CASE WHEN p_size % 2 = 0 THEN p_type || ': ' || p_brand END AS subtitle FROM part")
+def _(t, spark):
+    """Title and subtitle at the first colon."""
+    from scriptorium.functions.text import title_and_subtitle
+
+    s = title_and_subtitle(F.expr("if(p_size % 2 = 0, concat(p_name, ': ', p_type, ': ', p_brand), p_name)"))
+    return t("part").select("p_partkey", s["title"].alias("title"), s["subtitle"].alias("subtitle"))
+
+
+@query("ref4_table_underscores", "SELECT p_partkey, [upper(p_type) || ', A. ' || p_name || '.', '____. ' || p_brand || '.', 'Outro.'] AS refs FROM part")
+def _(t, spark):
+    """References cut before underscores, over lists written from parts."""
+    from scriptorium.functions.references import split_underscores
+
+    return t("part").select("p_partkey", split_underscores(F.expr("array(concat(upper(p_type), ', A. ', p_name, '. ____. ', p_brand, '.'), ' ', 'Outro.')")).alias("refs"))
+
+
+@query("ref6_table_clean_lists", """
+SELECT p_partkey, [upper(p_type) || ', Ana. ' || p_name || '.', upper(p_type) || ', Ana. ' || p_brand || '. https://x.org/' || p_partkey, 'Outro, B. Livro.'] AS refs FROM part
+""")
+def _(t, spark):
+    """The three phases in turn over lists written from parts (WIN2, WIN3)."""
+    from scriptorium.functions.references import clean_references
+
+    raw = F.expr("array(concat(upper(p_type), ', Ana. ', p_name, '. ____. ', p_brand, '.'), concat('https://x.org/', p_partkey), 'Outro, B. Livro.')")
+    return t("part").select("p_partkey", clean_references(raw).alias("refs"))
+
+
+@query("cap2_table_titles", """
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN CASE split_part(p_name, ' ', 1) WHEN 'old' THEN 'Old' WHEN 'cold' THEN 'Cold' ELSE upper(substr(split_part(p_name, ' ', 1), 1, 1)) || substr(split_part(p_name, ' ', 1), 2) END ELSE CASE split_part(p_name, ' ', 1) WHEN 'cold' THEN 'Cold' ELSE split_part(p_name, ' ', 1) END END || ' de ' || upper(p_brand) AS title FROM part
+""")
+def _(t, spark):
+    """Titles and subtitles in capitals, by the dictionary."""
+    from scriptorium.operators.capitalize import capitalized
+
+    raw = F.expr("upper(concat(split(p_name, ' ')[0], ' DE ', p_brand, '.'))")
+    return capitalized(t("part").select("p_partkey", "p_size", raw.alias("raw")), "raw", F.col("p_size") % 2 == 1, _RULES, "title").select("p_partkey", "title")

@@ -364,7 +364,7 @@ def _(t, spark):
 
 @query("dml5_get_or_create", "SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) AS id FROM (SELECT DISTINCT c_mktsegment FROM customer)")
 def _(t, spark):
-    return t("customer").select("c_mktsegment").distinct().withColumn("id", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("c_mktsegment")))
+    return ops.numbered(t("customer").select("c_mktsegment").distinct(), ["c_mktsegment"], "id")
 
 
 _OLD = [(1, "", "x"), (2, "kept", None), (3, None, "")]

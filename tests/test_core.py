@@ -111,3 +111,10 @@ def test_windowed_counts_stream_equals_batch(spark, tmp_path):
     run.stop()
     got = {(r.start, r.event_type): r.n for r in spark.table("counts").collect()}
     assert got == {(r.start, r.event_type): r.n for r in windowed_counts(events).collect()}
+
+
+def test_numbers_over_ranges(spark):
+    df = spark.range(1000).selectExpr("id * 7919 % 1000 as k", "id").repartition(5)
+    got = {r.k: r.n for r in relational.numbered(df, ["k"], "n").collect()}
+    assert got == {k: k + 1 for k in range(1000)}
+    assert relational.numbered(df.where("false"), ["k"], "n").count() == 0
