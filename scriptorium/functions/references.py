@@ -52,29 +52,35 @@ def common_share(c: Column, common: list[str] = COMMON_WORDS) -> Column:
     return F.when(n > 0, F.regexp_count(F.lower(c), F.lit(alone)) / n).otherwise(0.0)
 
 
-def reference_problems(c: Column) -> Column:
-    """Array of the problems of one reference, in the order of PROBLEMS (REF1)."""
-    r = strip(c)
-    n = F.length(r)
+def _problems(x: Column) -> Column:
+    r, n = x["r"], x["n"]
     # What lies before the 50th character is the reference's own beginning.
     later = F.when(n > 50, r.substr(F.lit(51), n)).otherwise("")
-    begins = r.rlike("^(?:" + "|".join(BEGINNINGS) + ")")
-    year, period = r.rlike(r"(?<!\d)[12]\d{3}(?!\d)"), r.contains(".")
-    long = ~begins & (n > 100)
+    long, period = ~x["begins"] & (n > 100), r.contains(".")
     found = F.array_compact(
         F.array(
             F.when(n < 12, "curta"),
             F.when(later.rlike(CONCATENATED), "concatenada_padrao"),
             F.when(later.rlike(CONCATENATED_WIDE), "concatenada_padrao2"),
-            F.when(~r.rlike(r"^[\p{Lu}\p{Nd}]") & ~begins & (n < 40), "inicio_minuscula"),
-            F.when(long & ~year & ~period, "sem_ano_ponto"),
-            F.when(long & ~year & period & (n > 150) & (common_share(r) > 0.40), "texto_corrido"),
+            F.when((n < 40) & ~x["begins"] & ~r.rlike(r"^[\p{Lu}\p{Nd}]"), "inicio_minuscula"),
+            F.when(long & ~x["year"] & ~period, "sem_ano_ponto"),
+            F.when(long & (n > 150) & ~x["year"] & period & (common_share(r) > 0.40), "texto_corrido"),
             F.when(r.rlike("|".join(f"(?:{p})" for p in NOT_REFERENCES)), "nao_referencia"),
         )
     )
     return F.when(n == 0, F.array(F.lit("vazia"))).otherwise(found)
 
 
+def reference_problems(c: Column) -> Column:
+    """Array of the problems of one reference, in the order of PROBLEMS (REF1).
+
+    What several tests ask for is bound once, in arrays of one element: as plain expressions every test would strip and match anew.
+    """
+    begins, year = "^(?:" + "|".join(BEGINNINGS) + ")", r"(?<!\d)[12]\d{3}(?!\d)"
+    facts = F.transform(F.array(strip(c)), lambda r: F.struct(r.alias("r"), F.length(r).alias("n"), r.rlike(begins).alias("begins"), r.rlike(year).alias("year")))
+    return F.get(F.transform(facts, _problems), F.lit(0))
+
+
 _MARK = "\u0001"
 
 

@@ -75,13 +75,13 @@ def _(t, spark):
 
 
 @query("set1_shared_neighbours", """
-WITH e AS (SELECT DISTINCT l_orderkey AS g, l_suppkey AS m FROM lineitem),
+WITH e AS (SELECT DISTINCT l_orderkey AS g, l_partkey AS m FROM lineitem),
 n AS (SELECT DISTINCT x.m AS a, y.m AS b FROM e x JOIN e y ON x.g = y.g AND x.m <> y.m),
 p AS (SELECT a, b FROM n WHERE a < b)
 SELECT p.a, p.b, count(y.b) AS shared FROM p LEFT JOIN n x ON x.a = p.a LEFT JOIN n y ON y.a = p.b AND y.b = x.b GROUP BY p.a, p.b
 """)
 def _(t, spark):
-    edges = t("lineitem").selectExpr("l_orderkey g", "l_suppkey m")
+    edges = t("lineitem").selectExpr("l_orderkey g", "l_partkey m")
     pairs = ops.co_occurring(edges, "g", "m").where("a < b")
     return ops.shared_neighbours(edges, "g", "m", pairs)
 
