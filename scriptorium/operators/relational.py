@@ -31,9 +31,10 @@ def co_occurring(edges: DataFrame, group: str, member: str) -> DataFrame:
     return a.join(b, group).where("a <> b").select("a", "b").distinct()
 
 
-def shared_neighbours(edges: DataFrame, group: str, member: str, pairs: DataFrame) -> DataFrame:
-    """pairs (a, b) with the number of members that appear with both (SET1)."""
-    near = co_occurring(edges, group, member)
+def shared_neighbours(edges: DataFrame, group: str, member: str, pairs: DataFrame | None = None) -> DataFrame:
+    """pairs (a, b), or all that appear together, a < b, with the number of members that appear with both (SET1)."""
+    near = stored(co_occurring(edges, group, member))
+    pairs = near.where("a < b") if pairs is None else pairs
     left, right = near.toDF("a", "n"), near.toDF("b", "n")
     counts = pairs.join(left, "a").join(right, ["b", "n"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
     return pairs.join(counts, ["a", "b"], "left").na.fill(0, ["shared"])

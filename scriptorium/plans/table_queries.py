@@ -82,8 +82,7 @@ SELECT p.a, p.b, count(y.b) AS shared FROM p LEFT JOIN n x ON x.a = p.a LEFT JOI
 """)
 def _(t, spark):
     edges = t("lineitem").selectExpr("l_orderkey g", "l_partkey m")
-    pairs = ops.co_occurring(edges, "g", "m").where("a < b")
-    return ops.shared_neighbours(edges, "g", "m", pairs)
+    return ops.shared_neighbours(edges, "g", "m")
 
 
 @query("join12_positional", """
