@@ -96,3 +96,24 @@ def yaml_mapping(fields: dict[str, Column]) -> Column:
     """Fields in the order given, null ones left out, as the lines of a YAML mapping (SNK2, SNK15)."""
     lines = [F.when(c.isNotNull(), F.concat(F.lit(f"{name}: "), yaml_scalar(c))) for name, c in fields.items()]
     return F.array_join(F.array_compact(F.array(*lines)), "\n")
+
+
+def yaml_in_order(fields: dict[str, Column], order: list[str]) -> Column:
+    """A YAML mapping with the fields of the order first, then all others as given (SNK15)."""
+    return yaml_mapping({name: fields[name] for name in [*[x for x in order if x in fields], *[x for x in fields if x not in order]]})
+
+
+def joined_records(text: Column, first: str = "slug", body: str = "ficha") -> Column:
+    """Structs (first, body) of records that stand in one text without separators (SRC4).
+
+    A line that begins with the first key opens a record; lines of its body, which may begin with a folding mark, are
+    trimmed and joined by spaces. A record without a body has null there.
+    """
+    records = F.filter(F.split(text, rf"(?:^|\n)(?={first}:)"), lambda r: r.startswith(first + ":"))
+
+    def record(r: Column) -> Column:
+        key = F.trim(F.regexp_extract(r, rf"^{first}:([^\n]*)", 1))
+        rest = F.regexp_extract(r, rf"(?s)\n{body}:[ ]*(?:>-?)?(.*)$", 1)
+        return F.struct(key.alias(first), F.when(r.contains(f"\n{body}:"), collapse(rest)).alias(body))
+
+    return F.transform(records, record)

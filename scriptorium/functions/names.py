@@ -141,3 +141,15 @@ def family_first(c: Column) -> Column:
     """``SURNAME, Given`` as struct (given, family) in title case (NAM12)."""
     parts = F.split(c, ",", 2)
     return F.struct(title_case(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))).alias("given"), title_case(F.get(parts, F.lit(0))).alias("family"))
+
+
+def is_initial(c: Column) -> Column:
+    """Whether a word is capitals with or without dots only, such as ``M.`` or ``A.B.`` (NAM17)."""
+    return c.rlike(r"^(?:[A-Z]\.?)+$")
+
+
+def name_words(*fields: Column, skipped: list[str] = PARTICLES + SUFFIXES) -> Column:
+    """Distinct structs (word, canonical) of the words of names, without initials, single letters and the words to skip (NAM17)."""
+    every = F.flatten(F.array(*[F.coalesce(words(f), F.array().cast("array<string>")) for f in fields]))
+    plain = F.filter(F.transform(every, lambda w: F.regexp_replace(w, r"[^\p{L}\p{N}_]", "")), lambda w: (F.length(w) >= 2) & ~F.lower(w).isin(skipped) & ~is_initial(w))
+    return F.array_distinct(F.transform(plain, lambda w: F.struct(F.lower(w).alias("word"), F.concat(F.upper(F.left(w, F.lit(1))), w.substr(F.lit(2), F.length(w))).alias("canonical"))))

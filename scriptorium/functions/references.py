@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import strip
+from scriptorium.functions.text import collapse, strip
 
 _CAP = "[A-ZÁÀÃÂÉÊÍÓÔÕÚÜÇ]"
 
@@ -144,3 +144,35 @@ def without_non_references(refs: Column, shortest: int = 15) -> Column:
     """Without captions, bare URLs, bullets, punctuation, and short entries that have no year (REF13)."""
     drop = "|".join(f"(?:{p})" for p in REMOVED)
     return F.filter(refs, lambda r: ~strip(r).rlike(drop) & ~((F.length(strip(r)) < shortest) & ~r.rlike(r"\d{4}")))
+
+
+#: How a line of a list begins a new entry.
+ENTRY_STARTS = [r"\d+[.)]\s+", r"\[\d+\]\s+", r"_{3,}\.?\s", r"[A-ZÁÉÍÓÚÀÂÃÊÔÇÜ]{2,}[\s,.]"]
+#: The same where only surnames in capitals and rules count.
+SURNAME_STARTS = [r"[A-ZÀ-Ü][A-ZÀ-Ü\s]{2,},", r"_{3,}", r"-{3,}"]
+
+
+def begins_with(line: Column, starts: list[str]) -> Column:
+    """Whether a line begins in one of the ways (REF16)."""
+    return strip(line).rlike("^(?:" + "|".join(starts) + ")")
+
+
+def entries(text: Column, starts: list[str]) -> Column:
+    """The entries of a list whose lines are broken: a line that begins so opens one, others go on with it; blank lines
+    and the control character U+0001 count as white space (REF18)."""
+    lines = F.filter(F.transform(F.split(F.translate(text, _MARK, " "), "\n"), strip), lambda x: x != "")
+    marked = F.transform(lines, lambda x, i: F.when((i > 0) & begins_with(x, starts), F.concat(F.lit(_MARK), x)).otherwise(x))
+    return F.filter(F.split(F.array_join(marked, " "), " " + _MARK), lambda x: x != "")
+
+
+def list_entries(text: Column, few: int = 2, long: int = 300) -> Column:
+    """Entries by ENTRY_STARTS; where these find few in a long text, by SURNAME_STARTS (REF18)."""
+    found = entries(text, ENTRY_STARTS)
+    return F.when((F.size(found) <= few) & (F.length(text) > long), entries(text, SURNAME_STARTS)).otherwise(found)
+
+
+def without_short_entries(refs: Column, shortest: int = 15, bare_url: int = 50) -> Column:
+    """Single-spaced entries without page numbers at their ends; short ones, short bare URLs and those without letters go (REF17)."""
+    plain = F.transform(refs, lambda r: F.regexp_replace(collapse(r), r"\s+\d{1,3}$", ""))
+    url = lambda r: r.startswith("http") & ~r.contains(" ") & (F.length(r) < bare_url)
+    return F.filter(plain, lambda r: (F.length(r) >= shortest) & ~url(r) & ~r.rlike(r"^[\d\s./-]+$"))

@@ -20,6 +20,20 @@ def _accent_table() -> tuple[str, str]:
 
 
 _ACCENTED, _PLAIN = _accent_table()
+
+
+def _canonical_table() -> tuple[str, str]:
+    """Characters whose canonical decomposition is one character and marks, in all scripts but Hangul, from the Unicode data."""
+    source, target = [], []
+    for code in [*range(0xC0, 0xAC00), *range(0xF900, 0xFFFF)]:
+        parts = [c for c in unicodedata.normalize("NFD", chr(code)) if unicodedata.category(c) != "Mn"]
+        if len(parts) == 1 and parts[0] != chr(code):
+            source.append(chr(code))
+            target.append(parts[0])
+    return "".join(source), "".join(target)
+
+
+_COMPOSED, _BASES = _canonical_table()
 _SPACE = r"[\p{Z}\s]+"
 
 
@@ -28,6 +42,11 @@ def strip_accents(c: Column) -> Column:
     return F.translate(c, _ACCENTED, _PLAIN)
 
 
+def canonical_fold(c: Column) -> Column:
+    """Lower case without marks in any script, nothing at the ends; what only looks like a letter, such as an ordinal sign, stays (STR2)."""
+    return strip(F.lower(F.regexp_replace(F.translate(c, _COMPOSED, _BASES), r"\p{Mn}+", "")))
+
+
 def collapse(c: Column) -> Column:
     """Runs of Unicode white space as one space, none at the ends (STR5)."""
     return F.trim(F.regexp_replace(c, _SPACE, " "))

@@ -15,6 +15,8 @@ SYNONYMS = {
     "keywords": "palavras_chave", "keywords_en": "palavras_chave_en", "keywords_es": "palavras_chave_es", "references": "referencias",
     "file": "arquivo_pdf", "pages": "paginas", "pages_count": "paginas_total", "authors": "autores",
 }
+#: Articles that a task hands on at a time.
+ROWS = 2000
 _TEXT = ["title", "subtitle", "section", "locale", "pages", "file", "abstract", "abstract_en", "abstract_es", "doi"]
 _LISTS = ["keywords", "keywords_en", "keywords_es", "references"]
 _AUTHOR = ["givenname", "familyname", "email", "orcid", "affiliation", "bio", "country"]
@@ -70,21 +72,50 @@ def parsed(files: DataFrame, as_json: bool = False) -> DataFrame:
     spark = files.sparkSession
     names = [f.name for f in spark.createDataFrame([], SCHEMA).schema.fields]
 
+    def read(path: str, content: bytes) -> list[dict]:
+        slug = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+        try:
+            text = content.decode("utf-8")
+            if as_json or path.endswith(".json"):
+                loaded = [json.loads(text)]
+            else:
+                import yaml
+
+                loaded = list(yaml.safe_load_all(text))
+            return [a for data in loaded if isinstance(data, dict) for a in articles(data, slug)]
+        except Exception as problem:  # noqa: BLE001  a bad file must not end the job
+            return [{"slug": slug, "problem": f"{type(problem).__name__}: {problem}"[:500]}]
+
+    def frame(rows: list[dict]) -> pd.DataFrame:
+        return pd.DataFrame([{n: row.get(n) for n in names} for row in rows], columns=names).astype({"year": "Int32", "seq": "Int32"})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows: list[dict] = []
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                slug = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
-                try:
-                    text = content.decode("utf-8")
-                    if as_json or path.endswith(".json"):
-                        loaded = [json.loads(text)]
-                    else:
-                        import yaml
-
-                        loaded = list(yaml.safe_load_all(text))
-                    rows = [a for data in loaded if isinstance(data, dict) for a in articles(data, slug)]
-                except Exception as problem:  # noqa: BLE001  a bad file must not end the job
-                    rows = [{"slug": slug, "problem": f"{type(problem).__name__}: {problem}"[:500]}]
-                yield pd.DataFrame([{n: row.get(n) for n in names} for row in rows], columns=names).astype({"year": "Int32", "seq": "Int32"})
+                rows += read(path, content)
+                if len(rows) >= ROWS:
+                    yield frame(rows)
+                    rows = []
+        if rows:
+            yield frame(rows)
 
     return files.mapInPandas(run, SCHEMA)
+
+
+def canonical(df: DataFrame, default_locale: str = "pt-BR") -> DataFrame:
+    """Articles under canonical names, whichever of the synonyms their columns have (PRJ1, PRJ2).
+
+    Only null is skipped, so an empty text stays; lists become JSON text; empty pages become null.
+    """
+    kinds = dict(df.dtypes)
+    text = lambda c: F.to_json(c) if kinds[c].startswith("array") else F.col(c).cast("string")
+
+    def field(name: str):
+        found = [text(c) for c in (name, SYNONYMS.get(name)) if c in kinds]
+        return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+    fields = {c: field(c) for c in ["id", *_TEXT, *_LISTS]}
+    fields["locale"] = F.coalesce(fields["locale"], F.lit(default_locale))
+    fields["pages"] = F.nullif(fields["pages"], F.lit(""))
+    return df.select(*[c.alias(n) for n, c in fields.items()])
