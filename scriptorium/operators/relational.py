@@ -54,20 +54,25 @@ def latest_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
-def numbered(df: DataFrame, order: list[str], name: str, per: str | None = None) -> DataFrame:
+def numbered(df: DataFrame, order: list[str], name: str, per: str | None = None, split: bool = False) -> DataFrame:
     """df with 1, 2, ... in order, within ``per`` if given.
 
-    Without it rows are dealt by ranges and sorted in them; a range begins where the rows of those before it end, which
-    is known from one count for each range, so that no task has all rows.
+    Without ``per``, and with ``split``, which is for keys that may hold a large share of all rows, rows are dealt by ranges and
+    sorted in them; a range, or a key's part of it, begins where the rows of those before it end, which is known from one count
+    for each, so that no task has all rows or all of a key. A null key counts as one.
     """
-    if per:
+    if per and not split:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(per).orderBy(*order)).cast("long"))
+    keys = [per, *order] if per else order
     # The number within a range is what the identifier of a row has in its lower 33 bits.
-    dealt = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_id", 33)))
-    counts = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("_range", before.alias("_before"))
-    return dealt.join(F.broadcast(starts), "_range").withColumn(name, F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_id", "_range", "_before")
+    dealt = stored(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_id", 33)))
+    parts = dealt.groupBy(F.col("_range").alias("_part"), *([F.col(per).alias("_per")] if per else [])).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    earlier = (Window.partitionBy("_per") if per else Window).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).drop("_n", "_first")
+    same = F.col("_range") == F.col("_part")
+    # Without a key there is one row for each range, which is few; with one there may be as many as keys.
+    joined = dealt.join(starts, same & F.col(per).eqNullSafe(F.col("_per"))) if per else dealt.join(F.broadcast(starts), same)
+    return joined.withColumn(name, F.col("_id") + F.col("_shift")).drop("_id", "_range", "_part", "_per", "_shift")
 
 
 def positional_join(left: DataFrame, right: DataFrame, left_order: str, right_order: str, per: str | None = None) -> DataFrame:

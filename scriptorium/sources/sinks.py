@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.text import xml_escape
+from scriptorium.operators.relational import numbered
 
 
 def nested_documents(articles: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def report_lines(counts: DataFrame, name: str, n: str) -> DataFrame:
 def edition_xml(articles: DataFrame, edition: str, order: str, size: int) -> DataFrame:
     """(edition, batch, document): the articles of an edition in order, so many in a document, authors nested (SNK4).
 
-    articles has title and authors, an array of structs (given, family); the first author is the contact.
+    An edition of any size is numbered and written by many tasks, a document by one. articles has title and authors, an array of structs (given, family); the first author is the contact.
     """
     element = lambda tag, c: F.concat(F.lit(f"<{tag}>"), xml_escape(F.coalesce(c, F.lit(""))), F.lit(f"</{tag}>"))
 
@@ -51,7 +52,6 @@ def edition_xml(articles: DataFrame, edition: str, order: str, size: int) -> Dat
 
     people = F.array_join(F.transform(F.coalesce("authors", F.expr("array()")), author), "")
     one = F.concat(F.lit('<article no="'), F.col("_no").cast("string"), F.lit('">'), element("title", F.col("title")), people, F.lit("</article>"))
-    numbered = articles.withColumn("_no", F.row_number().over(Window.partitionBy(edition).orderBy(order)))
-    lots = numbered.select(edition, F.expr(f"cast((_no - 1) div {int(size)} as bigint)").alias("batch"), "_no", one.alias("_one")).groupBy(edition, "batch")
+    lots = numbered(articles, [order], "_no", edition, split=True).select(edition, F.expr(f"cast((_no - 1) div {int(size)} as bigint)").alias("batch"), "_no", one.alias("_one")).groupBy(edition, "batch")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_no", "_one"))), lambda x: x["_one"]), "\n")
     return lots.agg(F.concat(F.lit("<articles>\n"), body, F.lit("\n</articles>")).alias("document"))

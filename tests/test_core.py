@@ -118,3 +118,12 @@ def test_numbers_over_ranges(spark):
     got = {r.k: r.n for r in relational.numbered(df, ["k"], "n").collect()}
     assert got == {k: k + 1 for k in range(1000)}
     assert relational.numbered(df.where("false"), ["k"], "n").count() == 0
+
+
+def test_numbers_within_a_hot_key_and_a_null_one(spark):
+    df = spark.range(1500).selectExpr("case when id % 3 = 0 then 'hot' when id % 50 <> 1 then 'k' || id % 7 end as key", "id * 7919 % 1500 as v", "id").repartition(5)
+    rows = lambda x: sorted((str(r.key), r.v, r.n) for r in x.collect())
+    split = relational.numbered(df, ["v"], "n", "key", split=True)
+    assert split.columns == ["key", "v", "id", "n"]
+    assert rows(split) == rows(relational.numbered(df, ["v"], "n", "key"))
+    assert relational.numbered(df.where("false"), ["v"], "n", "key", split=True).count() == 0
