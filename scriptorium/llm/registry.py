@@ -1,6 +1,6 @@
 """Queries and SQL of this subpackage, by name."""
 
-from scriptorium.llm import chat_format, embedding_dedup, jaccard_join, language_id, line_dedup, piece_sampling, quality, secret_scan, source_mixing, syncmers
+from scriptorium.llm import chat_format, conversation_repair, embedding_dedup, jaccard_join, language_id, line_dedup, piece_sampling, quality, secret_scan, source_mixing, syncmers
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.query,
@@ -13,9 +13,11 @@ QUERIES = {
     "op8_syncmer_fingerprints": syncmers.query,
     "op9_secret_scan": secret_scan.query,
     "op10_language_id": language_id.query,
+    "op11_conversation_repair": conversation_repair.query,
 }
 
 ORACLES = {
     "op5_chat_format": chat_format.ORACLE,
     "op7_line_dedup": line_dedup.ORACLE,
+    "op11_conversation_repair": conversation_repair.ORACLE,
 }
