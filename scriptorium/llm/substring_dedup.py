@@ -190,10 +190,16 @@ def _shards(words: int | None) -> int:
     return max(1, -(-(words or 0) // SHARD_WORDS))
 
 
+def sharing_grams(found: DataFrame) -> DataFrame:
+    """The segments (_SEGMENT) whose gram places another segment too; only those can hold a window that occurs again."""
+    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    return found.join(grams, "gram", "left_semi")
+
+
 def repeated_segments(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """_REPEATED of all segments found in docs (doc, check, text)."""
+    """_REPEATED of the segments found in docs (doc, check, text) that share their grams."""
     different = stored(found.groupBy("gram", "content").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("doc", "check", "pos", "windows")).alias("place")))
-    grams = different.groupBy("gram").agg(F.sum("times").alias("all"), F.count(F.lit(1)).alias("kinds")).where("all > 1")
+    grams = different.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"))
     chosen = stored(different.join(grams, "gram").select("gram", "content", "times", "place.*", (F.col("kinds") > CROWDED).alias("crowded")))
     crowded = not chosen.where("crowded").isEmpty()
     said = spelled(docs, chosen)
@@ -266,7 +272,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = keyed.select("doc_id", *_text_key(F.col("text")), "text")
-    found = stored(segments(keyed))
+    found = stored(sharing_grams(stored(segments(keyed))))
     hits = stored(repeated_segments(keyed, found))
     spans = F.arrays_zip(F.transform("starts", lambda x: x + F.col("pos")).alias("start"), F.transform("ends", lambda x: x + F.col("pos")).alias("end"))
     places = found.join(hits, ["gram", "content"]).select("doc", "check", F.inline(spans)).toDF("doc", "check", "start", "end").distinct()
