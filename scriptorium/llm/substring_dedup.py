@@ -192,7 +192,8 @@ def _shards(words: int | None) -> int:
 
 def sharing_grams(found: DataFrame) -> DataFrame:
     """The segments (_SEGMENT) whose gram places another segment too; only those can hold a window that occurs again."""
-    grams = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # Stored, so that both sides of the join are shuffles of their own and a hot gram's rows can be split.
+    grams = stored(found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"))
     return found.join(grams, "gram", "left_semi")
 
 
