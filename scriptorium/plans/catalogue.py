@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Small worked examples, (function, SQL) by name: for tests, not queries, as they read no table.
+CASES: dict[str, tuple[Callable[[SparkSession], DataFrame], str]] = {}
 
 
 def query(name: str, oracle: str | None = None):
@@ -26,6 +28,16 @@ def query(name: str, oracle: str | None = None):
     return keep
 
 
+def case(name: str, oracle: str):
+    """Keep a function of (table reader, spark) over rows of its own as a worked example, with SQL for the same result."""
+
+    def keep(f):
+        CASES[name] = (lambda spark: f(None, spark), oracle)
+        return f
+
+    return keep
+
+
 def literal(value) -> str:
     if value is None:
         return "NULL"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.operators import entities as er
 from scriptorium.operators import relational as ops
-from scriptorium.plans.catalogue import query, values
+from scriptorium.plans.catalogue import case, query, values
 
 _AUTHORS = [
     (1, "Maria Beatriz", "Cappello"), (2, "M. B.", "Cappello"), (3, "Maria Beatriz", "Capello"), (4, "Ana", "Lima"), (5, "Ana Paula", "Lima"), (6, "Ana Paula Souza", "Lima"),
@@ -64,7 +64,7 @@ def _(t, spark):
 _EXTERNAL = [(1, "Ana Paula", "Lima", "Ana", "de Lima", True), (2, "A.", "Lima", "Ana", "Lima", False), (3, "Rui", "Sá", "Eva", "Sá", False)]
 
 
-@query("nam14_external_names", "SELECT * FROM " + values([(r[0], r[5]) for r in _EXTERNAL], "id, ok"))
+@case("nam14_external_names", "SELECT * FROM " + values([(r[0], r[5]) for r in _EXTERNAL], "id, ok"))
 def _(t, spark):
     df = spark.createDataFrame([r[:5] for r in _EXTERNAL], "id int, g string, f string, og string, of string")
     return df.select("id", er.external_compatible(*[F.col(c) for c in ("g", "f", "og", "of")]).alias("ok"))
@@ -83,7 +83,7 @@ _TITLES = [(1, "Casa moderna em Natal"), (2, "Escola parque no Recife"), (3, "Ou
 _PDFS = [(10, "E01-SILVA. Casa moderna.pdf"), (11, "E02-LIMA. Escola parque.pdf"), (12, "E03-LIMA. Escola.pdf")]
 
 
-@query("join11_fuzzy_best_match", "SELECT * FROM " + values([(1, 10, 20), (2, 11, 20)], "id, file, score"))
+@case("join11_fuzzy_best_match", "SELECT * FROM " + values([(1, 10, 20), (2, 11, 20)], "id, file, score"))
 def _(t, spark):
     """Ten points for every word in common, from 20 on; each file goes to its best title and each title to its best file."""
     word = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.lower(c), "[^\\p{L}]+"), lambda w: F.length(w) > 3)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import text as tx
 from scriptorium.operators import capitalize, cite
 from scriptorium.operators import relational as ops
-from scriptorium.plans.catalogue import query, values
+from scriptorium.plans.catalogue import case, query, values
 
 _TEXTS = [
     (1, "Rino Levi - obra", "Natal-rn"), (2, "1930 - 1960", "cria-se"), (3, "casas 1930-1945", "Recife (pe) e Olinda/pe."), (4, "  a  b\t c ", "no estado de Sergipe"),
@@ -163,7 +163,7 @@ _AFF = [(1, "UFPE"), (2, "Universidade Federal de Pernambuco - Recife"), (3, "de
 _AFF_DICT = [("ufpe", "UFPE", 1), ("universidade federal de pernambuco", "UFPE", 2), ("universidade", "Outra", 3)]
 
 
-@query("join15_dictionary_lookup", f"""
+@case("join15_dictionary_lookup", f"""
 WITH d AS (SELECT * FROM {values(_AFF_DICT, 'k, v, seq')}), a AS (SELECT * FROM {values(_AFF, 'id, x')})
 SELECT id, coalesce((SELECT v FROM d WHERE k = lower(x)), (SELECT arg_min(v, seq) FROM d WHERE contains(lower(x), k) OR contains(k, lower(x)))) AS v FROM a
 """)
@@ -331,7 +331,7 @@ _MINE = [(1, "Ana Lima"), (2, "Rui"), (3, "Eva")]
 _THEIRS = [(1, "Ana"), (2, "Rui Costa"), (3, "Rui Sá")]
 
 
-@query("join19_either_contains", "SELECT * FROM " + values([(1, 1), (2, 2)], "id, other"))
+@case("join19_either_contains", "SELECT * FROM " + values([(1, 1), (2, 2)], "id, other"))
 def _(t, spark):
     """Authors with the first extracted one that contains them or is contained, met on a shared word."""
     word = lambda c: F.explode(F.array_distinct(tx.words(F.lower(c))))
