@@ -191,7 +191,7 @@ def _(t, spark):
 _BOOKS = [(1, "Casa", "Silva", "Ana", 1999, "A & B"), (2, "Rua", "Lima", "Rui", 2001, None)]
 
 
-@query("snk7_bibtex", f"""
+@case("snk7_bibtex", f"""
 SELECT id, '@article{{a' || id || ',' || chr(10) || '  title = {{' || title || '}},' || chr(10) || '  author = {{' || fam || ', ' || giv || '}},' || chr(10) || '  year = {{' || yr || '}}'
 || CASE WHEN pub IS NOT NULL THEN ',' || chr(10) || '  publisher = {{' || pub || '}}' ELSE '' END || chr(10) || '}}' AS bib FROM {values(_BOOKS, 'id, title, fam, giv, yr, pub')}
 """)
@@ -200,7 +200,7 @@ def _(t, spark):
     return df.select("id", cite.bibtex("a", F.col("id"), {"title": F.col("title"), "author": F.concat_ws(", ", "fam", "giv"), "year": F.col("yr"), "publisher": F.col("pub")}).alias("bib"))
 
 
-@query("snk7_ris", f"""
+@case("snk7_ris", f"""
 SELECT id, 'TY  - JOUR' || chr(10) || 'TI  - ' || title || chr(10) || 'AU  - ' || fam || ', ' || giv || chr(10) || 'PY  - ' || yr || CASE WHEN pub IS NOT NULL THEN chr(10) || 'PB  - ' || pub ELSE '' END || chr(10) || 'ER  - ' AS ris
 FROM {values(_BOOKS, 'id, title, fam, giv, yr, pub')}
 """)
@@ -209,7 +209,7 @@ def _(t, spark):
     return df.select("id", cite.ris({"TI": F.col("title"), "AU": F.concat_ws(", ", "fam", "giv"), "PY": F.col("yr"), "PB": F.col("pub")}).alias("ris"))
 
 
-@query("snk3_xml_elements", f"""
+@case("snk3_xml_elements", f"""
 SELECT id, '<article id="' || id || '"><title>' || replace(title, '&', '&amp;') || '</title><year>' || yr || '</year>' || CASE WHEN pub IS NOT NULL THEN '<publisher>' || replace(pub, '&', '&amp;') || '</publisher>' ELSE '' END || '</article>' AS xml
 FROM {values(_BOOKS, 'id, title, fam, giv, yr, pub')}
 """)
