@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from scriptorium.functions.text import collapse, strip_accents, words
 
@@ -30,42 +28,59 @@ def abbreviates(short: Column, long: Column, delete_dots: bool = False) -> Colum
     return (s == lo) | lo.startswith(s) | ((F.size(sw) <= F.size(lw)) & each)
 
 
-def jaro_winkler(a: str, b: str) -> float:
-    """Jaro similarity raised by 0.1 for each of up to four equal first letters."""
-    if a == b:
-        return 1.0
-    if not a or not b:
-        return 0.0
-    reach = max(0, max(len(a), len(b)) // 2 - 1)
-    free = [True] * len(b)
-    left = []
-    for i, ch in enumerate(a):
-        j = next((j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if free[j] and b[j] == ch), None)
-        if j is not None:
-            free[j] = False
-            left.append(ch)
-    if not left:
-        return 0.0
-    right = [ch for ch, f in zip(b, free) if not f]
-    m, half = len(left), sum(x != y for x, y in zip(left, right)) / 2
-    jaro = (m / len(a) + m / len(b) + (m - half) / m) / 3
-    same = next((k for k, (x, y) in enumerate(zip(a[:4], b[:4])) if x != y), min(4, len(a), len(b)))
-    return jaro + same * 0.1 * (1 - jaro)
-
-
-@F.pandas_udf(T.DoubleType())
-def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else jaro_winkler(x, y) for x, y in zip(a, b)])
+def _common_prefix(a: Column, b: Column) -> Column:
+    """How many of up to four first letters agree."""
+    return F.aggregate(F.array(*[F.lit(k) for k in range(1, 5)]), F.lit(0), lambda n, k: F.when((n == k - 1) & (F.length(a) >= k) & (F.left(a, k) == F.left(b, k)), k).otherwise(n))
+
+
+def _raised(jaro: Column, a: Column, b: Column) -> Column:
+    return jaro + _common_prefix(a, b) * 0.1 * (1 - jaro)
+
+
+def jaro_winkler(a: Column, b: Column) -> Column:
+    """Jaro similarity raised by 0.1 for each of up to four equal first letters, without Python: a fold over the letters of a,
+    each of which takes the first free equal letter of b within reach. Taken letters of b become U+0000."""
+    la, lb = F.length(a), F.length(b)
+    reach = F.greatest(F.floor(F.greatest(la, lb) / 2) - 1, F.lit(0)).cast("int")
+
+    def step(s: Column, i: Column) -> Column:
+        letter, start = F.substr(a, i, F.lit(1)), F.greatest(i - reach, F.lit(1))
+        found = F.position(letter, F.substr(s["rest"], start, i + reach - start + 1))
+        return F.when(found == 0, s).otherwise(F.struct(F.overlay(s["rest"], F.lit("\0"), start + found - 1, F.lit(1)).alias("rest"), F.concat(s["left"], letter).alias("left")))
+
+    done = F.aggregate(F.sequence(F.lit(1), la), F.struct(b.alias("rest"), F.lit("").alias("left")), step)
+    order = lambda x: F.filter(F.transform(F.sequence(F.lit(1), lb), lambda i: F.when(F.substr(x, i, F.lit(1)) == "\0", F.substr(b, i, F.lit(1)))), lambda y: y.isNotNull())
+
+    def score(s: Column) -> Column:
+        m, right = F.length(s["left"]), order(s["rest"])
+        half = F.size(F.filter(F.sequence(F.lit(1), m), lambda i: F.substr(s["left"], i, F.lit(1)) != F.get(right, i - 1))) / 2
+        return F.when(m == 0, 0.0).otherwise(_raised((m / la + m / lb + (m - half) / m) / 3, a, b))
+
+    scored = F.get(F.transform(F.array(done), score), F.lit(0))
+    return F.when(a == b, 1.0).when((la == 0) | (lb == 0), 0.0).otherwise(scored)
+
+
+def jaro_winkler_bound(a: Column, b: Column) -> Column:
+    """What the similarity is at most, from lengths, first letters and letters that the other name lacks: cheap, and never too low."""
+    la, lb = F.length(a), F.length(b)
+    common = F.least(F.length(a) - F.length(F.call_function("translate", a, b, F.lit(""))), F.length(b) - F.length(F.call_function("translate", b, a, F.lit(""))))
+    return F.when(common == 0, 0.0).otherwise(_raised((common / la + common / lb + 1) / 3, a, b))
 
 
 def surname_score(a: Column, b: Column) -> Column:
     """1 for equal normal forms, else their Jaro-Winkler similarity (NAM2, NAM3). Block before use."""
-    return F.when(normal(a) == normal(b), 1.0).otherwise(_jaro_winkler(normal(a), normal(b)))
+    return jaro_winkler(normal(a), normal(b))
+
+
+def similar(a: Column, b: Column) -> Column:
+    """Whether two surnames count as spellings of one; the score is taken only where its bound reaches SIMILAR (NAM3)."""
+    x, y = normal(a), normal(b)
+    return F.when(x == y, True).when(jaro_winkler_bound(x, y) < SIMILAR, False).otherwise(jaro_winkler(x, y) >= SIMILAR)
 
 
 def is_variant(given_a: Column, family_a: Column, given_b: Column, family_b: Column) -> Column:
     """Similar surnames and one given name abbreviates the other (NAM4)."""
-    return (surname_score(family_a, family_b) >= SIMILAR) & (abbreviates(given_a, given_b) | abbreviates(given_b, given_a))
+    return similar(family_a, family_b) & (abbreviates(given_a, given_b) | abbreviates(given_b, given_a))
 
 
 def longer(a: Column, b: Column) -> Column:

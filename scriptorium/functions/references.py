@@ -176,3 +176,28 @@ def without_short_entries(refs: Column, shortest: int = 15, bare_url: int = 50)
     plain = F.transform(refs, lambda r: F.regexp_replace(collapse(r), r"\s+\d{1,3}$", ""))
     url = lambda r: r.startswith("http") & ~r.contains(" ") & (F.length(r) < bare_url)
     return F.filter(plain, lambda r: (F.length(r) >= shortest) & ~url(r) & ~r.rlike(r"^[\d\s./-]+$"))
+
+
+def checked_list(c: Column, most: int = 100) -> Column:
+    """Structs (pos, ref, problems) of a JSON list of references (REF2): ``json_invalido`` for what is no JSON or null, ``formato_invalido`` for JSON
+    that is no list, ``tipo_invalido`` for an item that is no string, with up to ``most`` characters of it as ref; strings have their problems, if any.
+
+    The text is parsed once into a VARIANT, which says of every value what it is.
+    """
+    kind = "array<struct<pos:int,ref:string,problems:array<string>>>"
+    value = F.try_parse_json(c)
+    shape = F.schema_of_variant(value)
+    error = lambda pos, x, name: F.struct(pos.alias("pos"), F.left(F.coalesce(x, F.lit("")), F.lit(most)).alias("ref"), F.array(F.lit(name)).alias("problems"))
+    first = F.lit(0)
+    items = F.try_variant_get(value, "$", "array<variant>")
+
+    def item(x: Column, i: Column) -> Column:
+        text = F.try_variant_get(x, "$", "string")
+        is_text = F.coalesce(F.schema_of_variant(x) == "STRING", F.lit(False))
+        return F.when(is_text, F.struct(i.alias("pos"), text.alias("ref"), reference_problems(text).alias("problems"))).otherwise(error(i, F.coalesce(F.to_json(x), F.lit("null")), "tipo_invalido"))
+
+    return (
+        F.when(value.isNull(), F.array(error(first, c, "json_invalido")))
+        .when(~shape.startswith("ARRAY<"), F.array(error(first, F.to_json(value), "formato_invalido")))
+        .otherwise(F.filter(F.transform(items, item), lambda x: F.size(x["problems"]) > 0)).cast(kind)
+    )

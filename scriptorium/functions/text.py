@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
+import zlib
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+class Lookup:
+    """A literal table from words to words."""
+
+    def __init__(self, entries: dict[str, str]):
+        self.buckets = 1 << max(0, (len(entries) // 4).bit_length())
+        maps: list[dict[str, str]] = [{} for _ in range(self.buckets)]
+        for word, canonical in entries.items():
+            maps[zlib.crc32(word.encode()) % self.buckets][word] = canonical
+        self.table = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), "array<map<string,string>>")
+
+    def __call__(self, word: Column) -> Column:
+        return F.try_element_at(F.get(self.table, F.pmod(F.crc32(word), F.lit(self.buckets)).cast("int")), word)
+
+
 def _accent_table() -> tuple[str, str]:
     """Letters whose canonical decomposition is one ASCII letter and marks, from the Unicode data."""
     source, target = [], []
@@ -37,6 +54,51 @@ _COMPOSED, _BASES = _canonical_table()
 _SPACE = r"[\p{Z}\s]+"
 
 
+def _compatible_table() -> tuple[str, str, dict[str, str]]:
+    """What NFKD without combining marks makes of every character but Hangul, from the Unicode data: characters that become one (those that
+    become none are at the end, for translate to drop), what they become, and those that become several."""
+    one, none, several = {}, [], {}
+    for code in range(0x80, 0x110000):
+        if 0xAC00 <= code < 0xD7A4 or 0xD800 <= code < 0xE000:
+            continue
+        made = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if not unicodedata.combining(c))
+        if made == chr(code):
+            continue
+        if len(made) == 1:
+            one[chr(code)] = made
+        elif made:
+            several[chr(code)] = made
+        else:
+            none.append(chr(code))
+    return "".join([*one, *none]), "".join(one.values()), several
+
+
+@lru_cache(maxsize=1)
+def _compatible() -> tuple[str, str, Lookup, str]:
+    source, target, several = _compatible_table()
+    return source, target, Lookup(several), "[" + "".join(several) + "가-힣]"
+
+
+def _jamo(c: Column) -> Column:
+    """The letters of a Hangul syllable, by its number: 21 vowels and 28 endings (27, and none) for each first letter."""
+    n = F.ascii(c) - 0xAC00
+    pick = lambda first, count, k: F.get(F.array(*[F.lit(chr(first + i)) for i in range(count)]), k.cast("int"))
+    last = F.when(n % 28 > 0, pick(0x11A8, 27, n % 28 - 1)).otherwise("")
+    return F.concat(pick(0x1100, 19, F.floor(n / 588)), pick(0x1161, 21, F.floor(n % 588 / 28)), last)
+
+
+def compatible_fold(c: Column) -> Column:
+    """NFKD without combining marks, for every character: ``º`` is o, a no-break space a space, ``ﬁ`` fi (STR1).
+
+    One pass of translate does what becomes one character or none; only texts with a character that becomes several
+    are taken apart for a lookup in the table of those.
+    """
+    source, target, several, marks = _compatible()
+    letter = lambda x: F.when(x.between("가", "힣"), _jamo(x)).otherwise(F.coalesce(several(x), x))
+    apart = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.rlike(marks), letter(x)).otherwise(x)), "")
+    return F.translate(F.when(c.rlike(marks), apart).otherwise(c), source, target)
+
+
 def strip_accents(c: Column) -> Column:
     """Latin letters without their marks (STR1, STR2)."""
     return F.translate(c, _ACCENTED, _PLAIN)

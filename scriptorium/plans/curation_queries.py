@@ -487,11 +487,11 @@ def _(t, spark):
 @query("nam3_similar_surnames", "SELECT a, b FROM (SELECT x.n_name AS a, y.n_name AS b, jaro_similarity(lower(x.n_name), lower(y.n_name)) AS j FROM nation x JOIN nation y ON x.n_regionkey = y.n_regionkey AND x.n_name < y.n_name) WHERE j + CASE WHEN left(a, 1) <> left(b, 1) THEN 0 WHEN left(a, 2) <> left(b, 2) THEN 1 WHEN left(a, 3) <> left(b, 3) THEN 2 WHEN left(a, 4) <> left(b, 4) THEN 3 ELSE 4 END * 0.1 * (1 - j) >= 0.92")
 def _(t, spark):
     """Names of a block that count as spellings of one."""
-    from scriptorium.functions.names import SIMILAR, surname_score
+    from scriptorium.functions.names import similar
 
     n = t("nation").select("n_regionkey", "n_name")
     pairs = n.toDF("block", "a").join(n.toDF("block", "b"), "block").where("a < b")
-    return pairs.where(surname_score(F.col("a"), F.col("b")) >= SIMILAR).select("a", "b")
+    return pairs.where(similar(F.col("a"), F.col("b"))).select("a", "b")
 
 
 @query("str3_str4_normal_names", f"SELECT id, 'dr ' || lower(given) || ' ' || lower(family) AS spaced, 'dr' || lower(given) || ' ' || lower(family) AS deleted FROM {_PEOPLE_SQL}")

@@ -69,6 +69,28 @@ def _(t, spark):
     return _lines(t).select("doc_id", F.col("pos").cast("long").alias("pos"), F.explode(ref.reference_problems(F.col("ref"))).alias("problem"))
 
 
+_LIST = """CASE o_orderkey % 9
+  WHEN 0 THEN concat('["', o_orderpriority, '", "SILVA, A. Casa ', cast(o_orderkey AS varchar(99)), '. 1999."]') WHEN 1 THEN concat('{"a": ', cast(o_orderkey AS varchar(99)), '}')
+  WHEN 2 THEN concat('[', cast(o_orderkey AS varchar(99)), ', "Casa moderna de ', cast(o_orderkey AS varchar(99)), '", null, {"b": [2, "x"]}, true, [1]]') WHEN 3 THEN concat('["', o_orderstatus) WHEN 4 THEN NULL
+  WHEN 5 THEN concat('"', o_orderpriority, '"') WHEN 6 THEN '[]' WHEN 7 THEN cast(o_orderkey AS varchar(99)) ELSE 'null' END"""
+
+
+@query("ref2_list_errors", f"""
+WITH l AS (SELECT o_orderkey AS id, {_LIST} AS x FROM orders),
+i AS (SELECT id, x, unnest(json_extract(x, '$[*]')) AS v, unnest(range(json_array_length(x)::BIGINT)) AS pos FROM l WHERE json_valid(x) AND json_type(x) = 'ARRAY'),
+p AS ({_problems_sql("SELECT id AS doc_id, NULL AS source, pos, r, length(r) AS n FROM (SELECT id, pos, v->>'$' AS r FROM i WHERE json_type(v) = 'VARCHAR')")}),
+o AS (SELECT id, 0 AS pos, 'json_invalido' AS problem, coalesce(x, '') AS ref FROM l WHERE x IS NULL OR NOT json_valid(x) UNION ALL SELECT id, 0, 'formato_invalido', CAST(json(x) AS VARCHAR) FROM l WHERE json_valid(x) AND json_type(x) <> 'ARRAY'
+  UNION ALL SELECT id, pos, 'tipo_invalido', CAST(v AS VARCHAR) FROM i WHERE json_type(v) <> 'VARCHAR')
+SELECT id, CAST(pos AS BIGINT) AS pos, problem, left(ref, 100) AS ref FROM o
+UNION ALL SELECT doc_id, pos, problem, r FROM ({" UNION ALL ".join(f"SELECT doc_id, pos, '{p}' AS problem, r FROM p WHERE {p}" for p in ref.PROBLEMS)})
+""")
+def _(t, spark):
+    """Lists of references as JSON of every kind: what is wrong with the list, with its items, and with the references in it."""
+    lists = t("orders").select(F.col("o_orderkey").alias("id"), F.expr(_LIST.replace("varchar(99)", "string")).alias("x"))
+    found = lists.select("id", F.explode(ref.checked_list(F.col("x"))).alias("p")).select("id", "p.*")
+    return found.select("id", F.col("pos").cast("long").alias("pos"), F.explode("problems").alias("problem"), "ref")
+
+
 _CASES = [
     "", "IBGE, 2001", "•", "sobre a casa", "www.exemplo.org/pagina", "Fonte: acervo do autor", "SILVA, João. Casa moderna. Recife: Nova Editora, 1999.",
     "SILVA, João. Casa moderna no nordeste. Recife: Nova Editora, 1999. SOUZA, Maria. Outra casa. 2001.",
