@@ -192,8 +192,10 @@ def keyword_list(c: Column) -> Column:
 
 def distinct_ignoring_case(c: Column) -> Column:
     """The elements of an array that no earlier one equals but for case, in order (SET4)."""
-    small = F.transform(c, lambda k: F.lower(k))
-    return F.filter(c, lambda k, i: F.array_position(small, F.lower(k)) == i + 1)
+    marked = F.array_sort(F.transform(c, lambda k, i: F.struct(F.lower(k).alias("l"), i.alias("i"), k.alias("k"))))
+    # Bound to a name by the array around it, so that a comparison with the one before doesn't sort again.
+    first = F.get(F.transform(F.array(marked), lambda s: F.filter(s, lambda x, j: x["l"].isNotNull() & ((j == 0) | ~x["l"].eqNullSafe(F.get(s, j - 1)["l"])))), F.lit(0))
+    return F.transform(F.array_sort(F.transform(first, lambda x: F.struct(x["i"], x["k"]))), lambda x: x["k"])
 
 
 def replaced_spans(c: Column, fixes: Column) -> Column:

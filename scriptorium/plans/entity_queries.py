@@ -19,7 +19,7 @@ def _authors(spark):
     return spark.createDataFrame(_AUTHORS, "id int, given string, family string")
 
 
-@query("er1_particles", "SELECT * FROM " + values([(i, g if i != 7 else "João de", f if i != 7 else "Souza") for i, g, f in _AUTHORS], "id, given, family"))
+@case("er1_particles", "SELECT * FROM " + values([(i, g if i != 7 else "João de", f if i != 7 else "Souza") for i, g, f in _AUTHORS], "id, given, family"))
 def _(t, spark):
     s = er.particles_to_given(F.col("given"), F.col("family"))
     return _authors(spark).select("id", s["given"].alias("given"), s["family"].alias("family"))
@@ -28,20 +28,20 @@ def _(t, spark):
 _FULL_NAME_WANT = [(2, 1), (4, 5), (5, 6), (9, 8)]
 
 
-@query("er3_full_name_merges", "SELECT * FROM " + values(_FULL_NAME_WANT, "removed, keep"))
+@case("er3_full_name_merges", "SELECT * FROM " + values(_FULL_NAME_WANT, "removed, keep"))
 def _(t, spark):
     """Blocks of last surnames, compatible whole names, the longer one kept; chains are for merge_targets to follow."""
     pairs = er.pairs_of(_authors(spark), er.surname_block(F.col("family")))
     return er.merge_map(pairs, er.same_full_name(2))
 
 
-@query("er4_sure_variants", "SELECT * FROM " + values([(5, 6)], "removed, keep"))
+@case("er4_sure_variants", "SELECT * FROM " + values([(5, 6)], "removed, keep"))
 def _(t, spark):
     pairs = er.pairs_of(_authors(spark), er.surname_block(F.col("family")))
     return er.merge_map(pairs, er.same_surname_variant("alta"))
 
 
-@query("er5_unsure_report", "SELECT * FROM " + values([(1, 2), (4, 5), (4, 6), (8, 9)], "id, id_2"))
+@case("er5_unsure_report", "SELECT * FROM " + values([(1, 2), (4, 5), (4, 6), (8, 9)], "id, id_2"))
 def _(t, spark):
     pairs = er.pairs_of(_authors(spark), er.surname_block(F.col("family")))
     return pairs.where(er.same_surname_variant("baixa")).select("id", "id_2")
@@ -51,7 +51,7 @@ _TOGETHER, _SHARED = [(4, 5)], [(1, 3)]
 _REASONS = [(1, 2, True, "exact"), (1, 3, True, "jw+coauthors"), (2, 3, True, "jw"), (4, 5, False, "coappear"), (10, 11, False, "name_mismatch")]
 
 
-@query("nam5_reasons", "SELECT * FROM " + values(_REASONS, "id, id_2, is_match, reason"))
+@case("nam5_reasons", "SELECT * FROM " + values(_REASONS, "id, id_2, is_match, reason"))
 def _(t, spark):
     a = _authors(spark)
     b = a.toDF("id_2", "given_2", "family_2")
@@ -73,7 +73,7 @@ def _(t, spark):
 _AFF = [(1, "UFPE", ["Universidade Federal de Pernambuco"], True), (2, "FAU-USP", ["USP São Paulo"], True), (3, "PUC", ["Outra"], False), (4, None, ["x"], False)]
 
 
-@query("nam15_affiliations", "SELECT * FROM " + values([(r[0], r[3]) for r in _AFF], "id, ok"))
+@case("nam15_affiliations", "SELECT * FROM " + values([(r[0], r[3]) for r in _AFF], "id, ok"))
 def _(t, spark):
     df = spark.createDataFrame([r[:3] for r in _AFF], "id int, a string, o array<string>")
     return df.select("id", er.affiliation_matches(F.col("a"), F.col("o"), {"ufpe": "federal de pernambuco"}).alias("ok"))
@@ -98,7 +98,7 @@ _META = [("a.pdf", "x"), ("B C.pdf", "y")]
 _ASKED = [(1, "a.pdf"), (2, "b_c.pdf"), (3, "d.pdf")]
 
 
-@query("join13_exact_then_normal", "SELECT * FROM " + values([(1, "x"), (2, "y"), (3, None)], "id, v"))
+@case("join13_exact_then_normal", "SELECT * FROM " + values([(1, "x"), (2, "y"), (3, None)], "id, v"))
 def _(t, spark):
     key = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]+", "")
     m = spark.createDataFrame(_META, "name string, v string")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import references as ref
 from scriptorium.operators import split_references
 
-from scriptorium.plans.catalogue import literal, query, values
+from scriptorium.plans.catalogue import case, literal, query, values
 
 _CAP = "[A-ZÁÀÃÂÉÊÍÓÔÕÚÜÇ]"
 
@@ -102,7 +102,7 @@ _CASES = [
 _CASE_ROWS = [(i, r) for i, r in enumerate(_CASES)]
 
 
-@query("ref1_classify_cases", f"""
+@case("ref1_classify_cases", f"""
 WITH p AS ({_problems_sql(f"SELECT i, r, length(r) AS n FROM (SELECT i, regexp_replace(x, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g') AS r FROM {values(_CASE_ROWS, 'i, x')})")})
 SELECT i, list_filter([{", ".join(f"CASE WHEN {p} THEN '{p}' END" for p in ref.PROBLEMS)}], lambda x: x IS NOT NULL) AS problems FROM p
 """)
@@ -127,7 +127,7 @@ def _list_rows(spark):
     return spark.createDataFrame(_LISTS, "k int, refs array<string>")
 
 
-@query("ref4_underscore_split", f"""
+@case("ref4_underscore_split", f"""
 WITH e AS (SELECT k, i, trim(refs[i]) AS r FROM (SELECT k, refs, unnest(generate_series(1, len(refs))) AS i FROM {_LIST_SQL})),
 c AS (SELECT k, i, j, trim(p[j]) AS part FROM (SELECT k, i, p, unnest(generate_series(1, len(p))) AS j FROM (SELECT k, i, string_split(regexp_replace(r, '\\s+(_{{3,}})', chr(1) || '\\1', 'g'), chr(1)) AS p FROM e WHERE r <> ''))),
 d AS (SELECT k, i, j, regexp_replace(part, '^(_{{3,}})\\s+', '\\1') AS part FROM c)
@@ -142,12 +142,12 @@ THEN regexp_extract({0}, '^([A-ZÁÉÍÓÚÀÂÊÔÃÕÇÑ][A-ZÁÉÍÓÚÀÂÊ
 WHEN regexp_matches({0}, '^([A-ZÁÉÍÓÚÀÂÊÔÃÕÇÑ][A-ZÁÉÍÓÚÀÂÊÔÃÕÇÑa-záéíóúàâêôãõçñ\\s]+?)\\.\\s') THEN regexp_extract({0}, '^([A-ZÁÉÍÓÚÀÂÊÔÃÕÇÑ][A-ZÁÉÍÓÚÀÂÊÔÃÕÇÑa-záéíóúàâêôãõçñ\\s]+?)\\.\\s', 1) || '.' END"""
 
 
-@query("ref5_leading_author", f"SELECT i, {_AUTHOR.format('x')} AS author FROM {values(_CASE_ROWS, 'i, x')}")
+@case("ref5_leading_author", f"SELECT i, {_AUTHOR.format('x')} AS author FROM {values(_CASE_ROWS, 'i, x')}")
 def _(t, spark):
     return spark.createDataFrame(_CASE_ROWS, "i int, ref string").select("i", ref.leading_author(F.col("ref")).alias("author"))
 
 
-@query("win2_author_backfill", f"""
+@case("win2_author_backfill", f"""
 WITH e AS (SELECT k, i, refs[i] AS raw, trim(refs[i]) AS r FROM (SELECT k, refs, unnest(generate_series(1, len(refs))) AS i FROM {_LIST_SQL})),
 b AS (SELECT *, regexp_matches(r, '^_{{3,}}') AS blank, last_value(CASE WHEN NOT regexp_matches(r, '^_{{3,}}') THEN r END IGNORE NULLS) OVER (PARTITION BY k ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS base FROM e),
 f AS (SELECT k, i, CASE WHEN blank AND {_AUTHOR.format('base')} IS NOT NULL THEN {_AUTHOR.format('base')} || ' ' || regexp_replace(r, '^_{{3,}}[.,]?\\s*', '') ELSE raw END AS ref FROM b)
@@ -157,7 +157,7 @@ def _(t, spark):
     return _list_rows(spark).select("k", ref.backfill_authors(F.col("refs")).alias("refs"))
 
 
-@query("win3_orphan_join", f"""
+@case("win3_orphan_join", f"""
 WITH e AS (SELECT k, i, trim(refs[i]) AS r FROM (SELECT k, refs, unnest(generate_series(1, len(refs))) AS i FROM {_LIST_SQL})),
 n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY i) AS rn FROM e WHERE r <> ''),
 s AS (SELECT *, CASE WHEN rn = 1 OR NOT (regexp_matches(r, '^https?://\\S+$') OR starts_with(r, 'Disponível em') OR starts_with(r, 'Acesso em') OR starts_with(r, 'Available at')) THEN 1 ELSE 0 END AS start FROM n),
@@ -169,7 +169,7 @@ def _(t, spark):
     return _list_rows(spark).select("k", ref.join_orphans(F.col("refs")).alias("refs"))
 
 
-@query("ref6_clean_lists", f"""
+@case("ref6_clean_lists", f"""
 WITH e AS (SELECT k, i, trim(refs[i]) AS r FROM (SELECT k, refs, unnest(generate_series(1, len(refs))) AS i FROM {_LIST_SQL})),
 c AS (SELECT k, i, j, trim(p[j]) AS part FROM (SELECT k, i, p, unnest(generate_series(1, len(p))) AS j FROM (SELECT k, i, string_split(regexp_replace(r, '\\s+(_{{3,}})', chr(1) || '\\1', 'g'), chr(1)) AS p FROM e WHERE r <> ''))),
 d AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY i, j) AS i, regexp_replace(part, '^(_{{3,}})\\s+', '\\1') AS r FROM c WHERE part <> '' AND NOT regexp_matches(regexp_replace(part, '^(_{{3,}})\\s+', '\\1'), '^_{{3,}}$')),
@@ -226,7 +226,7 @@ _PAPERS = [
 ]
 
 
-@query("ext2_section_fields", f"""
+@case("ext2_section_fields", f"""
 SELECT k, CASE WHEN length(a) > 50 AND length(a) <= 5000 THEN a END AS abstract, nullif(kw, '') AS keywords, CASE WHEN length(en) > 50 THEN en END AS abstract_en, nullif(string_split(refs, chr(10) || 'Anexos')[1], '') AS refs FROM (
 SELECT k, trim(regexp_extract(x, '(?s)Resumo:\\s*(.*?)\\n(?:Palavras-chave|Abstract)', 1)) AS a, trim(regexp_extract(x, 'Palavras-chave:\\s*([^\\n]*)', 1)) AS kw,
 trim(regexp_extract(x, '(?s)Abstract:\\s*(.*?)\\n(?:Keywords|1\\.)', 1)) AS en, trim(regexp_extract(x, '(?s)\\nReferências\\n(.*)$', 1)) AS refs FROM {values(_PAPERS, 'k, x')})
@@ -295,7 +295,7 @@ _RUN_ON_WANT = [
 ]
 
 
-@query("ref12_split_concatenated", "SELECT * FROM " + values(_RUN_ON_WANT, "k, refs"))
+@case("ref12_split_concatenated", "SELECT * FROM " + values(_RUN_ON_WANT, "k, refs"))
 def _(t, spark):
     """Boundaries found, thinned, cut and filtered (REF7 to REF12)."""
     return spark.createDataFrame(_RUN_ON, "k int, refs array<string>").select("k", split_references.split_concatenated(F.col("refs"), _NO_SURNAMES).alias("refs"))

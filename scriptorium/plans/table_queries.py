@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scriptorium.operators import relational as ops
-from scriptorium.plans.catalogue import query, values
+from scriptorium.plans.catalogue import case, query, values
 
 # Joins.
 
@@ -370,7 +370,7 @@ _OLD = [(1, "", "x"), (2, "kept", None), (3, None, "")]
 _NEW = [(1, "", "n1", 1), (1, "a", "n2", 2), (1, "b", "n3", 3), (3, "c", "", 1), (4, "d", "d", 1)]
 
 
-@query("dml6_fill_if_empty", f"""
+@case("dml6_fill_if_empty", f"""
 WITH n AS (SELECT * FROM {values(_NEW, 'k, email, code, seq')}),
 f AS (SELECT k, first(email ORDER BY seq) FILTER (nullif(email, '') IS NOT NULL) AS email, first(code ORDER BY seq) FILTER (nullif(code, '') IS NOT NULL) AS code FROM n GROUP BY k)
 SELECT o.k, coalesce(nullif(o.email, ''), f.email) AS email, coalesce(nullif(o.code, ''), f.code) AS code FROM (SELECT * FROM {values(_OLD, 'k, email, code')}) o LEFT JOIN f ON o.k = f.k
@@ -389,7 +389,7 @@ _EDGES = [(3, 2), (2, 1), (9, 8), (8, 7), (7, 6), (6, 5), (12, 11), (12, 10)]
 _LINKS = [("x", 2), ("x", 1), ("x", 3), ("y", 9), ("y", 4), ("z", 12), ("z", 11)]
 
 
-@query("er6_merge_fixpoint", f"""
+@case("er6_merge_fixpoint", f"""
 WITH RECURSIVE e AS (SELECT removed, min(keep) AS keep FROM {values(_EDGES, 'removed, keep')} GROUP BY removed),
 r AS (SELECT removed, keep, 1 AS d FROM e UNION ALL SELECT r.removed, e.keep, d + 1 FROM r JOIN e ON r.keep = e.removed)
 SELECT removed, arg_max(keep, d) AS keep FROM r GROUP BY removed
@@ -398,7 +398,7 @@ def _(t, spark):
     return ops.merge_targets(spark.createDataFrame(_EDGES, "removed int, keep int"))
 
 
-@query("er6_repointed_links", f"""
+@case("er6_repointed_links", f"""
 WITH RECURSIVE e AS (SELECT removed, min(keep) AS keep FROM {values(_EDGES, 'removed, keep')} GROUP BY removed),
 r AS (SELECT removed, keep, 1 AS d FROM e UNION ALL SELECT r.removed, e.keep, d + 1 FROM r JOIN e ON r.keep = e.removed),
 m AS (SELECT removed, arg_max(keep, d) AS keep FROM r GROUP BY removed)

@@ -20,12 +20,12 @@ def _texts(spark):
     return spark.createDataFrame(_TEXTS, "id int, a string, b string")
 
 
-@query("str5_collapse", f"SELECT id, trim(regexp_replace(a, '[\\s\\p{{Z}}]+', ' ', 'g')) AS a FROM {values(_TEXTS, _COLS)}")
+@case("str5_collapse", f"SELECT id, trim(regexp_replace(a, '[\\s\\p{{Z}}]+', ' ', 'g')) AS a FROM {values(_TEXTS, _COLS)}")
 def _(t, spark):
     return _texts(spark).select("id", tx.collapse(F.col("a")).alias("a"))
 
 
-@query("str12_em_dash", f"SELECT id, regexp_replace(a, '([a-zA-ZÀ-ú]) - ([a-zA-ZÀ-ú])', '\\1 — \\2', 'g') AS a FROM {values(_TEXTS, _COLS)}")
+@case("str12_em_dash", f"SELECT id, regexp_replace(a, '([a-zA-ZÀ-ú]) - ([a-zA-ZÀ-ú])', '\\1 — \\2', 'g') AS a FROM {values(_TEXTS, _COLS)}")
 def _(t, spark):
     return _texts(spark).select("id", tx.em_dash(F.col("a")).alias("a"))
 
@@ -33,22 +33,22 @@ def _(t, spark):
 _STATES_WANT = [(1, "Natal-RN"), (2, "cria-se"), (3, "Recife (PE) e Olinda/PE."), (4, "no estado de Sergipe"), (5, "10-20 x 2001-02"), (6, "sem nada")]
 
 
-@query("str13_states", "SELECT * FROM " + values(_STATES_WANT, "id, b"))
+@case("str13_states", "SELECT * FROM " + values(_STATES_WANT, "id, b"))
 def _(t, spark):
     return _texts(spark).select("id", tx.upper_states(F.col("b")).alias("b"))
 
 
-@query("str14_regions", f"SELECT id, regexp_replace(regexp_replace(b, '\\bestado(\\s+d[eoa]s?\\s+[A-Z])', 'Estado\\1', 'g'), '\\bmunicípio(\\s+d[eoa]s?\\s+[A-Z])', 'Município\\1', 'g') AS b FROM {values(_TEXTS, _COLS)}")
+@case("str14_regions", f"SELECT id, regexp_replace(regexp_replace(b, '\\bestado(\\s+d[eoa]s?\\s+[A-Z])', 'Estado\\1', 'g'), '\\bmunicípio(\\s+d[eoa]s?\\s+[A-Z])', 'Município\\1', 'g') AS b FROM {values(_TEXTS, _COLS)}")
 def _(t, spark):
     return _texts(spark).select("id", tx.upper_regions(F.col("b")).alias("b"))
 
 
-@query("str15_year_ranges", f"SELECT id, regexp_replace(b, '([0-9]{{4}})-([0-9]{{2,4}})\\b', '\\1–\\2', 'g') AS b FROM {values(_TEXTS, _COLS)}")
+@case("str15_year_ranges", f"SELECT id, regexp_replace(b, '([0-9]{{4}})-([0-9]{{2,4}})\\b', '\\1–\\2', 'g') AS b FROM {values(_TEXTS, _COLS)}")
 def _(t, spark):
     return _texts(spark).select("id", tx.year_ranges(F.col("b")).alias("b"))
 
 
-@query("str20_xml_escape", f"SELECT id, replace(replace(replace(replace(a, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS a FROM {values(_TEXTS, _COLS)}")
+@case("str20_xml_escape", f"SELECT id, replace(replace(replace(replace(a, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS a FROM {values(_TEXTS, _COLS)}")
 def _(t, spark):
     return _texts(spark).select("id", tx.xml_escape(F.col("a")).alias("a"))
 
@@ -56,7 +56,7 @@ def _(t, spark):
 _TITLES = [(1, "Casa moderna: o caso de Natal"), (2, "Sem subtítulo"), (3, "A: B: C"), (4, "x:y")]
 
 
-@query("str11_title_subtitle", f"""
+@case("str11_title_subtitle", f"""
 SELECT id, trim(CASE WHEN instr(x, ': ') > 0 THEN substr(x, 1, instr(x, ': ') - 1) ELSE x END) AS title, CASE WHEN instr(x, ': ') > 0 THEN trim(substr(x, instr(x, ': ') + 2)) END AS subtitle FROM {values(_TITLES, 'id, x')}
 """)
 def _(t, spark):
@@ -68,7 +68,7 @@ _KEYWORDS = [(1, '["a", "b c"]'), (2, "um; dois ;três."), (3, "x, y,z"), (4, "s
 _KEYWORDS_WANT = [(1, ["a", "b c"]), (2, ["um", "dois", "três"]), (3, ["x", "y", "z"]), (4, ["só"]), (5, ["a", "b"])]
 
 
-@query("str6_keyword_cascade", "SELECT * FROM " + values(_KEYWORDS_WANT, "id, k") + " UNION ALL SELECT 6, []")
+@case("str6_keyword_cascade", "SELECT * FROM " + values(_KEYWORDS_WANT, "id, k") + " UNION ALL SELECT 6, []")
 def _(t, spark):
     return spark.createDataFrame(_KEYWORDS, "id int, x string").select("id", tx.keyword_list(F.col("x")).alias("k"))
 
@@ -76,7 +76,7 @@ def _(t, spark):
 _REPEATED = [(1, ["Casa", "casa", "Rua", "CASA", "rua"]), (2, ["a"])]
 
 
-@query("set4_distinct_ignoring_case", "SELECT * FROM " + values([(1, ["Casa", "Rua"]), (2, ["a"])], "id, k"))
+@case("set4_distinct_ignoring_case", "SELECT * FROM " + values([(1, ["Casa", "Rua"]), (2, ["a"])], "id, k"))
 def _(t, spark):
     return spark.createDataFrame(_REPEATED, "id int, x array<string>").select("id", tx.distinct_ignoring_case(F.col("x")).alias("k"))
 
@@ -84,7 +84,7 @@ def _(t, spark):
 _FIXES = [(1, "abcdef", [(1, 2, "XX"), (4, 6, "")]), (2, "abc", [])]
 
 
-@query("str18_span_fixes", "SELECT * FROM " + values([(1, "aXXcd"), (2, "abc")], "id, x"))
+@case("str18_span_fixes", "SELECT * FROM " + values([(1, "aXXcd"), (2, "abc")], "id, x"))
 def _(t, spark):
     df = spark.createDataFrame(_FIXES, "id int, x string, f array<struct<start:int,stop:int,repl:string>>")
     return df.select("id", tx.replaced_spans(F.col("x"), F.col("f")).alias("x"))
@@ -121,14 +121,14 @@ _CAPS = [
 ]
 
 
-@query("cap2_capitalized_titles", "SELECT * FROM " + values([(i, w) for i, _, _, w in _CAPS], "id, title"))
+@case("cap2_capitalized_titles", "SELECT * FROM " + values([(i, w) for i, _, _, w in _CAPS], "id, title"))
 def _(t, spark):
     """The three passes over a small dictionary (CAP1 to CAP4)."""
     df = spark.createDataFrame([(i, x, s) for i, x, s, _ in _CAPS], "id int, x string, s boolean")
     return capitalize.capitalized(df, "x", F.col("s"), _DICT, "title").select("id", "title")
 
 
-@query("cap7_dictionary_stats", "SELECT category, count(*) AS n FROM " + values(_DICT, "word, category, canonical") + " GROUP BY category")
+@case("cap7_dictionary_stats", "SELECT category, count(*) AS n FROM " + values(_DICT, "word, category, canonical") + " GROUP BY category")
 def _(t, spark):
     return spark.createDataFrame(_DICT, "word string, category string, canonical string").groupBy("category").agg(F.count(F.lit(1)).alias("n"))
 
@@ -136,7 +136,7 @@ def _(t, spark):
 _MORE = [("levi", "nome", "Levy", 1), ("rino", "nome", "Rino", 2), ("rino", "nome", "RINO", 3)]
 
 
-@query("dml9_dictionary_seed", f"""
+@case("dml9_dictionary_seed", f"""
 SELECT word, category, canonical FROM {values(_DICT, 'word, category, canonical')} UNION ALL
 SELECT word, category, canonical FROM {values(_MORE, 'word, category, canonical, seq')} WHERE word NOT IN (SELECT word FROM {values(_DICT, 'word, category, canonical')}) QUALIFY row_number() OVER (PARTITION BY word ORDER BY seq) = 1
 """)
@@ -150,7 +150,7 @@ _FILES = [(1, "casa moderna natal.pdf"), (2, "escola parque recife.pdf")]
 _ITEMS = [(10, "A Casa Moderna em Natal"), (11, "Escolas"), (12, "Escola-parque: Recife")]
 
 
-@query("join14_token_overlap", "SELECT * FROM " + values([(10, 1, 3), (12, 2, 1)], "id, file, shared"))
+@case("join14_token_overlap", "SELECT * FROM " + values([(10, 1, 3), (12, 2, 1)], "id, file, shared"))
 def _(t, spark):
     """Files that share words with a title, without stop words; the side with the titles carries exploded words."""
     f = spark.createDataFrame(_FILES, "file int, name string").withColumn("w", F.explode(F.array_distinct(tx.words(tx.fold_key(F.regexp_replace("name", r"\.pdf$", ""))))))
@@ -221,7 +221,7 @@ def _(t, spark):
 _EVENTS = [(1, "3º Seminário Casa Moderna Norte-Nordeste, 2010"), (2, "sem evento")]
 
 
-@query("prj5_event_titles", f"""
+@case("prj5_event_titles", f"""
 SELECT id, nullif(regexp_extract(x, '^([0-9]+)º (\\S+) ', 1), '') AS no, nullif(regexp_extract(x, '([0-9]{{4}})$', 1), '') AS yr FROM {values(_EVENTS, 'id, x')}
 """)
 def _(t, spark):
@@ -262,7 +262,7 @@ def _(t, spark):
 _NEAR = [(1, "O edifício Copan e a casa Cor de rosa"), (2, "casa Modernista"), (3, "sem nada")]
 
 
-@query("str16_generics", "SELECT 1 AS id, ['edifício', 'casa'] AS g UNION ALL SELECT 2, [] UNION ALL SELECT 3, []")
+@case("str16_generics", "SELECT 1 AS id, ['edifício', 'casa'] AS g UNION ALL SELECT 2, [] UNION ALL SELECT 3, []")
 def _(t, spark):
     return spark.createDataFrame(_NEAR, "id int, x string").select("id", tx.lower_generics(F.col("x")).alias("g"))
 
@@ -270,7 +270,7 @@ def _(t, spark):
 _LISTED = [(1, ["1. casa", "rua", "2) vila", "CONCRETO ARMADO NO BRASIL"], "Silva de Souza Neto"), (2, ["concreto. Curitiba. 32", "keywords: x"], "Lima")]
 
 
-@query("str17_numbered_and_long", "SELECT 1 AS id, ['1. casa', '2) vila'] AS k, true AS long UNION ALL SELECT 2, [], false")
+@case("str17_numbered_and_long", "SELECT 1 AS id, ['1. casa', '2) vila'] AS k, true AS long UNION ALL SELECT 2, [], false")
 def _(t, spark):
     return spark.createDataFrame(_LISTED, "id int, k array<string>, f string").select("id", tx.numbered(F.col("k")).alias("k"), tx.many_words(F.col("f")).alias("long"))
 
@@ -289,37 +289,37 @@ def _(t, spark):
     return t("documents").select("doc_id", tx.usable_keywords(F.split("text", "\n")).alias("k")).where(F.size("k") > 0)
 
 
-@query("str10_trailing_event", "SELECT * FROM " + values([(1, "casa moderna"), (2, "rua")], "id, k"))
+@case("str10_trailing_event", "SELECT * FROM " + values([(1, "casa moderna"), (2, "rua")], "id, k"))
 def _(t, spark):
     df = spark.createDataFrame([(1, "casa moderna. 5º Seminário Casa Moderna Sul"), (2, "rua")], "id int, k string")
     return df.select("id", tx.without_trailing_event(F.col("k"), r"\d+º\s+seminário").alias("k"))
 
 
-@query("str23_running_header", "SELECT 1 AS id, ['SILVA, A. Um.', 'LIMA, B. Dois.'] AS r")
+@case("str23_running_header", "SELECT 1 AS id, ['SILVA, A. Um.', 'LIMA, B. Dois.'] AS r")
 def _(t, spark):
     df = spark.createDataFrame([(1, ["ATAS 5", "ATAS 5 SILVA, A. Um.", "LIMA, B. ATAS 5 Dois."])], "id int, r array<string>")
     return df.select("id", tx.without_running_header(F.col("r"), "ATAS 5").alias("r"))
 
 
-@query("str28_name_lists", "SELECT * FROM " + values([(1, "Silva, Ana; Instituto")], "id, n"))
+@case("str28_name_lists", "SELECT * FROM " + values([(1, "Silva, Ana; Instituto")], "id, n"))
 def _(t, spark):
     df = spark.createDataFrame([(1, [("Ana", "Silva"), ("", "Instituto")])], "id int, p array<struct<given:string,family:string>>")
     return df.select("id", tx.name_list(F.col("p")).alias("n"))
 
 
-@query("str30_leading_phrases", "SELECT * FROM " + values([(1, "Texto"), (2, "Um texto")], "id, x"))
+@case("str30_leading_phrases", "SELECT * FROM " + values([(1, "Texto"), (2, "Um texto")], "id, x"))
 def _(t, spark):
     df = spark.createDataFrame([(1, "Página 3 A. Texto"), (2, "Um texto")], "id int, x string")
     return df.select("id", tx.without_intro(F.col("x"), [r"Página \d+", r"[A-Z]\."]).alias("x"))
 
 
-@query("nam16_clean_authors", "SELECT * FROM " + values([(1, "João da Silva"), (2, "Ana Lima")], "id, n"))
+@case("nam16_clean_authors", "SELECT * FROM " + values([(1, "João da Silva"), (2, "Ana Lima")], "id, n"))
 def _(t, spark):
     df = spark.createDataFrame([(1, "Prof. Dr. João\n da Silva."), (2, "Ana Lima, MSc.")], "id int, n string")
     return df.select("id", tx.clean_author(F.col("n")).alias("n"))
 
 
-@query("win13_first_page_with_key", "SELECT * FROM " + values([(1, 2), (2, None)], "id, page"))
+@case("win13_first_page_with_key", "SELECT * FROM " + values([(1, 2), (2, None)], "id, page"))
 def _(t, spark):
     """The first page, from the second on, whose beginning has the key."""
     df = spark.createDataFrame([(1, "casa\fx\fy casa\fcasa"), (2, "a\fb")], "id int, x string")
