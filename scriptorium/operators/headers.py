@@ -13,26 +13,34 @@ from scriptorium.functions.text import collapse, fold_key, words
 
 _UP, _LET = "A-ZÁÉÍÓÚÀÂÊÔÃÕÇ", "A-ZÁÉÍÓÚÀÂÊÔÃÕÇa-záéíóúàâêôãõç"
 MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-#: How a line about a person begins, and words of an affiliation.
-BIO = r"(?iu)^(?:arquitet[oa]s?|professor(?:a|es|as)?|doutor(?:a|ando|anda)?|mestr(?:e|ando|anda)|graduand[oa]|estudante|t[eé]cnic[oa]|p[oó]s-doutor\w*|pesquisador[ae]?|bolsista|especialista)(?![\p{L}\p{N}_])"
+#: Stems of words with which lines about a person begin; up to five letters may follow. An input of line_kind.
+BIO_STEMS = ["arquitet", "professor", "doutor", "mestr", "graduand", "estudante", "técnic", "tecnic", "pós-doutor", "pos-doutor", "pesquisador", "bolsista", "especialista"]
+#: Words of an affiliation.
 AFFILIATION = r"(?iu)(?<![\p{L}\p{N}_])(?:universidade|faculdade|instituto|escola|departamento|university|faculty|institute|school|department)(?![\p{L}\p{N}_])"
 #: Particles of names, and words after which a name belongs to the title.
 PARTICLES = ["de", "da", "do", "dos", "das", "e", "di"]
 LEADS_ON = ["de", "do", "da", "dos", "das", "por", "ao", "no", "na", "nos", "nas", "em", "com", "para", "arquiteto", "arquiteta", "engenheiro", "engenheira"]
 
 
-def is_name(line: Column, title_words: list[str] | None = None) -> Column:
-    """Whether a line may be a person's name: two words or more, all but particles with a capital, without a year or a dot at the end."""
-    clean = words(F.regexp_replace(line, r"\s*\([^)]*\)", ""))
-    real = F.filter(clean, lambda w: ~F.lower(w).isin(PARTICLES))
-    stop = F.exists(clean, lambda w: fold_key(w).isin(title_words)) if title_words else F.lit(False)
-    return (F.size(words(line)) >= 2) & (F.size(real) > 0) & F.forall(real, lambda w: w.rlike(r"^\p{Lu}")) & ~F.rtrim(line).endswith(".") & ~line.rlike(r"(?<!\d)\d{4}(?!\d)") & ~stop
+def name_pattern(particles: list[str] = PARTICLES) -> str:
+    """Two words or more, each with a capital, a particle or in parentheses, one at least a name, and no year among them."""
+    end, small = r"(?=[\s\p{Z}]|$)", "|".join(particles)
+    word = rf"(?:\p{{Lu}}\S*|(?iu:{small}){end}|\([^)]*\))"
+    some_name = rf"(?=(?:.*[\s\p{{Z}}])?(?!(?iu:{small}){end})\p{{Lu}})"
+    return rf"^(?!.*(?<!\d)\d{{4}}(?!\d)){some_name}{word}(?:[\s\p{{Z}}]+{word})+$"
 
 
-def line_kind(line: Column, title_words: list[str] | None = None) -> Column:
+def is_name(line: Column, title_words: list[str] | None = None, particles: list[str] = PARTICLES) -> Column:
+    """Whether a line may be a person's name: it fits name_pattern, has no dot at its end and no word of titles."""
+    fits = line.rlike(name_pattern(particles)) & ~F.rtrim(line).endswith(".")
+    return fits & ~F.exists(words(line), lambda w: fold_key(w).isin(title_words)) if title_words else fits
+
+
+def line_kind(line: Column, title_words: list[str] | None = None, bio: list[str] = BIO_STEMS) -> Column:
     """blank, email, bio, affiliation, name or other, the first that fits (EXT9)."""
+    about = rf"(?iu)^(?:{'|'.join(bio)})\p{{L}}{{0,5}}(?![\p{{L}}\p{{N}}_])"
     return (
-        F.when(F.trim(line) == "", "blank").when(line.rlike(MAIL), "email").when(F.trim(line).rlike(BIO), "bio").when(line.rlike(AFFILIATION), "affiliation")
+        F.when(F.trim(line) == "", "blank").when(line.rlike(MAIL), "email").when(F.trim(line).rlike(about), "bio").when(line.rlike(AFFILIATION), "affiliation")
         .when(is_name(line, title_words), "name").otherwise("other")
     )
 
@@ -157,17 +165,16 @@ def contents(df: DataFrame, key: str, text: str, section: str, ends: str = r"(\d
     return entries.where(fits).select(key, "no", "section", title.alias("title"), F.nullif(authors, F.lit("")).alias("authors"), page.cast("long").alias("page"))
 
 
+#: A file's name: folders, the axis, people up to the first full stop or dash with a space after it, the title, the ending.
+_FILE = r"(?i)^(?:.*/)?(?:E0?(\d)-?)?(?:([^/]*?)(?:\.\s|\s-\s)\s*)?([^/]*?)\.*(?:\.pdf)?$"
+
+
 def name_parts_of_file(name: Column) -> Column:
-    """Struct (axis, families, title) of ``E01-FAMILY, I._ FAMILY2. Title.pdf`` or ``FAMILY - Title.pdf`` (SRC14)."""
-    base = F.regexp_replace(F.regexp_extract(name, r"([^/]*)$", 1), r"(?i)\.pdf$", "")
-    n = F.nullif(F.regexp_extract(base, r"^E0?(\d)", 1), F.lit("")).cast("int")
-    rest = F.regexp_replace(base, r"^E0?\d-?", "")
-    mark = F.when(rest.contains(". "), ". ").otherwise(" - ")
-    at = F.when(rest.contains(". "), F.instr(rest, ". ")).when(rest.contains(" - "), F.instr(rest, " - ")).otherwise(0)
-    people = F.when(at > 0, F.left(rest, at - 1)).otherwise("")
-    title = F.when(at > 0, rest.substr(at + F.length(mark), F.length(rest))).otherwise(rest)
-    families = F.transform(F.filter(F.transform(F.split(people, "[_,;]"), lambda x: F.trim(x)), lambda p: (F.length(p) > 2) & ~p.isin("et al", "et al.")), lambda p: F.upper(F.regexp_replace(F.get(F.split(p, r"\s+"), F.lit(0)), r"^\.+|\.+$", "")))
-    return F.struct(n.alias("axis"), F.filter(families, lambda f: F.length(f) > 2).alias("families"), F.regexp_replace(title, r"\.+$", "").alias("title"))
+    """Struct (axis, families, title) of ``E01-FAMILY, I._ FAMILY2. Title.pdf`` or ``FAMILY - Title.pdf`` (SRC14); a family
+    is the first word, of three letters or more, after a sign that parts people."""
+    part = lambda k: F.regexp_extract(name, _FILE, k)
+    families = F.regexp_extract_all(part(2), F.lit(r"(?:^|[_,;])[\s.]*([^\s_,;.]{3,})"), F.lit(1))
+    return F.struct(F.nullif(part(1), F.lit("")).cast("int").alias("axis"), F.transform(families, lambda f: F.upper(f)).alias("families"), part(3).alias("title"))
 
 
 def files_by_stem(files: DataFrame, name: str, suffixes: list[str], kinds: list[str]) -> DataFrame:
