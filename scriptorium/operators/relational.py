@@ -31,13 +31,22 @@ def co_occurring(edges: DataFrame, group: str, member: str) -> DataFrame:
     return a.join(b, group).where("a <> b").select("a", "b").distinct()
 
 
-def shared_neighbours(edges: DataFrame, group: str, member: str, pairs: DataFrame | None = None) -> DataFrame:
-    """pairs (a, b), or all that appear together, a < b, with the number of members that appear with both (SET1)."""
+def shared_neighbours(edges: DataFrame, group: str, member: str) -> DataFrame:
+    """(a, b, shared), a < b, of all members that appear together, with the number of members that appear with both (SET1).
+
+    Such a member closes a triangle. Every link is directed from the end with fewer links to the other, so that a triangle is found
+    once, from its least end, and no member has more than the square root of all links going out; each triangle counts for its three links.
+    """
     near = stored(co_occurring(edges, group, member))
-    pairs = near.where("a < b") if pairs is None else pairs
-    left, right = near.toDF("a", "n"), near.toDF("b", "n")
-    counts = pairs.join(left, "a").join(right, ["b", "n"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"))
-    return pairs.join(counts, ["a", "b"], "left").na.fill(0, ["shared"])
+    degree = near.groupBy("a").agg(F.count(F.lit(1)).alias("d"))
+    both = near.where("a < b").join(degree, "a").join(degree.toDF("b", "e"), "b")
+    swap = F.struct("d", "a") > F.struct(F.col("e"), F.col("b"))
+    out = stored(both.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("u"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("v")))
+    wedges = out.join(out.toDF("u", "w"), "u").where("v < w")
+    found = wedges.join(near.where("a < b").toDF("v", "w"), ["v", "w"])
+    pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    counts = found.select(F.explode(F.array(pair("u", "v"), pair("u", "w"), pair("v", "w"))).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("shared"))
+    return near.where("a < b").join(counts, ["a", "b"], "left").na.fill(0, ["shared"])
 
 
 def first_prefix(df: DataFrame, text: Column, prefixes: list[tuple[str, str]], default: str | None = None) -> Column:
@@ -106,6 +115,17 @@ def replaced(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     return old.join(new.select(*key).distinct(), key, "left_anti").unionByName(new)
 
 
+def replaced_partitions(path: str, new: DataFrame, by: str) -> DataFrame:
+    """A table in folders by a column, with those of the values that new has written anew and the others untouched (DML2): the rest is not read."""
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    return new.sparkSession.read.parquet(path)
+
+
+def orphans(dimension: DataFrame, links: DataFrame, key: str, foreign: str) -> DataFrame:
+    """Rows of a dimension that no link names any more; a replacement leaves them where they are (DML2)."""
+    return dimension.join(links.select(F.col(foreign).alias(key)), key, "left_anti")
+
+
 def inserted(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """old, and of new the first row of each key that old lacks (DML4, DML9)."""
     fresh = latest_per_key(new, key, [F.col(order).asc()])

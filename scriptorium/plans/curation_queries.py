@@ -152,10 +152,17 @@ def _(t, spark):
     return t("part").select("p_partkey", cu.section_code(F.expr(_TITLES), F.col("p_type"), F.col("p_partkey")).alias("code"))
 
 
-@query("prj8_display_sections", "SELECT doc_id, CASE WHEN position(' the' IN line) > 1 THEN substr(line, 1, position(' the' IN line) - 1) ELSE line END AS section FROM (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents)")
+_EVERY_LINE = "(SELECT doc_id, i - 1 AS pos, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents))"
+
+
+def _every_line(t):
+    return t("documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line")).withColumn("pos", F.col("pos").cast("long"))
+
+
+@query("prj8_display_sections", f"SELECT doc_id, pos, CASE WHEN position(' the' IN line) > 1 THEN substr(line, 1, position(' the' IN line) - 1) ELSE line END AS section FROM {_EVERY_LINE}")
 def _(t, spark):
-    """First lines up to a marker."""
-    return t("documents").select("doc_id", cu.display_section(F.get(F.split("text", "\n"), F.lit(0)), [" the"]).alias("section"))
+    """Lines up to a marker."""
+    return _every_line(t).select("doc_id", "pos", cu.display_section(F.col("line"), [" the"]).alias("section"))
 
 
 @query("prj9_record_ids", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS id FROM part")
@@ -188,16 +195,18 @@ def _(t, spark):
 _REPLACED = [("the", "THE"), ("and", "&"), ("THEm", "them")]
 
 
-@query("str21_literal_replacements", "SELECT doc_id, md5(replace(replace(replace(text, 'the', 'THE'), 'and', '&'), 'THEm', 'them')) AS parts, md5(regexp_replace(text, '\\bthe\\b', 'THE', 'g')) AS same FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')")
+_WHOLE = "regexp_replace({0}, '(^|[^\\p{{L}}\\p{{N}}_])the([^\\p{{L}}\\p{{N}}_]|$)', '\\1THE\\2', 'g')"
+
+
+@query("str21_literal_replacements", f"SELECT doc_id, md5(replace(replace(replace(text, 'the', 'THE'), 'and', '&'), 'THEm', 'them')) AS parts, md5({_WHOLE.format(_WHOLE.format('text'))}) AS same FROM documents")
 def _(t, spark):
-    """Replacements in order inside words, and one of whole words."""
-    d = t("documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return d.select("doc_id", F.md5(cu.replaced_all(F.col("text"), _REPLACED)).alias("parts"), F.md5(cu.replaced_all(F.col("text"), _REPLACED[:1], True)).alias("same"))
+    """Replacements in order inside words, and one of whole words (two in a row take the SQL two passes)."""
+    return t("documents").select("doc_id", F.md5(cu.replaced_all(F.col("text"), _REPLACED)).alias("parts"), F.md5(cu.replaced_all(F.col("text"), _REPLACED[:1], True)).alias("same"))
 
 
-@query("str22_small_first", "SELECT doc_id, CASE WHEN starts_with(line, 'The ') THEN 't' || substr(line, 2) ELSE line END AS line FROM (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents)")
+@query("str22_small_first", f"SELECT doc_id, pos, CASE WHEN starts_with(line, 'The ') THEN 't' || substr(line, 2) ELSE line END AS line FROM {_EVERY_LINE}")
 def _(t, spark):
-    return t("documents").select("doc_id", cu.small_first(F.get(F.split("text", "\n"), F.lit(0)), "The ").alias("line"))
+    return _every_line(t).select("doc_id", "pos", cu.small_first(F.col("line"), "The ").alias("line"))
 
 
 @query("str26_dates", "SELECT o_orderkey, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%Y/%m/%d') AS day, [year(o_orderdate), month(o_orderdate), day(o_orderdate)] AS parts FROM orders")
@@ -241,14 +250,14 @@ def _(t, spark):
 
 
 @query("ref14_curated_removals", f"""
-WITH l AS (SELECT doc_id AS k, i - 1 AS pos, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents))
+WITH l AS (SELECT doc_id AS k, i - 1 AS pos, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)))
 SELECT k, count(g.pos IS NULL OR NULL) AS kept, coalesce(md5(string_agg(line, chr(10) ORDER BY l.pos) FILTER (g.pos IS NULL)), md5('')) AS digest FROM l LEFT JOIN (SELECT DISTINCT * FROM ({_GONE})) g USING (k, pos) GROUP BY k
 """)
 def _(t, spark):
     """Lists without the entries that a table of positions names."""
-    d = t("documents").selectExpr("doc_id k", "split(text, '\n') refs", "doc_id")
+    d = t("documents").selectExpr("doc_id k", "split(coalesce(text, ''), '\n') refs", "doc_id")
     gone = d.selectExpr("k", "doc_id % 3 pos").unionByName(d.selectExpr("k", "2L pos")).unionByName(d.selectExpr("k", "1000000L pos"))
-    left = ops.without_positions(d.where("refs is not null"), "k", "refs", gone)
+    left = ops.without_positions(d, "k", "refs", gone)
     return left.select("k", F.size("refs").cast("long").alias("kept"), F.md5(F.array_join("refs", "\n")).alias("digest"))
 
 
@@ -331,13 +340,13 @@ def _(t, spark):
     return counts.groupBy("r_name").agg(F.concat(F.lit("<h1>"), F.first("r_name"), F.lit("</h1>\n<ul>\n"), li, F.lit("\n</ul>")).alias("page"))
 
 
-_FOUND = "(SELECT orcid, author, count(*) FILTER (local) OVER (PARTITION BY author) AS locals, count(*) OVER (PARTITION BY author) AS every, local FROM (SELECT s_suppkey AS orcid, s_nationkey AS author, s_acctbal > 5000 AS local FROM supplier))"
+_FOUND = "(SELECT o_custkey || '-' || o_orderstatus || left(o_orderpriority, 1) AS author, o_orderkey AS orcid, o_totalprice > 150000 AS local, count(*) OVER (PARTITION BY o_custkey, o_orderstatus, left(o_orderpriority, 1)) AS every, count(*) FILTER (o_totalprice > 150000) OVER (PARTITION BY o_custkey, o_orderstatus, left(o_orderpriority, 1)) AS locals FROM orders)"
 
 
 @query("er9_confirmed", f"SELECT author, max(orcid) FILTER (local) AS orcid FROM {_FOUND} GROUP BY author HAVING max(every) = 1 AND max(locals) = 1")
 def _(t, spark):
     """An author's only profile, if it is compatible."""
-    found = t("supplier").selectExpr("s_suppkey orcid", "s_nationkey author", "s_acctbal > 5000 local")
+    found = t("orders").selectExpr("o_orderkey orcid", "concat(o_custkey, '-', o_orderstatus, left(o_orderpriority, 1)) author", "o_totalprice > 150000 local")
     per = found.groupBy("author").agg(F.count(F.lit(1)).alias("n"), F.count_if("local").alias("locals"), F.max(F.when(F.col("local"), F.col("orcid"))).alias("orcid"))
     return per.where("n = 1 and locals = 1").select("author", "orcid")
 
@@ -374,12 +383,12 @@ def _(t, spark):
     return p.select("p_partkey", ops.first_prefix(p, F.col("p_brand"), [("Brand#1", "one"), ("Brand#", "more")]).alias("region"))
 
 
-@query("ext1_page_noise", "SELECT doc_id, md5(regexp_replace(replace(text || chr(10) || '12' || chr(10) || 'x', chr(12), chr(10)), '(?m)^[ \\t\\n\\x0B\\f\\r]*[0-9]{1,3}[ \\t\\n\\x0B\\f\\r]*$', '', 'g')) AS digest FROM documents WHERE text IS NOT NULL")
+@query("ext1_page_noise", "SELECT doc_id, md5(regexp_replace(replace(coalesce(text, '') || chr(10) || '12' || chr(10) || 'x', chr(12), chr(10)), '(?m)^[ \\t\\n\\x0B\\f\\r]*[0-9]{1,3}[ \\t\\n\\x0B\\f\\r]*$', '', 'g')) AS digest FROM documents")
 def _(t, spark):
     """Documents without form feeds and lines of a page number."""
     from scriptorium.operators.extract import without_page_noise
 
-    return t("documents").where("text is not null").select("doc_id", F.md5(without_page_noise(F.concat("text", F.lit("\n12\nx")))).alias("digest"))
+    return t("documents").select("doc_id", F.md5(without_page_noise(F.concat(F.coalesce("text", F.lit("")), F.lit("\n12\nx")))).alias("digest"))
 
 
 _SPLIT_SQL = "SELECT p_partkey, 'SILVA, João. ' || p_name || ' ' || p_type || ' e outras coisas daquele lugar. Recife: Editora, 1999. ' AS a, 'SOUZA, Maria. Outra ' || p_name || ' da cidade. Natal: Editora, 2001.' AS b FROM part"
@@ -540,15 +549,15 @@ def _(t, spark):
 
 
 @query("set4_distinct_lines", """
-WITH l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM documents)),
+WITH l AS (SELECT doc_id, i, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(generate_series(1, len(string_split(text, chr(10))))) AS i FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents))),
 f AS (SELECT doc_id, lower(line) AS k, arg_min(line, i) AS line, min(i) AS i FROM l GROUP BY doc_id, lower(line))
 SELECT doc_id, count(*) AS n, md5(string_agg(line, chr(10) ORDER BY i)) AS digest FROM f GROUP BY doc_id
 """)
 def _(t, spark):
-    """The lines of every document that no earlier one equals but for case."""
+    """The lines of every document that no earlier one equals but for case; a null text has one empty line."""
     from scriptorium.functions.text import distinct_ignoring_case
 
-    d = t("documents").where("text is not null").select("doc_id", distinct_ignoring_case(F.split("text", "\n")).alias("x"))
+    d = t("documents").select("doc_id", distinct_ignoring_case(F.split(F.coalesce("text", F.lit("")), "\n")).alias("x"))
     return d.select("doc_id", F.size("x").cast("long").alias("n"), F.md5(F.array_join("x", "\n")).alias("digest"))
 
 

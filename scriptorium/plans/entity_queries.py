@@ -154,10 +154,13 @@ def _(t, spark):
     return t("part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).where("n >= 70").orderBy(F.desc("n"), "p_brand")
 
 
-@query("agg13_unmapped_values", "SELECT p_type, count(*) AS n FROM part WHERE p_type NOT IN (SELECT DISTINCT p_type FROM part WHERE p_size > 48) GROUP BY p_type")
+@query("agg13_unmapped_values", """
+WITH p AS (SELECT p_brand || '/' || p_type AS v, p_size FROM part) SELECT v, count(*) AS n FROM p WHERE v NOT IN (SELECT v FROM p WHERE p_size > 48) GROUP BY v
+""")
 def _(t, spark):
-    p = t("part")
-    return p.join(p.where("p_size > 48").select("p_type").distinct(), "p_type", "left_anti").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
+    """How often each value occurs that no large part maps."""
+    p = t("part").selectExpr("concat(p_brand, '/', p_type) v", "p_size")
+    return p.join(p.where("p_size > 48").select("v").distinct(), "v", "left_anti").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("cap5_changed_counts", """

@@ -209,14 +209,18 @@ def _(t, spark):
     return t("documents").select("doc_id", found.alias("emails")).where(F.size("emails") > 0)
 
 
-@query("ext14_html_links", """
-WITH p AS (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">', 1) AS hrefs, regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1) AS names FROM pages)
-SELECT DISTINCT page_id, hrefs[i] AS href, names[i] AS name FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM p WHERE len(hrefs) = len(names))
+_LINK = '<a href="([^"]*)">([^<]*)</a>'
+
+
+@query("ext14_html_links", f"""
+WITH p AS (SELECT page_id, regexp_extract_all(html, '{_LINK}', 1) AS hrefs, regexp_extract_all(html, '{_LINK}', 2) AS names FROM pages)
+SELECT DISTINCT page_id, hrefs[i] AS href, names[i] AS name FROM (SELECT *, unnest(generate_series(1, len(hrefs))) AS i FROM p)
 """)
 def _(t, spark):
-    """Address and name of a page's links, each pair once (EXT14)."""
-    pages = t("pages").select("page_id", F.regexp_extract_all("html", F.lit('<a href="([^"]*)">'), F.lit(1)).alias("h"), F.regexp_extract_all("html", F.lit('<a href="[^"]*">([^<]*)</a>'), F.lit(1)).alias("n"))
-    return pages.where(F.size("h") == F.size("n")).select("page_id", F.explode(F.array_distinct(F.arrays_zip("h", "n"))).alias("pair")).select("page_id", F.col("pair.h").alias("href"), F.col("pair.n").alias("name"))
+    """Address and name of every page's links, each pair once (EXT14): one pattern says both."""
+    group = lambda k: F.regexp_extract_all("html", F.lit(_LINK), F.lit(k))
+    pairs = F.array_distinct(F.arrays_zip(group(1).alias("h"), group(2).alias("n")))
+    return t("pages").select("page_id", F.explode(pairs).alias("pair")).select("page_id", F.col("pair.h").alias("href"), F.col("pair.n").alias("name"))
 
 
 _PAPERS = [

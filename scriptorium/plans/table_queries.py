@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scriptorium.operators import relational as ops
+from scriptorium.sources.shared import shared_dir
 from scriptorium.plans.catalogue import case, query, values
 
 # Joins.
@@ -337,12 +340,26 @@ def _(t, spark):
 # Upserts.
 
 
+def _reloaded(t, spark):
+    """Orders in folders by a digit of their customer, of which one is loaded anew without the orders of every third customer."""
+    old = t("orders").select("o_orderkey", "o_custkey", "o_totalprice", (F.col("o_custkey") % 10).alias("slug"))
+    path = f"{shared_dir(spark)}/orders-{uuid.uuid4().hex}"
+    old.write.partitionBy("slug").parquet(path)
+    return ops.replaced_partitions(path, old.where("slug = 3 and o_custkey % 3 <> 0").withColumn("o_totalprice", F.lit(0.0)), "slug")
+
+
 @query("dml2_replace_partitions", """
-SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, o_orderstatus, 0.0::DOUBLE FROM orders WHERE o_orderstatus = 'P'
+SELECT o_orderkey, o_custkey % 10 AS slug, CASE WHEN o_custkey % 10 = 3 THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_custkey % 10 <> 3 OR o_custkey % 3 <> 0
 """)
 def _(t, spark):
-    old = t("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    return ops.replaced(old, old.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(0.0)), ["o_orderstatus"])
+    """One folder of the orders loaded anew; the others stay as they are."""
+    return _reloaded(t, spark).select("o_orderkey", F.col("slug").cast("long").alias("slug"), "o_totalprice")
+
+
+@query("dml2_orphans", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey % 10 <> 3 OR o_custkey % 3 <> 0)")
+def _(t, spark):
+    """Customers to whom no order leads after that."""
+    return ops.orphans(t("customer").select("c_custkey"), _reloaded(t, spark), "c_custkey", "o_custkey")
 
 
 @query("dml3_last_wins", "SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
