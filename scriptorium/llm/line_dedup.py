@@ -15,8 +15,8 @@ from scriptorium.llm.common import stored, table
 
 #: Share of a host's pages above which a line is boilerplate.
 RATIO = 0.1
-#: Hosts with fewer pages (fewer than 1 / RATIO) are left alone: there every line is frequent.
-MIN_PAGES = 10
+#: Pages of a host that must hold a line, whatever the host's size: what one or two pages say is their own.
+HOLDING = 3
 #: Boilerplate lines up to which their table is broadcast (about 60 bytes each).
 BROADCAST_LINES = 100_000
 #: Ways a host is split when that table has to be joined by shuffle.
@@ -27,13 +27,13 @@ def _filled(line: Column) -> Column:
     return F.length(F.trim(line)) > 0
 
 
-def boilerplate(df: DataFrame, text: str, host: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False) -> DataFrame:
+def boilerplate(df: DataFrame, text: str, host: str, ratio: float = RATIO, min_pages: int = 1, once: bool = False) -> DataFrame:
     """(host, line_key, n_pages, host_pages) of the boilerplate lines.
 
     A host has at most (lines of its mean page / ratio) of them. Lines are
     known by their MD5; blank lines and pages without host or text don't count
-    as lines, but a page without text does count as a page of its host. Hosts with fewer
-    than ``min_pages`` pages have no boilerplate: on so few, a line of one page exceeds the ratio.
+    as lines, but a page without text does count as a page of its host. A line that fewer than
+    HOLDING pages hold is none, on a host of any size; hosts of fewer than ``min_pages`` pages, if asked, are left alone.
 
     With ``once``, copies are no evidence: equal texts are one page of the host, and of the pages that hold a line
     those with the same least hash among their other lines count once, so that near
@@ -48,7 +48,7 @@ def boilerplate(df: DataFrame, text: str, host: str, ratio: float = RATIO, min_p
     else:
         totals = pages.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages"))
         lines = pages.select("host", F.explode(keys).alias("line_key"))
-    counts = lines.groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") > 1)
+    counts = lines.groupBy("host", "line_key").agg(F.count(F.lit(1)).alias("n_pages")).where(F.col("n_pages") >= HOLDING)
     return counts.join(totals.where(F.col("host_pages") >= min_pages), "host").where(F.col("n_pages") > ratio * F.col("host_pages"))
 
 
@@ -59,7 +59,7 @@ def _free(df: DataFrame, *names: str) -> list[str]:
 
 
 def drop_boilerplate(
-    df: DataFrame, text: str, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES, once: bool = False
+    df: DataFrame, text: str, host: Column, ratio: float = RATIO, min_pages: int = 1, once: bool = False
 ) -> DataFrame:
     """df with the boilerplate lines of each host (see there) taken out of column ``text``,
     and the columns n_lines and n_dropped added.
@@ -136,7 +136,7 @@ WITH x AS (
   FROM (SELECT page_id, host, t, unnest(generate_series(1, len(string_split(t, chr(10))))) AS i FROM y)
 ), c AS (SELECT host, trim(line, ' ') AS line, count(DISTINCT page_id) AS n FROM l WHERE trim(line, ' ') <> '' GROUP BY ALL),
 t AS (SELECT host, count(*) AS total FROM y GROUP BY host),
-b AS (SELECT host, line FROM c JOIN t USING (host) WHERE total >= {MIN_PAGES} AND n > 1 AND n > {RATIO}::DOUBLE * total),
+b AS (SELECT host, line FROM c JOIN t USING (host) WHERE n >= {HOLDING} AND n > {RATIO}::DOUBLE * total),
 m AS (SELECT l.*, b.line IS NOT NULL AS gone FROM l LEFT JOIN b ON l.host = b.host AND trim(l.line, ' ') = b.line)
 SELECT page_id, host, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text,
   count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped

@@ -18,7 +18,7 @@ def brute(rows, ratio, least):
             out.append((i, None, 0, 0))
             continue
         lines = text.split("\n")
-        gone = {x for x, n in seen[host].items() if n > 1 and pages[host] >= least and n > ratio * pages[host]} if host is not None else set()
+        gone = {x for x, n in seen[host].items() if n >= 3 and pages[host] >= least and n > ratio * pages[host]} if host is not None else set()
         kept = [x for x in lines if x.strip(" ") not in gone or not x.strip(" ")]
         out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
     return sorted(out, key=repr)
@@ -41,6 +41,15 @@ def test_against_brute_force(spark, monkeypatch, bound):
     assert ld.drop_boilerplate(df.where("false"), "text", F.col("host")).count() == 0
 
 
+def test_small_hosts(spark):
+    """A menu on all pages of a small host goes; what two pages share stays."""
+    rows = [(i, f"menu\nown {i}\nhalf {i // 2}", "s") for i in range(4)] + [(9, "menu\nx", "t"), (10, "menu\nx", "t")]
+    df = spark.createDataFrame(rows, "page_id long, text string, host string")
+    got = {r.page_id: (r.text, r.n_dropped) for r in ld.drop_boilerplate(df, "text", F.col("host")).collect()}
+    assert got == {**{i: (f"own {i}\nhalf {i // 2}", 1) for i in range(4)}, 9: ("menu\nx", 0), 10: ("menu\nx", 0)}
+    assert sorted((i, t, n) for i, (t, n) in got.items()) == sorted((a, b, d) for a, b, _, d in brute(rows, ld.RATIO, 1))
+
+
 def test_page_text_and_host(spark):
     html = "<html><head><style>p{}</style><title>T</title></head><body><!-- x --><p>One <b>two</b></p><script>var a='<p>';</script><div>three<br>four</div></body></html>"
     r = spark.createDataFrame([(html, "HTTP://u@Www.A.org:80/x"), ("", "none")], "h string, u string").select(ld.page_text(F.col("h")).alias("t"), ld.url_host(F.col("u")).alias("h")).collect()
