@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from scriptorium.functions import names
 from scriptorium.operators import relational
 from scriptorium.operators.capitalize import capitalized
-from scriptorium.plans.catalogue import ORACLES, QUERIES
+from scriptorium.plans.catalogue import CASES, ORACLES, QUERIES
 from scriptorium.sources import nested, sinks
 from scriptorium.streaming.events import windowed_counts
 
@@ -119,7 +119,7 @@ def test_clean_lists_reach_a_fixpoint(spark):
 
     from scriptorium.functions.references import clean_references
 
-    df = QUERIES["ref6_clean_lists"](spark, SF)
+    df = CASES["ref6_clean_lists"][0](spark)
     again = df.select("k", "refs", clean_references(F.col("refs")).alias("twice")).collect()
     assert all(r.refs == r.twice for r in again)
 
