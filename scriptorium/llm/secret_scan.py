@@ -3,8 +3,8 @@
 Every text is a layer. Scanning a layer yields spans by kind; unwrapping it
 yields more layers: the layer with URL and Unicode escapes resolved, and one for
 each base64 run, wrapped over lines or not, and for compressed bytes in such runs or in
-escapes, unpacked to their end. Bytes are read as UTF-8, whatever is broken in it, and as
-UTF-16 where they hold a zero. Layers are worked off until none is new. A layer remembers which characters of its parent each of its
+escapes, unpacked to their end. Of bytes, what is ASCII
+is read, and what is so in UTF-16 where they hold a zero. Layers are worked off until none is new. A layer remembers which characters of its parent each of its
 characters stands for, so every span is reported in the whole text's own
 code points.
 """
@@ -20,7 +20,7 @@ import lzma
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Generator, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,17 +36,25 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 #: Characters of unpacked text held at once; a window ends where no span and no run can be open.
 WINDOW = 8_000_000
+#: Bytes unpacked or read at once, characters that windows share where they are cut within a stretch, and spaces in a row that are kept there.
+PART, OVERLAP, SPACES = 1_000_000, 65_536, 64
+#: Characters or bytes at the head of an archive that must unpack without fault.
+HEAD = 2048
 #: Archives within each other that are unpacked, as some unpack to themselves.
 NESTED = 64
 
 _ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\U000[0-9A-Fa-f]{5}|\\u\{[0-9A-Fa-f]{1,6}\}|\\x[0-9A-Fa-f]{2}|&#(?:[0-9]{1,7}|[xX][0-9A-Fa-f]{1,6});")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Base64 runs that follow each other over lines; the last may be short.
-_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[ \t]*+\r?\n[ \t]*+)+[A-Za-z0-9+/_-]++={0,2}")
-_LINE = re.compile(r"[A-Za-z0-9+/_=-]+")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]*")
+_SIGN = re.compile(r"[+/_-]")
+#: Base64 runs that follow each other over lines, or over line ends written as in JSON; the last may be short.
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+)+[A-Za-z0-9+/_-]++={0,2}")
+_LINE = re.compile(r"(?:\\r)?\\n|[A-Za-z0-9+/_=-]+")
 #: Bytes written as escapes, with those that need none between them.
 _BYTES = re.compile(r"(?:(?:%|\\x)[0-9A-Fa-f]{2}|[A-Za-z0-9_.~-]){8,}")
 _BYTE = re.compile(r"(?:%|\\x)([0-9A-Fa-f]{2})")
+_PLAIN = re.compile(r"[\t-\r -~]{12,}")
+_SPACES = re.compile(" {%d,}" % SPACES)
 #: Characters that are in no span, escape or run.
 _APART = re.compile(r"[^A-Za-z0-9+/_.=\-\"':%\\&#;{}\s~]")
 
@@ -146,104 +154,225 @@ _PACKED = (
     (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ", lzma.LZMADecompressor),
 )
 
+_MAGIC = tuple(magic for magic, _ in _PACKED)
+
 
 def _is_packed(raw: bytes) -> bool:
     """Whether bytes begin as packed ones do, of which the first few can be taken."""
     for magic, make in _PACKED:
         if raw.startswith(magic):
             try:
-                make().decompress(raw[:64], 1)
+                make().decompress(raw[:HEAD], PART)
                 return True
             except (zlib.error, OSError, EOFError, lzma.LZMAError):
                 return False
     return False
 
 
-def _member(raw: bytes, more: Iterator[bytes]) -> Iterator[bytes]:
-    """What raw and the chunks after it hold unpacked, member after member, and bytes after the last as they are.
+class Unpacking:
+    """What bytes hold, as windows of text, through archives within archives.
 
-    Bytes that only look packed are given as they are; of broken ones, what could be unpacked.
+    Bytes are pushed in as they come; ``feed`` and ``close`` give the windows that are complete. Members of an archive follow each
+    other, and bytes after the last are taken as they are. Bytes that only look packed are taken as they are; of broken ones,
+    what could be unpacked.
     """
-    while True:
-        make = next((make for magic, make in _PACKED if raw.startswith(magic)), None)
-        if make is None:
-            yield raw
-            yield from more
+
+    def __init__(self, depth: int = 0, archive: bool = False):
+        self.depth, self.archive, self.state, self.head = depth, archive, "head", b""
+        self.inner: Unpacking | Reading | None = None
+
+    def feed(self, raw: bytes) -> Iterator[str]:
+        while raw:
+            if self.state == "lost":
+                return
+            if self.state == "member":
+                raw = yield from self._member(raw)
+                continue
+            if self.state in ("head", "between"):
+                self.head += raw
+                if len(self.head) < 64:
+                    return
+                raw = self._begun()
+                continue
+            yield from self.inner.feed(raw)
             return
-        unpacker, taken, fresh = make(), [], True
-        feed = raw
+
+    def close(self) -> Iterator[str]:
+        if self.state in ("head", "between") and self.head:
+            rest = self._begun()
+            while rest and self.state == "member":
+                rest = yield from self._member(rest)
+                if self.state == "between":
+                    self.head, rest = rest, b""
+                    if self.head:
+                        rest = self._begun()
+            if rest and self.state == "plain":
+                yield from self.inner.feed(rest)
+        if self.state == "member" and self.fresh and not self.archive:
+            for raw in self.taken:
+                yield from self.inner.feed(raw)
+        if self.inner is not None:
+            yield from self.inner.close()
+
+    def _begun(self) -> bytes:
+        """Chooses how the bytes held are read, and gives them back."""
+        raw, self.head = self.head, b""
+        packed = self.depth < NESTED and (_is_packed(raw) if self.state == "head" else raw.startswith(_MAGIC))
+        if self.inner is None:
+            self.inner = Unpacking(self.depth + 1) if packed else Reading(self.depth)
+        if packed:
+            make = next(make for magic, make in _PACKED if raw.startswith(magic))
+            self.unpacker, self.taken, self.fresh = make(), [], True
+        self.state = "member" if packed else "plain"
+        return raw
+
+    def _member(self, raw: bytes) -> Generator[str, None, bytes]:
+        """Takes bytes of a member; the bytes after its end come back."""
+        unpacker = self.unpacker
+        if self.fresh:
+            self.taken.append(raw)
         try:
             while not unpacker.eof:
-                if fresh and feed is not None:
-                    taken.append(feed)
-                out = unpacker.decompress(feed or b"", 1_000_000)
+                out = unpacker.decompress(raw, PART)
                 if out:
-                    fresh = False
-                    yield out
-                feed = getattr(unpacker, "unconsumed_tail", b"")
-                if not unpacker.eof and not feed and (not out if hasattr(unpacker, "unconsumed_tail") else unpacker.needs_input):
-                    feed = next(more, None)
-                    if feed is None:
-                        break
+                    self.fresh, self.taken = False, []
+                    yield from self.inner.feed(out)
+                raw = getattr(unpacker, "unconsumed_tail", b"")
+                if not unpacker.eof and not raw and (len(out) < PART if hasattr(unpacker, "unconsumed_tail") else unpacker.needs_input):
+                    return b""
         except (zlib.error, OSError, EOFError, lzma.LZMAError):
-            if fresh:
-                yield from taken
-                yield from more
+            taken, self.taken = self.taken, []
+            self.state = "plain" if self.fresh and not self.archive else "lost"
+            return b"".join(taken)
+        self.state = "between"
+        return unpacker.unused_data.lstrip(b"\0")
+
+
+class Reading:
+    """Bytes read as text, in windows: byte by byte, as only ASCII can be in a span, and in both orders as UTF-16 where there are zeros."""
+
+    def __init__(self, depth: int):
+        self.readers = [(codecs.getincrementaldecoder(name)("replace"), Windows(depth), name != "latin-1") for name in ("latin-1", "utf-16-le", "utf-16-be")]
+
+    def feed(self, raw: bytes, done: bool = False) -> Iterator[str]:
+        zero = b"\0" in raw
+        for reader, text, wide in self.readers:
+            text.shown |= zero or not wide
+            for i in range(0, len(raw) or 1, PART):
+                last = i + PART >= len(raw)
+                yield from text.feed(reader.decode(raw[i : i + PART], done and last), done and last)
+
+    def close(self) -> Iterator[str]:
+        return self.feed(b"", True)
+
+
+class Windows:
+    """Text cut into windows of about WINDOW characters, where no span and no run can be open.
+
+    How far back was searched is remembered. A stretch without such a place is cut all the same once it is longer than a window, and OVERLAP
+    characters of it are given again: more than a span needs to show that it is there, which is all that is asked of unpacked text, as its
+    spans stand for the whole blob. Of spaces, SPACES in a row are as good as more. A base64 run that goes on over
+    a cut keeps its alignment, and if it holds an archive, that is unpacked as the run goes on.
+    """
+
+    def __init__(self, depth: int):
+        self.depth, self.held, self.parts, self.size, self.shown = depth, "", [], 0, False
+        self.deep: Unpacking | None = None
+        self.quad = ""
+
+    def feed(self, text: str, done: bool) -> Iterator[str]:
+        self.parts.append(text)
+        self.size += len(text)
+        if not done and self.size < WINDOW:
             return
-        if not unpacker.eof:
-            if fresh:
-                yield from taken
+        new = "".join(self.parts)
+        self.parts, self.size = [], 0
+        if self.deep is not None:
+            yield from self._deeper(new, done)
+        if " " * SPACES in new:
+            new = _SPACES.sub(" " * SPACES, new)
+        found = None if done else _APART.search(new[::-1])
+        if done or found:
+            cut = len(new) - found.start() if found else len(new)
+            window, self.held = self.held + new[:cut], new[cut:]
+            if window and self.shown:
+                yield plain(window)
+            self.shown &= bool(self.held)
             return
-        raw = unpacker.unused_data.lstrip(b"\0") or next(more, b"")
-        while raw and len(raw) < 8 and (feed := next(more, None)) is not None:
-            raw += feed
-        if not raw:
+        self.held += new
+        if len(self.held) < WINDOW + OVERLAP:
             return
+        window = self.held
+        if self.shown:
+            yield plain(window)
+        run = len(_RUN.match(window[::-1])[0])
+        start = len(window) - run
+        keep = OVERLAP if run < OVERLAP else OVERLAP + (run - OVERLAP) % 4
+        self.held = window[-keep:]
+        if self.shown and self.deep is None and run > OVERLAP and self.depth < NESTED:
+            at = next((i for i in starts(window[start : start + OVERLAP]) if begins_archive(window, start + i)), None)
+            if at is not None:
+                self.deep, self.quad = Unpacking(self.depth + 1), ""
+                yield from self._deeper(window[start + at :], False)
+
+    def _deeper(self, new: str, done: bool) -> Iterator[str]:
+        """Unpacks on, as far as the run goes."""
+        body = _RUN.match(new)[0]
+        over = done or len(body) < len(new)
+        body = self.quad + body
+        cut = len(body) if over else len(body) - len(body) % 4
+        self.quad = body[cut:]
+        for raw in decoded(body[:cut], 0):
+            yield from self.deep.feed(raw)
+        if over:
+            yield from self.deep.close()
+            self.deep = None
+
+
+def plain(window: str) -> str:
+    """The stretches of ASCII in a window that are long enough for the shortest span or run, apart from each other."""
+    return "\0".join(_PLAIN.findall(window))
+
+
+def windows(chunks: Iterable[bytes], archive: bool = False) -> Iterator[str]:
+    """The text that bytes hold, in windows; if an archive is asked for, only what one that they begin with holds."""
+    reader = Unpacking(archive=archive)
+    for raw in chunks:
+        yield from reader.feed(raw)
+        if reader.state == "lost":
+            break
+    yield from reader.close()
 
 
-def unpacked(raw: bytes) -> Iterator[bytes]:
-    """The chunks of bytes that raw holds, through archives within archives."""
-    chunks = iter([raw])
-    for _ in range(NESTED):
-        head = b""
-        for chunk in chunks:
-            head += chunk
-            if len(head) >= 8:
-                break
-        if not _is_packed(head):
-            yield head
-            break
-        chunks = _member(head, chunks)
-    yield from chunks
-
-
-def windows(chunks: Iterator[bytes]) -> Iterator[str]:
-    """The text of chunks in windows: as UTF-8, and in both orders as UTF-16 where there are zeros."""
-    readers = [(codecs.getincrementaldecoder(name)("replace"), name != "utf-8") for name in ("utf-8", "utf-16-le", "utf-16-be")]
-    held, zeros = ["", "", ""], [False] * 3
-    parts: list[list[str]] = [[], [], []]
-    sizes = [0, 0, 0]
-    done = False
-    while not done:
-        chunk = next(chunks, None)
-        done = chunk is None
-        for k, (reader, wide) in enumerate(readers):
-            zeros[k] |= b"\0" in (chunk or b"")
-            parts[k].append(reader.decode(chunk or b"", done))
-            sizes[k] += len(parts[k][-1])
-            if not done and sizes[k] < WINDOW:
-                continue
-            text = held[k] + "".join(parts[k])
-            parts[k], sizes[k] = [], 0
-            cut = len(text)
-            if not done:
-                while cut and not _APART.match(text, cut - 1):
-                    cut -= 1
-            held[k] = text[cut:]
-            if cut and (not wide or zeros[k]):
-                yield text[:cut]
-            if cut:
-                zeros[k] = False if not held[k] else zeros[k]
+def starts(run: str) -> Iterator[int]:
+    """Where in a run of base64 letters a payload may begin: at its start, and after every sign that also parts names."""
+    yield 0
+    yield from (m.end() for m in _SIGN.finditer(run))
+
+
+def payloads(run: str) -> Iterator[tuple[int, Iterator[str]]]:
+    """(start, windows) of what a run may hold: read from its start, from the first place of each other alignment at which a
+    payload may begin, and from every such place where an archive begins."""
+    begun = set()
+    for i in starts(run):
+        if len(run) - i < 16:
+            return
+        packed = begins_archive(run, i)
+        if packed or i % 4 not in begun:
+            yield i, windows(decoded(run, i), archive=i % 4 in begun)
+            begun.add(i % 4)
+
+
+def begins_archive(run: str, at: int) -> bool:
+    """Whether an archive begins at a place of a base64 run, of which HEAD characters unpack without fault."""
+    few = base64_bytes(run[at : at + 12])
+    return bool(few) and few.startswith(_MAGIC) and _is_packed(base64_bytes(run[at : at + HEAD]) or b"")
+
+
+def decoded(run: str, at: int) -> Iterator[bytes]:
+    """The bytes that a base64 run holds from a place on, in parts."""
+    for i in range(at, len(run), 4 * (PART // 4)):
+        yield base64_bytes(run[i : i + 4 * (PART // 4)]) or b""
 
 
 def base64_bytes(run: str) -> bytes | None:
@@ -259,7 +388,7 @@ def base64_bytes(run: str) -> bytes | None:
 def _joined(text: str) -> Iterator[tuple[str, int, int]]:
     """(run, start, end) of wrapped base64: lines that follow each other, and blocks of equal lines with a last shorter one."""
     for m in _WRAPPED.finditer(text):
-        lines = [(x[0], x.start(), x.end()) for x in _LINE.finditer(text, m.start(), m.end())]
+        lines = [(x[0], x.start(), x.end()) for x in _LINE.finditer(text, m.start(), m.end()) if x[0][0] != "\\"]
         blocks, i = [(0, len(lines))], 0
         while i < len(lines):
             j = i + 1
@@ -284,14 +413,15 @@ def _below(layer: Layer, end: int) -> Iterator[tuple[Layer, int, int]]:
                 raw = _BYTE.sub(lambda x: chr(int(x[1], 16)), m[0]).encode("latin-1")
                 if _is_packed(raw):
                     a, b = layer.outer(m.start(), m.end())
-                    for inner in windows(unpacked(raw)):
+                    for inner in windows([raw]):
                         yield Layer(inner, [0], [a], [b]), a, b
     runs = [(m[0], m.start(), m.end()) for m in _BASE64.finditer(text)]
     for run, start, stop in [*runs, *_joined(text)] if runs else ():
-        raw = base64_bytes(run)
-        if raw:
-            a, b = layer.outer(start, stop)
-            for inner in windows(unpacked(raw)):
+        # Where lines were joined, the places within the run are not those of the text: they stand for the whole.
+        joined = stop - start != len(run)
+        for i, held in payloads(run):
+            a, b = layer.outer(start if joined else start + i, stop)
+            for inner in held:
                 yield Layer(inner, [0], [a], [b]), a, b
 
 
@@ -325,7 +455,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
 
     base has the plain patterns of the text itself, spans those and what decoded
     layers hold. A span found in a layer covers the characters it was decoded
-    from. Null counts as empty; rows that repeat are scanned each.
+    from. Null counts as empty; rows that repeat are scanned each; an empty table gives none. Only the two columns
+    named are read, so others may have any name. A text itself is held whole with its layers of escapes, what its runs and archives
+    hold a window at a time, however long that is; bytes are taken as text where 12 or more of ASCII are together, which every span and run has.
     """
     kind = dict(docs.dtypes)[id_col]
     item = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

@@ -5,6 +5,8 @@ import hashlib
 import lzma
 import random
 import re
+import time
+import tracemalloc
 import urllib.parse
 import zlib
 
@@ -105,3 +107,47 @@ def test_decoded_layers_are_scanned_whole(monkeypatch):
     monkeypatch.setattr(ss, "WINDOW", 1000)
     blob = b64(gzip.compress(("x, " * 1_000_000 + "token" + " " * 5000 + "= abcdef12 (" + "é" * 3000 + ") " + b64(b64(gzip.compress(("q, " * 900 + HEX).encode())))).encode()))
     assert hidden(f"text {blob} more", [("assign", blob), ("hex", blob)])
+
+
+def test_payloads_after_a_sign_and_over_written_line_ends():
+    blob = b64("my password=hunter22secret here")
+    for before in ("see blob/", "x-", "a_", "https://host.example/path+"):
+        assert hidden(before + blob, [("assign", blob)]), before
+    packed = b64(gzip.compress(b"token=abcdefgh", mtime=0))
+    for before in ("/usr/lib/", "usr/share/x/", "a-b_c/"):
+        assert hidden(before + packed, [("assign", packed)]), before
+    raw = b64(random.Random(1).randbytes(200) + f" {KEY} ".encode())
+    for end in ("\\n", "\\r\\n", "\n"):
+        text = '{"k": "' + end.join(raw[i : i + 60] for i in range(0, len(raw), 60)) + '"}'
+        assert (7, 1, len(text) - 2) in ss.all_spans(text), end
+
+
+def test_long_runs_take_linear_time_and_bounded_memory():
+    blob = b64(gzip.compress(b"a" * 100_000_000))
+    tracemalloc.start()
+    began = time.monotonic()
+    assert hidden("x " + blob, [("hex", blob)])
+    took, peak = time.monotonic() - began, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert took < 60 and peak < 300_000_000, (took, peak)
+
+
+def test_archive_in_a_run_longer_than_a_window(monkeypatch):
+    monkeypatch.setattr(ss, "WINDOW", 100_000)
+    monkeypatch.setattr(ss, "OVERLAP", 4_096)
+    monkeypatch.setattr(ss, "PART", 10_000)
+    noise = random.Random(2).randbytes(500_000)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+        inner = b64(pack(noise + b" token=abcdefgh " + noise[::-1] + f" {KEY}".encode()))
+        blob = b64(pack(b"path/" + inner.encode() + b" " + HEX.encode()))
+        assert hidden("x " + blob, [("assign", blob), ("access", blob), ("hex", blob)]), pack
+        # Cut off, it still shows what could be unpacked; of bz2, whose blocks are whole or lost, that is nothing here.
+        assert pack is bz2.compress or ("assign", blob[:-400_000]) in [(ss.KINDS[k], blob[a - 2 : b - 2]) for a, k, b in ss.all_spans("x " + blob[:-400_000])], pack
+
+
+def test_empty_table_and_clashing_names(spark):
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert ss.scan(empty).collect() == []
+    odd = spark.createDataFrame([(1, f"x {KEY}", "b", "s"), (None, None, None, None)], "doc_id long, text string, base string, spans string")
+    got = {r.doc_id: r for r in ss.scan(odd).collect()}
+    assert [tuple(s) for s in got[1].spans] == [("access", 2, 24)] and got[None].spans == []
