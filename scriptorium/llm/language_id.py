@@ -39,8 +39,11 @@ EXPLAIN_KINDS, EXPLAIN = (1, 2), 0.4
 
 #: Words whose labels are found together, unless a single text has more.
 GROUP_WORDS = 200_000
-#: Words that a pass of the Viterbi search takes one after the other.
-STRETCH = 128
+#: Words that a pass of the Viterbi search takes one after the other, and at least so many for each label, so that what is kept of
+#: a long row's passes, a number for every two labels, is less than its words' scores.
+STRETCH, LABEL_WORDS = 128, 8
+#: Labels beyond which a pass for each of them takes longer than to go through a row word by word.
+PASS_LABELS = 40
 
 # Blocks of code points by script, as the Unicode standard lays them out.
 BLOCKS = (
@@ -215,73 +218,92 @@ def lettered_bytes(part: Slice, starts: np.ndarray) -> np.ndarray:
     return row_sums(counts, np.append(starts, len(part.data)))
 
 
+def _forward(emit: np.ndarray, heads: np.ndarray, steps: np.ndarray, best: np.ndarray, switch: float, back: list[np.ndarray] | None = None) -> np.ndarray:
+    """Passes over the words from ``heads`` on, all together, the longest first: the best value of every end label.
+
+    ``best`` has what each label starts with. Where asked for, ``back`` is given each word's label before for every label.
+    """
+    live = np.searchsorted(-steps, -np.arange(1, steps[0] + 1), side="right") if len(steps) else []
+    own = np.arange(emit.shape[1], dtype=np.int16)
+    best = best + emit[heads]
+    for t in range(1, len(live)):
+        k = live[t]
+        now = best[:k]
+        top = now.argmax(axis=1)
+        jump = now[np.arange(k), top][:, None] - np.float32(switch)
+        stay = now >= jump
+        if back is not None:
+            back.append(np.where(stay, own, top[:, None].astype(np.int16)))
+        best[:k] = np.where(stay, now, jump) + emit[heads[:k] + t]
+    return best
+
+
 def viterbi(emit: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best label of every word, rows side by side.
 
-    Rows are cut into stretches of STRETCH words. A row's first stretch is passed through once, the others once
-    for each label that the word before may have; all move together, a word at a time. The best
-    passes are then strung together, so that a long row takes no more steps than a short one.
+    Rows are cut into stretches of STRETCH words, or of LABEL_WORDS a label if that is more, but left whole if there are more than PASS_LABELS
+    labels. Of a row with several, the first is passed
+    through once and the others once for each label that the word before may have, for the values at their ends alone, which tell
+    with which label each stretch of the best path begins and ends. Every stretch is then passed through once more from there, remembering
+    the way. All move together, a word at a time, so that a long row takes no more steps than a short one, and
+    what is remembered is a number for every word and label.
     """
     n_words, n = emit.shape
     labels = np.zeros(n_words, dtype=np.int16)
     counts = np.diff(first)
     if n == 1 or not n_words:
         return labels
-    parts = -(-counts // STRETCH)
+    length = max(STRETCH, LABEL_WORDS * n) if n <= PASS_LABELS else counts.max()
+    parts = -(-counts // length)
     lead = np.concatenate([[0], np.cumsum(parts)])
     row = np.repeat(np.arange(len(counts)), parts)
     ordinal = np.arange(lead[-1]) - lead[row]
-    begin = first[row] + ordinal * STRETCH
-    size = np.minimum(STRETCH, first[row + 1] - begin)
-    # Passes: a stretch's ones follow each other by the label before it.
-    runs = np.where(ordinal == 0, 1, n)
-    of = np.concatenate([[0], np.cumsum(runs)])
-    stretch = np.repeat(np.arange(len(row)), runs)
-    before = np.arange(of[-1]) - of[stretch]
-    order = np.argsort(-size[stretch], kind="stable")
-    place = np.empty_like(order)
-    place[order] = np.arange(len(order))
-    stretch, before = stretch[order], before[order]
-    heads, steps = begin[stretch], size[stretch]
-    live = np.searchsorted(-steps, -np.arange(1, steps[0] + 1), side="right")
-    back_at = np.concatenate([[0], np.cumsum(live)])
-    back = np.zeros((back_at[-1], n), dtype=np.int16)
+    begin = first[row] + ordinal * length
+    size = np.minimum(length, first[row + 1] - begin)
     own = np.arange(n, dtype=np.int16)
-    best = np.where((ordinal[stretch] == 0)[:, None] | (own == before[:, None]), np.float32(0), np.float32(-switch)) + emit[heads]
-    for t in range(1, len(live)):
-        k = live[t]
-        now = best[:k]
-        top = now.argmax(axis=1)
-        jump = now[np.arange(k), top][:, None] - np.float32(switch)
-        stay = now >= jump
-        back[back_at[t] : back_at[t + 1]] = np.where(stay, own, top[:, None])
-        best[:k] = np.where(stay, now, jump) + emit[heads[:k] + t]
-    # The best value of every end label, stretch after stretch, and the label before that leads to it.
-    rows = np.flatnonzero(parts)
-    rows = rows[np.argsort(-parts[rows], kind="stable")]
-    value = best[place[of[lead[rows]]]].astype(np.float64)
+    entered = lambda label: np.where(own == label[:, None], np.float32(0), np.float32(-switch))
     entry = np.zeros((len(row), n), dtype=np.int16)
-    for k in range(1, parts.max()):
-        some = np.searchsorted(-parts[rows], -k, side="left")
-        at = lead[rows[:some]] + k
-        through = value[:some, :, None] + best[place[of[at][:, None] + own]]
-        entry[at] = through.argmax(axis=1)
-        value[:some] = through.max(axis=1)
-    end = np.zeros(len(row), dtype=np.int16)
-    now = value.argmax(axis=1).astype(np.int16)
-    for k in range(parts.max() - 1, -1, -1):
-        some = np.searchsorted(-parts[rows], -k, side="left")
-        at = lead[rows[:some]] + k
-        end[at] = now[:some]
-        now[:some] = entry[at, now[:some]]
-    chosen = np.where(ordinal == 0, 0, entry[np.arange(len(row)), end])
-    jobs = np.sort(place[of[:-1] + chosen])
-    now = end[stretch[jobs]]
-    for t in range(len(live) - 1, -1, -1):
-        k = np.searchsorted(jobs, live[t])
-        labels[heads[jobs[:k]] + t] = now[:k]
+    end = np.full(len(row), -1, dtype=np.int16)
+    chosen = np.zeros(len(row), dtype=np.int16)
+    rows = np.flatnonzero(parts > 1)
+    rows = rows[np.argsort(-parts[rows], kind="stable")]
+    if len(rows):
+        # Passes: a stretch's ones follow each other by the label before it.
+        runs = np.where(parts[row] == 1, 0, np.where(ordinal == 0, 1, n))
+        of = np.concatenate([[0], np.cumsum(runs)])
+        stretch = np.repeat(np.arange(len(row)), runs)
+        before = np.arange(of[-1]) - of[stretch]
+        order = np.argsort(-size[stretch], kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        stretch, before = stretch[order], before[order]
+        opened = np.where((ordinal[stretch] == 0)[:, None], np.float32(0), entered(before))
+        best = _forward(emit, begin[stretch], size[stretch], opened, switch)
+        # The best value of every end label, stretch after stretch, and the label before that leads to it.
+        value = best[place[of[lead[rows]]]].astype(np.float64)
+        for k in range(1, parts.max()):
+            some = np.searchsorted(-parts[rows], -k, side="left")
+            at = lead[rows[:some]] + k
+            through = value[:some, :, None] + best[place[of[at][:, None] + own]]
+            entry[at] = through.argmax(axis=1)
+            value[:some] = through.max(axis=1)
+        now = value.argmax(axis=1).astype(np.int16)
+        for k in range(parts.max() - 1, -1, -1):
+            some = np.searchsorted(-parts[rows], -k, side="left")
+            at = lead[rows[:some]] + k
+            end[at] = now[:some]
+            chosen[at] = now[:some] = entry[at, now[:some]]
+    order = np.argsort(-size, kind="stable")
+    heads, steps = begin[order], size[order]
+    back: list[np.ndarray] = []
+    opened = np.where((ordinal[order] == 0)[:, None], np.float32(0), entered(chosen[order]))
+    best = _forward(emit, heads, steps, opened, switch, back)
+    now = np.where(end[order] < 0, best.argmax(axis=1), end[order])
+    for t in range(steps[0] - 1, -1, -1):
+        k = np.searchsorted(-steps, -(t + 1), side="right")
+        labels[heads[:k] + t] = now[:k]
         if t:
-            now[:k] = back[back_at[t] + jobs[:k], now[:k]]
+            now[:k] = back[t - 1][np.arange(k), now[:k]]
     return labels
 
 
@@ -294,7 +316,9 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",))
     of letters in words that the language of their span explains: near 1 for
     text in learned languages, mixed or not, and low in others and in key-mash.
     Null texts and texts without a letter get und, score and explained 0 and no
-    spans; so does everything if nothing was learned.
+    spans; so does everything if nothing was learned. Rows that repeat give a row each, of ties between
+    languages the one first in name is taken, and an empty table gives none. Columns other than keep and text may have any name;
+    one of keep must not have the name of a result. A text is held whole, with a score for each of its words and languages.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 

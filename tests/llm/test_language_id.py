@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
@@ -53,6 +55,32 @@ def test_viterbi_against_plain_loop():
         assert np.isclose(value(e, got[first[r] : first[r + 1]]), best.max() if len(e) else 0, atol=5e-3)
 
 
+def test_viterbi_of_many_labels_is_bounded():
+    rng = np.random.default_rng(5)
+    for n, words in ((100, 20_000), (30, 20_000)):
+        emit = rng.normal(0, 6, (words, n)).astype(np.float32)
+        tracemalloc.start()
+        got = li.viterbi(emit, np.array([0, words]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 4 * emit.nbytes
+        path = emit[np.arange(words), got].sum(dtype=np.float64) - li.SWITCH * (got[1:] != got[:-1]).sum()
+        best = emit[0].astype(np.float64)
+        for row in emit[1:]:
+            best = np.maximum(best, best.max() - li.SWITCH) + row
+        assert np.isclose(path, best.max(), rtol=1e-4)
+
+
+def test_repeated_rows_and_other_columns(spark):
+    docs = make(spark)
+    model = li.fit(docs)
+    twice = docs.unionByName(docs).selectExpr("*", "'x' score", "1 spans", "2 explained")
+    once = {r.doc_id: r for r in li.identify(docs, model).collect()}
+    got = li.identify(twice, model).collect()
+    assert len(got) == 2 * len(once)
+    assert all(r == once[r.doc_id] for r in got)
+
+
 def test_scripts_of_code_points():
     letters = {"Latin": "aZéÿƀḀ", "Greek": "αἀ", "Cyrillic": "яҐ", "Thai": "ก", "Lao": "ກ", "Khmer": "ក", "Myanmar": "မ", "Ethiopic": "አ", "Tibetan": "ཀ", "Tamil": "அ", "Devanagari": "अ", "Han": "漢𠀀", "Kana": "かカ", "Hangul": "한", "Supplementary": "𐌰"}
     for script, some in letters.items():
