@@ -1,16 +1,17 @@
 """Line parsers with state: a table of transitions as data, folded over a document's lines (EXT8, EXT10, EXT12).
 
-A machine names kinds of lines by patterns and says, for a state and a kind, which state follows and what becomes of the line. The fold
-itself keeps one letter a line; records, their fields and what holds from a heading on come from running counts afterwards, so that
-formats differ in their tables only.
+A machine names kinds of lines by patterns and says, for a state and a kind, which state follows and what becomes of the line. Formats
+differ in their tables only. A document of any length takes one pass.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType
 
 #: Lines that an open parenthesis may take in at most.
 TAKEN_IN = 4
@@ -45,25 +46,82 @@ class Machine:
         return out, states, kinds, actions
 
 
-def rejoined(lines: Column) -> Column:
-    """Lines of which one with an open parenthesis takes in the next, up to TAKEN_IN, until it is closed."""
-    opens = lambda x: F.regexp_count(x, F.lit(r"\(")) - F.regexp_count(x, F.lit(r"\)"))
+@F.arrow_udf(ArrayType(BooleanType()))
+def _taken_in(opened: pa.Array) -> pa.Array:
+    """Which lines the one before takes in, from the number of parentheses that each opens."""
+    out = []
+    for counts in opened.to_pylist():
+        depth = taken = 0
+        marks = []
+        for n in counts or ():
+            inside = depth > 0 and taken < TAKEN_IN
+            depth, taken = max((depth if inside else 0) + n, 0), taken + 1 if inside else 0
+            marks.append(inside)
+        out.append(marks)
+    return pa.array(out, pa.list_(pa.bool_()))
 
-    def step(s: Column, x: Column) -> Column:
-        inside = (s["depth"] > 0) & (s["taken"] < TAKEN_IN)
-        depth = F.greatest(F.when(inside, s["depth"]).otherwise(0) + opens(x), F.lit(0))
-        return F.struct(depth.alias("depth"), F.when(inside, s["taken"] + 1).otherwise(0).alias("taken"), F.concat(s["marks"], F.when(inside, "1").otherwise("0")).alias("marks"))
 
-    marks = F.aggregate(lines, F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit("").alias("marks")), step, lambda s: s["marks"])
-    marked = F.transform(lines, lambda x, i: F.concat(F.when(F.substr(marks, i + 1, F.lit(1)) == "1", " ").otherwise("\n"), x))
+def rejoined(lines: Column) -> Column:
+    """Lines of which one with an open parenthesis takes in the next, up to TAKEN_IN, until it is closed. One pass over the lines."""
+    opens = F.transform(lines, lambda x: F.regexp_count(x, F.lit(r"\(")) - F.regexp_count(x, F.lit(r"\)")))
+    marked = F.transform(F.arrays_zip(lines.alias("line"), _taken_in(opens).alias("taken")), lambda x: F.concat(F.when(x["taken"], " ").otherwise("\n"), x["line"]))
     return F.split(F.substr(F.array_join(marked, ""), F.lit(2)), "\n")
 
 
-def steps(df: DataFrame, key: str, text: str, machine: Machine) -> DataFrame:
-    """(key, pos, line, kind, state, action) of every line; state is the one before it. Null texts have no lines."""
+def _walk(machine: Machine, fields: list[str], held: list[str]):
+    """Column function: letters of the kinds of a document's lines -> its records, with places of lines instead of lines. One pass over the letters."""
     table, states, kinds, actions = machine.table()
+    moves = {}
+    for (at, kind), (then, said) in table.items():
+        verb, _, name = actions[ord(said) - 65].partition(":")
+        moves.setdefault(at, {})[kind] = (then, verb, name)
+    start = chr(65 + states.index(machine.start))
+    inner = ", ".join(["no: bigint", *[f"f_{f}: array<int>" for f in fields], *[f"h_{h}: int" for h in held]])
+
+    @F.arrow_udf(f"array<struct<{inner}>>")
+    def walk(letters: pa.Array) -> pa.Array:
+        ends, no, found, begins, holds = [0], [], {f: [] for f in fields}, {f: [] for f in fields}, {h: [] for h in held}
+        for text in letters.to_pylist():
+            state, n, live, last = start, 0, False, dict.fromkeys(held)
+            for pos, letter in enumerate(text or ""):
+                state, verb, name = moves[state][letter]
+                if verb == "skip":
+                    continue
+                if verb == "open":
+                    n, live = n + 1, True
+                    no.append(n)
+                    for f in fields:
+                        begins[f].append(len(found[f]))
+                    for h in held:
+                        holds[h].append(last[h])
+                    found[name].append(pos)
+                elif verb == "add":
+                    if live:
+                        found[name].append(pos)
+                elif verb == "hold":
+                    last[name] = pos
+                elif verb == "close":
+                    live = False
+                else:  # stop
+                    break
+            ends.append(len(no))
+        lists = [pa.ListArray.from_arrays(pa.array([*begins[f], len(found[f])], pa.int32()), pa.array(found[f], pa.int32())) for f in fields]
+        parts = [pa.array(no, pa.int64()), *lists, *[pa.array(holds[h], pa.int32()) for h in held]]
+        rows = pa.StructArray.from_arrays(parts, names=["no", *[f"f_{f}" for f in fields], *[f"h_{h}" for h in held]])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+    return walk
+
+
+def records(df: DataFrame, key: str, text: str, machine: Machine) -> DataFrame:
+    """(key, no, one array of lines for each field, one line for each held name) of every record, numbered from 1. Null texts have none.
+
+    A row's text is a document; Spark splits it and tells the kinds of its lines, a pass in Python over a letter a line finds the places of each record's lines.
+    """
+    actions = sorted({r[3] for r in machine.rules})
+    fields = sorted({a.split(":")[1] for a in actions if a.startswith(("open:", "add:"))})
+    held = sorted({a.split(":")[1] for a in actions if a.startswith("hold:")})
     lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x))
-    lines = rejoined(lines) if machine.rejoin else lines
 
     def kind(x: Column) -> Column:
         out = F.lit(chr(65 + 1))
@@ -71,35 +129,11 @@ def steps(df: DataFrame, key: str, text: str, machine: Machine) -> DataFrame:
             out = F.when(x.rlike(pattern), chr(65 + 2 + i)).otherwise(out)
         return F.when(x == "", "A").otherwise(out)
 
-    given = df.select(key, lines.alias("_l")).withColumn("_k", F.transform("_l", kind))
-    next_of = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
-    start = chr(65 + states.index(machine.start))
-
-    def step(s: Column, k: Column) -> Column:
-        made = F.element_at(next_of, F.concat(s["at"], k))
-        return F.struct(F.left(made, F.lit(1)).alias("at"), F.concat(s["said"], s["at"], F.right(made, F.lit(1))).alias("said"))
-
-    said = F.aggregate("_k", F.struct(F.lit(start).alias("at"), F.lit("").alias("said")), step, lambda s: s["said"])
-    names = lambda of, c: F.get(F.array(*map(F.lit, of)), F.ascii(c) - 65)
-    rows = given.withColumn("_s", said).select(key, "_s", F.posexplode(F.arrays_zip("_l", "_k")).alias("pos", "_x"))
-    letter = lambda k: F.substr("_s", F.col("pos") * 2 + k, F.lit(1))
-    return rows.select(key, "pos", F.col("_x._l").alias("line"), names(kinds, F.col("_x._k")).alias("kind"), names(states, letter(1)).alias("state"), names(actions, letter(2)).alias("action"))
-
-
-def records(df: DataFrame, key: str, text: str, machine: Machine) -> DataFrame:
-    """(key, no, one array of lines for each field, one line for each held name) of every record, numbered from 1."""
-    actions = sorted({r[3] for r in machine.rules})
-    fields = sorted({a.split(":")[1] for a in actions if a.startswith(("open:", "add:"))})
-    held = sorted({a.split(":")[1] for a in actions if a.startswith("hold:")})
-    w = Window.partitionBy(key).orderBy("pos")
-    at = steps(df, key, text, machine).where("action <> 'skip'")
-    at = at.withColumn("_over", F.max((F.col("action") == "stop").cast("int")).over(w)).where("_over = 0")
-    at = at.withColumn("no", F.sum(F.col("action").startswith("open:").cast("long")).over(w))
-    at = at.withColumns({h: F.last(F.when(F.col("action") == f"hold:{h}", F.col("line")), ignorenulls=True).over(w) for h in held})
-    at = at.withColumn("_closed", F.max((F.col("action") == "close").cast("int")).over(Window.partitionBy(key, "no").orderBy("pos")))
-    of = lambda f: F.transform(F.array_sort(F.collect_list(F.when(F.col("action").isin(f"open:{f}", f"add:{f}"), F.struct("pos", "line")))), lambda x: x["line"])
-    mine = at.where("no > 0 and _closed = 0 and not startswith(action, 'hold:')")
-    return mine.groupBy(key, "no").agg(*[of(f).alias(f) for f in fields], *[F.min_by(h, "pos").alias(h) for h in held])
+    given = df.select(key, (rejoined(lines) if machine.rejoin else lines).alias("_l"))
+    walked = given.select(key, "_l", _walk(machine, fields, held)(F.array_join(F.transform("_l", kind), "")).alias("_r"))
+    line = lambda i: F.get("_l", i)
+    made = F.transform("_r", lambda r: F.struct(r["no"].alias("no"), *[F.transform(r[f"f_{f}"], line).alias(f) for f in fields], *[line(r[f"h_{h}"]).alias(h) for h in held]))
+    return walked.select(key, F.explode(made).alias("_x")).select(key, "_x.*")
 
 
 #: Letters of names and titles in capitals.

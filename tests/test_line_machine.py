@@ -61,3 +61,18 @@ def test_headings(spark):
     assert rows[0] == [("number_before", 1, "LIMA", "Ana", "UFPE", "a@x.br"), ("number_before", 2, "SÁ COSTA", "Rui P", "USP", None)]
     assert rows[1] == [("number_after", 2, "SILVA JUNIOR", "J", "Universidade C", "j@y.org"), ("number_after", 1, "REIS", "Eva", "Universidade B", "e@z.org")]
     assert rows[2] == [("plain", 1, "COSTA", "Lia", None, None), ("plain", 2, "ALVES", "Bia", None, None)] and rows[3] == [("cedilla", 1, "SOUZA", "Eva", None, None)] and rows[4] == [] and not rows[5]
+
+
+def test_long_documents_take_one_pass(spark):
+    """Time grows with the lines, not with their square."""
+    import time
+
+    draws = random.Random(5)
+    text = "\n".join(draws.choices([*LINES, "a (b", "c) d"], k=60_000))
+    df = spark.createDataFrame([(0, "COMUNICAÇÕES\n" + text.replace("fim", "meio"))], "k int, text string")
+    machine = lm.contents_of_capitals("^COMUNICAÇÕES", "^EIXO ", "^fim$")
+    began = time.time()
+    found = lm.records(df, "k", "text", machine).agg(F.count(F.lit(1)).alias("n"), F.max("no").alias("last")).first()
+    joined = df.select(F.size(lm.rejoined(F.split("text", "\n"))).alias("n")).first()
+    assert time.time() - began < 40
+    assert found.n == found.last > 1000 and 30_000 < joined.n < 60_000
