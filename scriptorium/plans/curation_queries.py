@@ -593,28 +593,28 @@ _MERGE_SQL = "SELECT removed, min(keep) AS keep FROM (SELECT CASE WHEN length(g)
 _UNSURE = "length(rtrim(split_part(CASE WHEN length(g) <= length(g_2) THEN g ELSE g_2 END, ' ', 1), '.')) = 1"
 
 
-def _author_pairs(t):
-    """Pairs that share surname and first letter."""
+def _authors(t):
+    """Authors, and the block of those who share surname and first letter."""
     authors = _people(t).selectExpr("id", "if(no % 3 = 0, concat(left(given, 1), '. Maria'), given) given", "family")
-    return er.pairs_of(authors, F.concat(er.surname_block(F.col("family")), F.lit(" "), F.lower(F.left("given", F.lit(1)))))
+    return authors, F.concat(er.surname_block(F.col("family")), F.lit(" "), F.lower(F.left("given", F.lit(1))))
 
 
 @query("er3_table_merges", _MERGE_SQL.format(_PAIRS_SQL))
 def _(t, spark):
     """Compatible whole names among all customers, the longer one kept."""
-    return er.merge_map(_author_pairs(t), er.same_full_name(2))
+    return er.merges(*_authors(t), er.same_full_name(2), er.lead_of_names())
 
 
 @query("er4_table_merges", _MERGE_SQL.format(f"(SELECT * FROM {_PAIRS_SQL} WHERE NOT ({_UNSURE}))"))
 def _(t, spark):
     """Sure variants among all customers."""
-    return er.merge_map(_author_pairs(t), er.same_surname_variant("alta"))
+    return er.merges(*_authors(t), er.same_surname_variant("alta"), er.lead_of_given())
 
 
 @query("er5_table_report", f"SELECT id, id_2 FROM {_PAIRS_SQL} WHERE {_UNSURE}")
 def _(t, spark):
     """Unsure variants among all customers."""
-    return _author_pairs(t).where(er.same_surname_variant("baixa")).select("id", "id_2")
+    return er.judged_pairs(*_authors(t), er.lead_of_given(), er.same_surname_variant("baixa"))
 
 
 @query("er1_table_particles", f"SELECT id, CASE WHEN no % 2 = 0 THEN given || ' de' ELSE given END AS given, family FROM {_PEOPLE_SQL}")
