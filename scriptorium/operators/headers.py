@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scriptorium.functions.text import collapse, fold_key, words
+from scriptorium.functions.text import bound, collapse, fold_key, words
 
 _UP, _LET = "A-ZÁÉÍÓÚÀÂÊÔÃÕÇ", "A-ZÁÉÍÓÚÀÂÊÔÃÕÇa-záéíóúàâêôãõç"
 MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
@@ -86,14 +86,21 @@ def numbered_authors(text: Column) -> Column:
     every = lambda pattern, *fields: F.arrays_zip(*[F.regexp_extract_all(text, F.lit(pattern), F.lit(k)).alias(f) for k, f in enumerate(fields, 1)])
     notes = every(note, "no", "affiliation", "email")
 
-    def author(a: Column) -> Column:
-        found = F.get(F.filter(notes, lambda n: n["no"] == a["no"]), F.lit(0))
-        return F.struct(
-            a["no"].cast("long").alias("no"), F.trim(a["given"]).alias("given"), F.initcap(F.lower(F.trim(a["family"]))).alias("family"),
-            F.trim(found["affiliation"]).alias("affiliation"), found["email"].alias("email"), (a["no"] == "1").alias("main"),
-        )
-
-    return F.transform(every(name, "family", "given", "no"), author)
+    def authors(notes: Column, apart: Column) -> Column:
+        def author(a: Column) -> Column:
+            # Where no number comes twice, notes in order are found by their place; others are searched for the first of the number.
+            placed = F.get(notes, a["no"].try_cast("int") - 1)
+            found = F.when(apart & (placed["no"] == a["no"]), placed).otherwise(F.get(F.filter(notes, lambda n: n["no"] == a["no"]), F.lit(0)))
+            said = lambda n: F.struct(
+                a["no"].cast("long").alias("no"), F.trim(a["given"]).alias("given"), F.initcap(F.lower(F.trim(a["family"]))).alias("family"),
+                F.trim(n["affiliation"]).alias("affiliation"), n["email"].alias("email"), (a["no"] == "1").alias("main"),
+            )
+            return bound(found, said)
+
+        return F.transform(every(name, "family", "given", "no"), author)
+
+    numbers = lambda notes: F.transform(notes, lambda n: n["no"])
+    return bound(every(note, "no", "affiliation", "email"), lambda notes: bound(F.size(F.array_distinct(numbers(notes))) == F.size(notes), lambda apart: authors(notes, apart)))
 
 
 def listed_authors(text: Column) -> Column:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType
 
+from scriptorium.functions.text import bound
+
 #: Lines that an open parenthesis may take in at most.
 TAKEN_IN = 4
 
@@ -206,7 +208,7 @@ def header_authors(head: Column, strategies=STRATEGIES, mail: str = r"[A-Za-z0-9
     notes = F.arrays_zip(*[F.regexp_extract_all(head, F.lit(r"(?m)^\s*(?:\((\d+)\)|(\d+)\.)\s*([^\s(\d][^\n]*)$"), F.lit(k)).alias(n) for k, n in ((1, "a"), (2, "b"), (3, "said"))])
     clean = lambda c: F.regexp_replace(F.trim(c), r"^[\s;.]+|[\s;.]+$", "")
 
-    def by(name: str, pattern: str, groups: tuple[int, int, int]) -> Column:
+    def by(name: str, pattern: str, groups: tuple[int, int, int], mails: Column, notes: Column) -> Column:
         all_of = lambda k: F.regexp_extract_all(head, F.lit(pattern), F.lit(k))
         zipped = F.arrays_zip(all_of(groups[0] or groups[1]).alias("no"), all_of(groups[1]).alias("family"), all_of(groups[2]).alias("given"))
         zipped = F.filter(zipped, lambda x: ~x["given"].contains("@"))  # an acronym and an address are no name
@@ -219,8 +221,9 @@ def header_authors(head: Column, strategies=STRATEGIES, mail: str = r"[A-Za-z0-9
 
         return F.transform(zipped, author)
 
-    tried = [by(*s) for s in strategies]
-    out = F.array().cast("array<struct<strategy:string,no:int,family:string,given:string,affiliation:string,email:string>>")
-    for found in reversed(tried):
-        out = F.when(F.size(found) > 0, found).otherwise(out)
-    return out
+    def first(left: list, said: Column) -> Column:
+        if not left:
+            return F.array().cast("array<struct<strategy:string,no:int,family:string,given:string,affiliation:string,email:string>>")
+        return bound(by(*left[0], said["mails"], said["notes"]), lambda found: F.when(F.size(found) > 0, found).otherwise(first(left[1:], said)))
+
+    return bound(F.struct(mails.alias("mails"), notes.alias("notes")), lambda said: first(list(strategies), said))
