@@ -39,7 +39,14 @@ class Many:
     attrs: dict = field(default_factory=dict)
 
 
-Part = Field | Group | Many
+@dataclass(frozen=True)
+class Written:
+    """XML that is there already; other formats have no use for it."""
+
+    text: Column
+
+
+Part = Field | Group | Many | Written
 
 
 _ESCAPES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
@@ -65,6 +72,8 @@ def _element(name: str, attrs: dict, body: Column, item: Column | None = None) -
 
 def xml(part: Part) -> Column:
     """The part as XML, without white space between elements; null if there is nothing to say."""
+    if isinstance(part, Written):
+        return part.text
     if isinstance(part, Field):
         return F.when(part.value.isNotNull(), _element(part.name, part.attrs, _escaped(part.value)))
     if isinstance(part, Group):

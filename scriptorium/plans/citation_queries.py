@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from scriptorium.operators import cite, serialize
@@ -54,9 +55,20 @@ SELECT {{key}}, '<issue xmlns="{_NATIVE}" xmlns:xsi="{_XSI}" published="1" curre
 FROM v GROUP BY {{group}}"""
 
 
+#: Articles that are joined at once.
+RUN = 1000
+
+
 def _issues(t, *per):
-    rows = _articles(t).withColumn("id", F.col("r.id")).groupBy(*per).agg(F.array_sort(F.collect_list(F.struct(F.col("r.id").cast("long").alias("k"), "r"))).alias("p"), F.array_sort(F.collect_set("r.section")).alias("sections"))
-    articles = F.transform("p", lambda x, i: x["r"].withField("no", i + 1))
+    """The exchange format of all articles of an issue, or of each."""
+    # Articles are written a row each; what meets in an issue is their text, in runs of RUN, and no record.
+    w = Window.partitionBy(*per).orderBy("k")
+    rows = _articles(t).select("issue", F.col("r.id").alias("id"), F.col("r.id").cast("long").alias("k"), "r").withColumn("no", F.row_number().over(w))
+    rows = rows.select(*per, "no", F.col("r.section").alias("section"), cite.written_article(F.col("r").withField("no", F.col("no"))).alias("x"))
+    in_order = lambda by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(by, "x"))), lambda v: v["x"]), "").alias("x")
+    runs = rows.groupBy(*per, F.expr(f"no div {RUN}").alias("run")).agg(in_order("no"), F.collect_set("section").alias("s"))
+    rows = runs.groupBy(*per).agg(in_order("run"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("s")))).alias("sections"))
+    articles = F.col("x")
     first = F.concat(F.col("issue"), F.lit("-01")).cast("date")
     return rows.select(*per, cite.native_issue(F.col("issue"), F.concat(F.lit("Encontro "), "issue"), F.left("issue", F.lit(4)), F.right("issue", F.lit(2)), first, F.col("sections"), articles).alias("xml"))
 

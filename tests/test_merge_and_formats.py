@@ -56,3 +56,14 @@ def test_records_with_nothing_in_them(spark):
     assert js.loads(got.ld)["name"] == "T" and "author" not in js.loads(got.ld)
     assert got.coins.endswith("rft.atitle=T") and got.meta.count("<meta") == 2 and got.ris == "TY  - CPAPER\nTI  - T\nLA  - pt-BR\nER  - "
     assert got.bib == "@inproceedings{1,\n  title = {T}\n}" and got.sign == '<https://schema.org/ScholarlyArticle>; rel="type"'
+
+
+def test_issues_are_joined_in_runs(spark, monkeypatch):
+    """Articles are in order whatever the runs in which their text is joined."""
+    from scriptorium.plans import citation_queries
+    from scriptorium.plans.catalogue import QUERIES
+
+    issues = lambda: sorted(map(tuple, QUERIES["snk3_native_issues"](spark, "/root/testdata/sf0.001").collect()))
+    whole = issues()
+    monkeypatch.setattr(citation_queries, "RUN", 3)
+    assert issues() == whole
