@@ -15,7 +15,7 @@ from scriptorium.operators import extract
 from scriptorium.plans.catalogue import query
 from scriptorium.plans.reference_queries import _LINES, _lines
 from scriptorium.sources import nested, sinks
-from scriptorium.sources.shared import shared_dir
+from scriptorium.sources.shared import dealt, shared_dir
 
 
 def _folder(spark) -> str:
@@ -237,6 +237,7 @@ SELECT p_partkey, 'Eixo ' || CAST(p_size AS VARCHAR) || ' - ' || p_brand AS axis
 """)
 def _(t, spark):
     """A paper's text for each part, taken apart into one article."""
-    papers = extract.assembled(t("part").select("p_partkey", F.expr(_PAPER).alias("text")), "text", _LABELS)
+    parts = dealt(t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))  # a file of few letters is one task, a part takes long
+    papers = extract.assembled(parts.select("p_partkey", F.expr(_PAPER).alias("text")), "text", _LABELS)
     of = lambda name: F.transform("authors", lambda a: a[name])
     return papers.select("p_partkey", "axis", "title", of("given").alias("given"), of("family").alias("family"), "abstract", "keywords", "refs")

@@ -29,3 +29,10 @@ def test_members_are_paired_once(spark):
     found = ops.co_occurring(df, "g", "m")
     assert sorted(map(tuple, found.collect())) == want
     assert sorted(map(tuple, ops._linked(df, "g", "m").collect())) == [p for p in want if p[0] < p[1]]
+
+
+def test_articles_are_taken_apart_over_many_tasks(spark, tmp_path):
+    """Parts of one small file, whose papers each take long, are no one task's."""
+    spark.range(40).selectExpr("id p_partkey", "'large ring' p_name", "'B' p_brand", "'STANDARD' p_type", "cast(1 as int) p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    got = QUERIES["ext16_assembled_articles"](spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() == 4 and got.count() == 40
