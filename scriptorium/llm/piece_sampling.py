@@ -136,75 +136,89 @@ class Lattices:
         sums = np.zeros(n + 1, dtype=U)
         np.cumsum((code.astype(U) + U(1)) * _powers(n + 1, _BASE)[:n], out=sums[1:])
         back = _powers(n + 1, _INVERSE)
-        ids = np.full((n, longest), -1, dtype=np.int32)
-        at, width = np.arange(n), 1
+        matches, reach = [], np.arange(1, n + 1)
+        at = np.arange(n)
         for length in range(1, longest + 1):
             at = at[left[at] >= length]
             if not len(at):
                 break
             h = (sums[at + length] - sums[at]) * back[at]
             slot = _slot(h)
-            found = np.full(len(at), -1, dtype=np.int64)
-            open_ = np.arange(len(at))
+            found = vocab.slots[slot]
+            open_ = np.flatnonzero((found != -1) & (vocab.keys[slot] != h))
             while len(open_):
-                here = vocab.slots[slot[open_]]
-                same = (here != -1) & (vocab.keys[slot[open_]] == h[open_])
-                found[open_[same]] = here[same]
-                open_ = open_[(here != -1) & ~same]
                 slot[open_] = (slot[open_] + 1) % len(vocab.slots)
+                here = vocab.slots[slot[open_]]
+                found[open_] = here
+                open_ = open_[(here != -1) & (vocab.keys[slot[open_]] != h[open_])]
             hit = found >= 0
-            ids[at[hit], length - 1] = found[hit]
+            own, piece = at[hit], found[hit]
+            matches.append((own, piece))
+            reach[own] = own + length
             # Longer pieces begin with what is a piece or begins one.
             at = at[found != -1]
-            if hit.any():
-                width = length
         # No piece of this slice is longer.
-        longest, ids = width, np.ascontiguousarray(ids[:, :width])
+        while len(matches) > 1 and not len(matches[-1][0]):
+            matches.pop()
+        longest = max(1, len(matches))
+        ids = np.full((n, longest), -1, dtype=np.int32)
+        for k, (own, piece) in enumerate(matches):
+            ids[own, k] = piece
         bare = np.flatnonzero(ids[:, 0] < 0)
         ids[bare, 0] = vocab.size + code[bare]
         # Words are cut where no piece crosses; what is left and right of a cut is independent.
-        reach = np.arange(n) + longest - (ids[:, ::-1] >= 0).argmax(axis=1) if n else np.zeros(0, dtype=np.int64)
         open_ = np.maximum.accumulate(reach) > np.arange(1, n + 1)
         self.starts = heads
         self.heads = heads = np.concatenate([[0], np.flatnonzero(~open_) + 1])
-        self.left = np.repeat(heads[1:], np.diff(heads)) - np.arange(n)
+        sizes = np.diff(heads)
+        self.left = np.repeat(heads[1:], sizes) - np.arange(n)
         #: The first part of each word, and one more.
         self.parts = np.searchsorted(heads, self.starts)
-        weight = np.where(ids >= 0, vocab.weight[np.where(ids < vocab.size, ids, 0)], 0.0)
-        # A constant factor for each character cancels out and keeps the sums near 1.
-        factor = np.full(n, 1.5)
-        factor[bare] = utf8_length(code[bare]) * -math.log(vocab.byte_weight)
-        weight[bare, 0] = np.exp(-factor[bare])
-        along = np.concatenate([np.cumsum(np.concatenate([[0.0], factor])), np.zeros(longest)])
-        for length in range(1, longest + 1):
-            some = np.flatnonzero(ids[:, length - 1] >= 0)
-            weight[some, length - 1] *= np.exp(along[some + length] - along[some])
-        total = np.zeros(n + longest + 1)
-        sizes = np.diff(heads)
+        # Places go by how far they are from the end of their part, then by falling length of the part: those that are as far are a run,
+        # and the places before or after them in the same parts begin a run likewise.
         order = np.argsort(-sizes, kind="stable")
-        stops = heads[1:][order]
         live = np.searchsorted(-sizes[order], -np.arange(1, (sizes.max() if len(sizes) else 0) + 1), side="right")
-        ahead = np.arange(1, longest + 1)
+        rank = np.empty(len(sizes), dtype=np.int64)
+        rank[order] = np.arange(len(sizes))
+        begin = np.concatenate([[0, 0], np.cumsum(live)])
+        place = begin[self.left] + np.repeat(rank, sizes)
+        # A constant factor for each character cancels out and keeps the sums near 1.
+        factor = np.zeros(n)
+        factor[bare] = utf8_length(code[bare]) * -math.log(vocab.byte_weight) - 1.5
+        weight = np.zeros((longest, n))
+        for k, (own, piece) in enumerate(matches):
+            weight[k, place[own]] = vocab.weight[piece] * math.exp(1.5 * (k + 1))
+        weight[0, place[bare]] = 1.0
+        if len(bare):
+            along, odd = np.concatenate([[0.0], np.cumsum(factor)]), np.zeros(n + 1, dtype=np.int64)
+            np.cumsum(factor != 0, out=odd[1:])
+            for k, (own, _) in enumerate(matches):
+                over = own[odd[own + k + 1] > odd[own]]
+                weight[k, place[over]] *= np.exp(along[over + k + 1] - along[over])
+        totals = [np.ones(len(sizes))]
         for r, k in enumerate(live.tolist(), 1):
-            p = stops[:k] - r
+            lo = begin[r]
             m = min(r, longest)
-            after = total[p[:, None] + ahead[:m]]
-            if r <= longest:
-                after[:, -1] = 1.0
-            flow = weight[p, :m] * after
-            whole = flow.sum(axis=1)
-            weight[p, :m] = flow / whole[:, None]
-            total[p] = whole
+            flows = weight[:m, lo : lo + k]
+            whole = np.zeros(k)
+            for j in range(m):
+                flows[j] *= totals[-1 - j][:k]
+                whole += flows[j]
+            flows /= whole
+            totals.append(whole)
             if r > longest and r % RESCALE == 0:
-                total[p[:, None] + np.arange(longest)] /= whole[:, None]
-        self.ids, self.share = ids, weight
-        self.cumulated = np.empty((n, longest), dtype=np.float32)
-        sums = np.zeros(n)
-        for length in range(longest):
-            sums += weight[:, length]
-            self.cumulated[:, length] = sums
+                scale = whole.copy()
+                for j in range(longest):
+                    totals[-1 - j][:k] /= scale
+            del totals[: max(0, len(totals) - longest)]
+        sums, cumulated = np.zeros(n), np.empty((longest, n), dtype=np.float32)
+        for k in range(longest):
+            sums += weight[k]
+            cumulated[k] = sums
         # The last piece with a share takes what rounding leaves.
-        self.cumulated[self.cumulated > 1 - 3e-7] = 2.0
+        cumulated[cumulated > 1 - 3e-7] = 2.0
+        self.ids, self.share = ids, np.ascontiguousarray(weight.T)[place]
+        self.cumulated = np.ascontiguousarray(cumulated.T)[place]
 
 
 def _uniform(seed: np.ndarray, *parts) -> np.ndarray:

@@ -109,3 +109,13 @@ def test_rows(spark):
     again = ps.sample(df.repartition(5)).collect()
     assert sorted((r.doc_id, r["sample"], tuple(r.ids)) for r in again) == sorted((r.doc_id, r["sample"], tuple(r.ids)) for r in got)
     assert ps.sample(df.where("false")).count() == 0
+
+
+def test_shares_of_a_word_do_not_depend_on_the_words_before_it():
+    """To the last bit, with characters outside the vocabulary before it too."""
+    vocab = VOCAB
+    code = lambda x: np.array([ps.SPACE_PIECE if c == " " else ord(c) for c in x], dtype=np.int64)
+    own, before = code(" international"), code(" \U0001f9ff\U0001f9ff\U0001f9ff\U0001f9ff\U0001f9ff")
+    alone = ps.Lattices(vocab, own, np.array([0, len(own)]))
+    later = ps.Lattices(vocab, np.concatenate([before, own]), np.array([0, len(before), len(before) + len(own)]))
+    assert (later.share[len(before) :] == alone.share).all() and (later.cumulated[len(before) :] == alone.cumulated).all()
