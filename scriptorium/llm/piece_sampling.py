@@ -38,7 +38,7 @@ SAMPLES = 2
 #: Exponent of the weights: smaller values flatten the distribution.
 ALPHA = 1.0
 #: Code points that are worked on together.
-SLICE_CHARS = 400_000
+SLICE_CHARS = 200_000
 #: Steps after which the sums of a lattice are scaled back.
 RESCALE = 16
 #: Pieces of a path that are looked at in one step for the place where the next sample leaves it.
@@ -211,14 +211,17 @@ class Lattices:
                 for j in range(longest):
                     totals[-1 - j][:k] /= scale
             del totals[: max(0, len(totals) - longest)]
-        sums, cumulated = np.zeros(n), np.empty((longest, n), dtype=np.float32)
+        # What is no longer read goes before the tables are written, which take a column at a time instead of a copy of the whole.
+        del matches, own, piece, sums, back, at, reach, open_, order, rank, factor, flows, totals
+        self.ids, self.share, self.cumulated = ids, np.empty((n, longest)), np.empty((n, longest), dtype=np.float32)
+        sums = np.zeros(n)
         for k in range(longest):
+            self.share[:, k] = weight[k][place]
             sums += weight[k]
-            cumulated[k] = sums
-        # The last piece with a share takes what rounding leaves.
-        cumulated[cumulated > 1 - 3e-7] = 2.0
-        self.ids, self.share = ids, np.ascontiguousarray(weight.T)[place]
-        self.cumulated = np.ascontiguousarray(cumulated.T)[place]
+            along = sums.astype(np.float32)
+            # The last piece with a share takes what rounding leaves.
+            along[along > 1 - 3e-7] = 2.0
+            self.cumulated[:, k] = along[place]
 
 
 def _uniform(seed: np.ndarray, *parts) -> np.ndarray:

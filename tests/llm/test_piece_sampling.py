@@ -119,3 +119,21 @@ def test_shares_of_a_word_do_not_depend_on_the_words_before_it():
     alone = ps.Lattices(vocab, own, np.array([0, len(own)]))
     later = ps.Lattices(vocab, np.concatenate([before, own]), np.array([0, len(before), len(before) + len(own)]))
     assert (later.share[len(before) :] == alone.share).all() and (later.cumulated[len(before) :] == alone.cumulated).all()
+
+
+def test_lattices_are_built_in_less_than_twice_what_they_keep():
+    """A task's memory beside a full heap: the tables are written without copies of the whole."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(2, 14, 12_000)
+    heads = np.concatenate([[0], np.cumsum(sizes)])
+    code = rng.choice(np.frombuffer("eeeaaattioonsrhldcué".encode("utf-32-le"), dtype=np.uint32), heads[-1]).astype(np.int64)
+    code[heads[:-1]] = ps.SPACE_PIECE
+    tracemalloc.start()
+    try:
+        lat = ps.Lattices(VOCAB, code, heads)
+        kept, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(lat.share) == len(code) and peak < 2 * kept
