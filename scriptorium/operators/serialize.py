@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -167,3 +168,41 @@ def pairs(parts: list[Part]) -> Column:
 def joined(parts: list[Part], form: Callable[[Column, Column], Column], by: str) -> Column:
     """All fields, each written by form(name, value), with ``by`` between."""
     return F.array_join(F.transform(pairs(parts), lambda p: form(p["name"], p["value"])), by)
+
+
+def joined_rows(df: DataFrame, key: str, text: str, run: int = 1000) -> DataFrame:
+    """(key, text): the texts of each key end to end, in the order of the rows; rows of a key must follow each other in one partition.
+
+    A text of hundreds of megabytes would be held by Spark as its pieces, as a whole and in a row at once. Here it grows in one buffer, by ``run`` pieces at a time.
+    """
+
+    def join(batches):
+        at, buffer, begun, pieces = None, bytearray(), False, []
+
+        def add():
+            nonlocal buffer
+            buffer += b"".join(pieces)
+            pieces.clear()
+
+        def whole():
+            offsets = pa.array([0, len(buffer)], pa.int32()).buffers()[1]
+            return pa.RecordBatch.from_arrays([pa.array([at], kind), pa.StringArray.from_buffers(1, offsets, pa.py_buffer(buffer))], names=[key, text])
+
+        for batch in batches:
+            kind, keys = batch.schema.field(0).type, batch.column(0).to_pylist()
+            for k, piece in zip(keys, batch.column(1)):
+                if begun and k != at:
+                    add()
+                    yield whole()
+                    buffer = bytearray()
+                at, begun = k, True
+                if piece.is_valid:
+                    pieces.append(piece.as_buffer())
+                if len(pieces) >= run:
+                    add()
+        if begun:
+            add()
+            yield whole()
+
+    kinds = dict(df.dtypes)
+    return df.select(key, text).mapInArrow(join, f"`{key}` {kinds[key]}, `{text}` string")

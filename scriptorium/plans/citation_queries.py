@@ -55,34 +55,42 @@ SELECT {{key}}, '<issue xmlns="{_NATIVE}" xmlns:xsi="{_XSI}" published="1" curre
 FROM v GROUP BY {{group}}"""
 
 
-#: Articles that are joined at once.
+#: Articles that are added to an issue's text at once.
 RUN = 1000
 
 
-def _issues(t, *per):
-    """The exchange format of all articles of an issue, or of each."""
-    # Articles are written a row each; what meets in an issue is their text, in runs of RUN, and no record.
-    w = Window.partitionBy(*per).orderBy("k")
-    rows = _articles(t).select("issue", F.col("r.id").alias("id"), F.col("r.id").cast("long").alias("k"), "r").withColumn("no", F.row_number().over(w))
-    rows = rows.select(*per, "no", F.col("r.section").alias("section"), cite.written_article(F.col("r").withField("no", F.col("no"))).alias("x"))
-    in_order = lambda by: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(by, "x"))), lambda v: v["x"]), "").alias("x")
-    runs = rows.groupBy(*per, F.expr(f"no div {RUN}").alias("run")).agg(in_order("no"), F.collect_set("section").alias("s"))
-    rows = runs.groupBy(*per).agg(in_order("run"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("s")))).alias("sections"))
-    articles = F.col("x")
+def _numbered(t, *per):
+    """Records with their number in the issue, or whatever ``per`` is."""
+    rows = _articles(t).select("issue", F.col("r.id").alias("id"), F.col("r.id").cast("long").alias("k"), "r", F.col("r.section").alias("section"))
+    return rows.withColumn("no", F.row_number().over(Window.partitionBy(*per).orderBy("k")))
+
+
+def _written(sections, articles):
     first = F.concat(F.col("issue"), F.lit("-01")).cast("date")
-    return rows.select(*per, cite.native_issue(F.col("issue"), F.concat(F.lit("Encontro "), "issue"), F.left("issue", F.lit(4)), F.right("issue", F.lit(2)), first, F.col("sections"), articles).alias("xml"))
+    return cite.native_issue(F.col("issue"), F.concat(F.lit("Encontro "), "issue"), F.left("issue", F.lit(4)), F.right("issue", F.lit(2)), first, sections, articles)
+
+
+def _article():
+    return cite.written_article(F.col("r").withField("no", F.col("no")))
 
 
 @query("snk3_native_issues", "WITH " + _RECORDS_SQL + _ISSUE_XML.format(per="issue", key="issue", group="issue"))
 def _(t, spark):
     """The exchange format of every month, with all its articles."""
-    return _issues(t, "issue")
+    # What stands before and after the articles goes with the first and the last, so that only the text of whole issues is left to be joined, and nothing is made of it.
+    month = Window.partitionBy("issue")
+    rows = _numbered(t, "issue").withColumns({"s": F.array_sort(F.collect_set("section").over(month)), "n": F.count(F.lit(1)).over(month)})
+    around = F.split(_written(F.col("s"), F.lit("\0")), "\0")
+    x = F.concat(F.when(F.col("no") == 1, around[0]).otherwise(""), _article(), F.when(F.col("no") == F.col("n"), around[1]).otherwise(""))
+    return serialize.joined_rows(rows.select("issue", "k", x.alias("xml")).sortWithinPartitions("issue", "k").drop("k"), "issue", "xml", RUN)
 
 
 @query("snk3_native_articles", "WITH " + _RECORDS_SQL + _ISSUE_XML.format(per="r.k", key="CAST(k AS VARCHAR) AS id", group="issue, k"))
 def _(t, spark):
     """The exchange format of every article, in an issue of its own."""
-    return _issues(t, "issue", "id").select("id", "xml")
+    rows = _numbered(t, "issue", "id").select("issue", "id", "no", "section", _article().alias("x"))
+    every = rows.groupBy("issue", "id").agg(F.array_sort(F.collect_list(F.struct("no", "x"))).alias("a"), F.array_sort(F.collect_set("section")).alias("s"))
+    return every.select("id", _written(F.col("s"), F.array_join(F.transform("a", lambda v: v["x"]), "")).alias("xml"))
 
 
 def _each(t, form):
